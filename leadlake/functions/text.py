@@ -8,6 +8,7 @@ import unicodedata
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 NON_ASCII = r"[^\x00-\x7F]"
 
@@ -48,7 +49,7 @@ def normalize_label_native(text: Column) -> Column:
     return collapse_spaces(F.regexp_replace(spelled, r"[^\p{L}\p{N}_\s]", " "))
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(T.StringType())
 def _fold_unicode(values: pa.Array) -> pa.Array:
     """Compatibility form and full case folding, which Spark SQL has no function for."""
     def fold(value: str | None) -> str | None:

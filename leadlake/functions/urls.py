@@ -9,6 +9,7 @@ from urllib.parse import parse_qsl, urlencode, urljoin, urlparse, urlunparse
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from leadlake.constants import BOOKING_SIGNATURES, DEFAULT_SUFFIXES
 from leadlake.functions.text import null_if_empty
@@ -66,7 +67,7 @@ def _is_tracking(key: str) -> bool:
     return re.match(_TRACKING, key) is not None
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(T.StringType())
 def _canonical_any(values: pa.Array) -> pa.Array:
     def canonical(url: str | None) -> str | None:
         if url is None:
@@ -88,7 +89,7 @@ def canonical_url(url: Column) -> Column:
     return F.coalesce(F.when(plain, _canonical_plain(url)), _canonical_any(F.when(~plain, url)))
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(T.StringType())
 def _join_any(base: pa.Array, href: pa.Array) -> pa.Array:
     def join(b: str | None, h: str | None) -> str | None:
         if b is None or h is None:

@@ -14,25 +14,29 @@ from leadlake.schemas import AMOUNT
 _ROWS_AFTER = 1_000_000_000
 
 
-def candidates(pages: DataFrame, keep: list[str], parity: bool = False) -> DataFrame:
-    """All candidates with `cand_ord`, before dedupe. Needs `parts` and final_url.
+_OFFER = "struct<name:string,price:string,shown_currency:string,currency:string>"
 
-    Both kinds leave the page in one explode, so the page is parsed once and nothing is unioned.
+
+def page_items(pages: DataFrame, keep: list[str]) -> DataFrame:
+    """Per page, one array `items` of structured offers and price-row texts. Needs `parts` and final_url.
+
+    Both kinds share one array, so the page is parsed once and nothing is unioned.
     """
     payloads = F.col("parts.jsonld")
     offers = F.coalesce(jsonld_offers(F.when(F.size(payloads) > 0, payloads)), F.array())
-    no_offer = F.lit(None).cast("struct<name:string,price:string,shown_currency:string,currency:string>")
     items = F.concat(
         F.transform("_offers", lambda o, i: F.struct(
             i.cast("long").alias("cand_ord"), o.alias("offer"), F.lit(None).cast("string").alias("row_text"))),
         F.transform(F.coalesce("parts.rows", F.array()), lambda t, i: F.struct(
-            (i + _ROWS_AFTER).cast("long").alias("cand_ord"), no_offer.alias("offer"), t.alias("row_text"))),
-    )
-    exploded = (
-        pages.select(*keep, "final_url", "parts", offers.alias("_offers"))
-        .select(*keep, F.col("final_url").alias("source_url"), F.explode(items).alias("item"))
-        .select(*keep, "source_url", "item.*")
+            (i + _ROWS_AFTER).cast("long").alias("cand_ord"), F.lit(None).cast(_OFFER).alias("offer"), t.alias("row_text"))),
     )
+    return pages.select(*keep, "final_url", "parts", offers.alias("_offers")).select(
+        *keep, F.col("final_url").alias("source_url"), items.alias("items"))
+
+
+def candidates(paged: DataFrame, keep: list[str], parity: bool = False) -> DataFrame:
+    """All candidates of page items, with `cand_ord`, before dedupe."""
+    exploded = paged.select(*keep, "source_url", F.explode("items").alias("item")).select(*keep, "source_url", "item.*")
     structured = F.col("offer").isNotNull()
     parsed = parse_rows(exploded, "row_text", parity, exempt=structured)
     shown = F.concat(F.col("offer.shown_currency"), F.lit(" "), F.col("offer.price"))

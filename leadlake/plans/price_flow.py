@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from leadlake import schemas
 from leadlake.operators import history, publish, runs
 from leadlake.operators.markets import crawl_freshness, market_status, merge_market_status
-from leadlake.operators.offers import candidates, dedupe_candidates
+from leadlake.operators.offers import candidates, dedupe_candidates, page_items
 from leadlake.operators.ordered import lookup
 from leadlake.operators.runs import PAGE_KEYS
 from leadlake.operators.signals import instagram_handle, page_signals
@@ -62,13 +62,13 @@ def page_candidates(pages: DataFrame, competitors: DataFrame, parity: bool = Fal
     """Deduped candidates with business name, market and brand check. `competitors`: id, name, market."""
     facts = competitors.select(F.col("id").alias("competitor_id"), F.col("name").alias("business_name"), "market")
     title_text = F.concat_ws(" ", F.coalesce("parts.title", F.lit("")), F.col("parts.visible_text"))
-    # Page text is needed after the join on shared booking hosts only; elsewhere it is dropped before the shuffle.
+    kept = [*PAGE_KEYS, "captured_at", "content_sha256"]
+    # The brand check is per page and wants the page text on shared booking hosts only; elsewhere no text is carried.
     slim = pages.withColumn("_page_text", F.when(publish.on_booking_host(F.col("final_url")), title_text))
-    found = candidates(slim, [*PAGE_KEYS, "captured_at", "content_sha256", "_page_text"], parity)
-    named = lookup(found, facts, ["competitor_id"], spread_by=ROW_KEYS)
+    named = lookup(page_items(slim, [*kept, "_page_text"]), facts, ["competitor_id"], spread_by=PAGE_KEYS)
     branded = named.withColumn("branded", publish.booking_branded(
         F.col("source_url"), F.col("business_name"), F.col("_page_text"))).drop("_page_text")
-    return dedupe_candidates(branded, PAGE_KEYS)
+    return dedupe_candidates(candidates(branded, [*kept, "market", "branded"], parity), PAGE_KEYS)
 
 
 def observations(pages: DataFrame, competitors: DataFrame, aliases: DataFrame, catalog: DataFrame,

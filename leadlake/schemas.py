@@ -3,13 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 AMOUNT = T.DecimalType(18, 6)
 
 
-def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+_TYPES = {"string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType(),
+          "boolean": T.BooleanType(), "date": T.DateType(), "timestamp": T.TimestampType()}
+
+
+def _struct(spec: str, **nested: T.DataType) -> T.StructType:
+    """Fields from "name type, ..." without needing a running session; `nested` adds fields of other types at the end."""
+    pairs = [item.split() for item in spec.split(",")]
+    fields = [T.StructField(name, _TYPES[kind]) for name, kind in pairs]
+    return T.StructType(fields + [T.StructField(name, kind) for name, kind in nested.items()])
 
 
 BUSINESSES = _struct("""
@@ -67,21 +75,16 @@ OFFERING_CANDIDATES = _struct(
     _OFFERING_FACTS + ", review_status string, review_reason string, first_seen_at timestamp")
 OFFERING_COLUMNS = _struct(_OFFERING_FACTS).fieldNames()
 
-PRICE_EVENTS = _struct("""
-    competitor_id string, event_type string, occurred_at timestamp,
-    detail struct<offering_key: string, display_name: string, qualifier: string, old_price: string,
-                  new_price: string, source_url: string>,
-    source_fingerprint string
+EVENT_DETAIL = _struct("""
+    offering_key string, display_name string, qualifier string, old_price string, new_price string, source_url string
 """)
+PRICE_EVENTS = _struct("competitor_id string, event_type string, occurred_at timestamp, source_fingerprint string",
+                       detail=EVENT_DETAIL)
 
-SEARCH_PAYLOAD = _struct("""
-    metro string, query_ord int, status string, error_message string,
-    results array<struct<place_id: string, name: string, formatted_address: string, rating: double,
-                         user_ratings_total: int>>
-""")
-DETAILS_PAYLOAD = _struct("""
-    place_id string, status string, result struct<formatted_phone_number: string, website: string>
-""")
+SEARCH_PAYLOAD = _struct("metro string, query_ord int, status string, error_message string", results=T.ArrayType(
+    _struct("place_id string, name string, formatted_address string, rating double, user_ratings_total int")))
+DETAILS_PAYLOAD = _struct("place_id string, status string",
+                          result=_struct("formatted_phone_number string, website string"))
 
 
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -90,8 +93,6 @@ def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Columns of `schema`, in order, cast; missing ones become NULL."""
-    from pyspark.sql import functions as F
-
     have = set(df.columns)
     return df.select(*[
         (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields
