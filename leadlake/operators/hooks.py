@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadlake import constants as C
-from leadlake.functions.text import strip_quotes
+from leadlake.functions.text import null_if_empty, strip_quotes
 
 
 def short_name(name: Column) -> Column:
     """Lower-case name without legal and trade endings; the whole name when nothing would be left."""
-    cleaned = F.lower(name)
+    lowered = F.lower(name)
+    cleaned = lowered
     for suffix in C.NAME_SUFFIXES:
-        cleaned = F.when(F.endswith(cleaned, F.lit(suffix)),
-                         F.trim(F.substring(cleaned, F.lit(1), F.length(cleaned) - len(suffix)))).otherwise(cleaned)
-    return F.when(cleaned == "", F.lower(name)).otherwise(cleaned)
+        # Each step names the text before it once, so the expression stays linear in the number of endings.
+        cleaned = F.regexp_replace(cleaned, rf"(?s)^\s*(.*?)\s*{suffix}\z", "$1")
+    return F.coalesce(null_if_empty(cleaned), lowered)
 
 
 def _fill(template: str, values: dict[str, Column]) -> Column:
@@ -33,9 +34,8 @@ def _fill(template: str, values: dict[str, Column]) -> Column:
     return F.concat(*parts)
 
 
-def template_hook(name: Column | None = None) -> Column:
-    """Opening line for the primary deficiency. `name` is the shortened name (default: derived from `name`)."""
-    short = short_name(F.col("name")) if name is None else name
+def template_hook(short: Column) -> Column:
+    """Opening line for the primary deficiency; `short` is the column that holds the shortened name."""
     platform = F.col("site_platform")
     values = {
         "n": short,
@@ -54,6 +54,12 @@ def template_hook(name: Column | None = None) -> Column:
     return chain.otherwise(_fill(C.HOOK_TEMPLATES["default"], values))
 
 
+def with_template_hook(businesses: DataFrame, alias: str) -> DataFrame:
+    """Add the template line. The name is shortened once, before the choice of template."""
+    return businesses.withColumn("_short", short_name(F.col("name"))).withColumn(
+        alias, template_hook(F.col("_short"))).drop("_short")
+
+
 def hook_grounded() -> Column:
     """False when the line claims missing booking although the row does not say so."""
     claims_booking = F.col("primary_deficiency") == "reviews_vs_web"

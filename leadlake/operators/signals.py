@@ -51,8 +51,8 @@ def last_where(items: Column, test) -> Column:
 _SOCIAL_HOSTS = ["facebook.com", "instagram.com"]
 
 
-def booking(html_lower: Column, parts: Column, ignore_social_hosts: bool = False) -> Column:
-    """Struct (has_online_booking, booking_platform, booking_rule, booking_evidence).
+def with_booking(pages: DataFrame, ignore_social_hosts: bool = False) -> DataFrame:
+    """Add has_online_booking, booking_platform, booking_rule and booking_evidence. Needs `_lower` and `parts`.
 
     Rules in order: a known signature anywhere in the page, a link that says or points to booking, a button that says so.
     The second rule also takes "book" inside "facebook"; `booking_evidence` shows it and `ignore_social_hosts` turns it off.
@@ -65,32 +65,31 @@ def booking(html_lower: Column, parts: Column, ignore_social_hosts: bool = False
         return (by_href | contains_any(F.lower(anchor.text), C.BOOKING_TEXT_WORDS)
                 | booking_signature(href).isNotNull())
 
-    page_hit = booking_signature(html_lower)
-    link = first_where(parts.anchors, link_hit)
-    control = first_where(parts.controls, lambda text: contains_any(F.lower(text), C.BOOKING_TEXT_WORDS))
-
-    def found(platform: Column, rule: str, evidence: Column) -> Column:
-        return F.struct(F.lit(1).alias("has_online_booking"), platform.alias("booking_platform"),
-                        F.lit(rule).alias("booking_rule"), evidence.alias("booking_evidence"))
-
-    nothing = F.lit(None).cast("string")
-    return (
-        F.when(page_hit.isNotNull(), found(page_hit, "signature", page_hit))
-        .when(link.isNotNull(), found(F.coalesce(booking_signature(F.lower(link.href)), F.lit("other")), "link", link.href))
-        .when(control.isNotNull(), found(F.lit("other"), "control", F.trim(control)))
-        .otherwise(F.struct(F.lit(0).alias("has_online_booking"), nothing.alias("booking_platform"),
-                            nothing.alias("booking_rule"), nothing.alias("booking_evidence")))
-    )
-
-
-def social_links(anchors: Column) -> Column:
-    """Struct (instagram_url, facebook_url): the first link of each kind; share buttons do not count."""
-    numbered = F.transform(anchors, lambda a, i: F.struct(a.href.alias("href"), F.lower(a.href).alias("lower"), i.alias("ord")))
-    instagram = first_where(numbered, lambda a: F.contains(a.lower, F.lit("instagram.com")))
-    facebook = first_where(numbered, lambda a: F.contains(a.lower, F.lit("facebook.co"))
-                           & ~F.contains(a.lower, F.lit("sharer"))
-                           & ~F.coalesce(a.ord == instagram.ord, F.lit(False)))
-    return F.struct(instagram.href.alias("instagram_url"), facebook.href.alias("facebook_url"))
+    # Each rule's hit is a column of its own, so that it is found once and then read several times.
+    hits = pages.withColumns({
+        "_page_hit": booking_signature(F.col("_lower")),
+        "_link": first_where(F.col("parts.anchors"), link_hit).href,
+        "_control": first_where(F.col("parts.controls"), lambda text: contains_any(F.lower(text), C.BOOKING_TEXT_WORDS)),
+    })
+    page_hit, link, control = F.col("_page_hit"), F.col("_link"), F.col("_control")
+    return hits.withColumns({
+        "booking_rule": F.when(page_hit.isNotNull(), "signature").when(link.isNotNull(), "link").when(control.isNotNull(), "control"),
+        "booking_platform": F.when(page_hit.isNotNull(), page_hit)
+        .when(link.isNotNull(), F.coalesce(booking_signature(F.lower(link)), F.lit("other"))).when(control.isNotNull(), "other"),
+        "booking_evidence": F.when(page_hit.isNotNull(), page_hit).when(link.isNotNull(), link)
+        .when(control.isNotNull(), F.trim(control)),
+        "has_online_booking": (page_hit.isNotNull() | link.isNotNull() | control.isNotNull()).cast("int"),
+    }).drop("_page_hit", "_link", "_control")
+
+
+def with_social_links(pages: DataFrame) -> DataFrame:
+    """Add page_instagram and page_facebook: the first link of each kind; share buttons do not count. Needs `parts`."""
+    numbered = F.transform("parts.anchors", lambda a, i: F.struct(a.href.alias("href"), F.lower(a.href).alias("lower"), i.alias("ord")))
+    hubs = pages.withColumn("_hubs", F.filter(numbered, lambda a: contains_any(a.lower, ["instagram.com", "facebook.co"])))
+    found = hubs.withColumn("_instagram", first_where(F.col("_hubs"), lambda a: F.contains(a.lower, F.lit("instagram.com"))))
+    facebook = first_where(F.col("_hubs"), lambda a: F.contains(a.lower, F.lit("facebook.co")) & ~F.contains(a.lower, F.lit("sharer"))
+                           & ~a.ord.eqNullSafe(F.col("_instagram.ord")))
+    return found.withColumns({"page_instagram": F.col("_instagram.href"), "page_facebook": facebook.href}).drop("_hubs", "_instagram")
 
 
 def contact_href(anchors: Column) -> Column:
@@ -121,18 +120,13 @@ def instagram_handle(instagram_url: Column) -> Column:
 def page_signals(pages: DataFrame, keep: list[str], ignore_social_hosts: bool = False) -> DataFrame:
     """All signals of each page. Needs html, final_url and `parts`; the page source itself is dropped here."""
     lowered = pages.withColumn("_lower", F.lower("html"))
-    parts = F.col("parts")
-    found = lowered.select(
+    found = with_social_links(with_booking(lowered, ignore_social_hosts))
+    anchors = F.col("parts.anchors")
+    return found.select(
         *keep,
         platform_from(F.col("_lower"), F.col("final_url")).alias("page_platform"),
-        mobile_friendly(parts.viewport).alias("page_mobile"),
-        booking(F.col("_lower"), parts, ignore_social_hosts).alias("_booking"),
-        social_links(parts.anchors).alias("_social"),
-        contact_href(parts.anchors).alias("contact_href"),
-        page_email(parts.anchors, F.col("html")).alias("page_email"),
-    )
-    return found.select(
-        *keep, "page_platform", "page_mobile", "_booking.*",
-        F.col("_social.instagram_url").alias("page_instagram"), F.col("_social.facebook_url").alias("page_facebook"),
-        "contact_href", "page_email",
+        mobile_friendly(F.col("parts.viewport")).alias("page_mobile"),
+        "has_online_booking", "booking_platform", "booking_rule", "booking_evidence", "page_instagram", "page_facebook",
+        contact_href(anchors).alias("contact_href"),
+        page_email(anchors, F.col("html")).alias("page_email"),
     )

@@ -85,7 +85,7 @@ def display_rows(spark, d):
            social_status, line AS hook_text, 'https://www.google.com/maps/place/?q=place_id:' || place_id AS google_maps_url
            FROM {Q.hooked(Q.scored('<<biz>>'))} s WHERE review_status = 'new'""")
 def queue_export_rows(spark, d):
-    rows = with_score(load(spark, d, "biz")).withColumn("hook_text", hooks.template_hook())
+    rows = hooks.with_template_hook(with_score(load(spark, d, "biz")), "hook_text")
     return queue.export_rows(queue.review_queue(rows))
 
 
@@ -97,8 +97,8 @@ def map_urls(spark, d):
 @query(f"""SELECT place_id, line AS hook, CAST(COALESCE(primary_deficiency, '') <> 'reviews_vs_web' OR COALESCE(has_online_booking = 0, false)
            AS INT) AS grounded FROM {Q.hooked(Q.scored('<<biz>>'))} s""")
 def hook_text(spark, d):
-    return with_score(load(spark, d, "biz")).select(
-        "place_id", hooks.template_hook().alias("hook"), hooks.hook_grounded().cast("int").alias("grounded"))
+    return hooks.with_template_hook(with_score(load(spark, d, "biz")), "hook").select(
+        "place_id", "hook", hooks.hook_grounded().cast("int").alias("grounded"))
 
 
 @query(f"SELECT place_id, {Q.short_name('name')} AS short FROM <<biz>> b")

@@ -102,7 +102,8 @@ def enrich(businesses: DataFrame, captures: DataFrame, as_of: Column, finder: Da
     })
     rows = contact.with_finder(rows, F.col("_run"), finder)
 
-    line = hooks.template_hook()
+    rows = hooks.with_template_hook(rows, "_line")
+    line = F.col("_line")
     if generated_hooks is not None:
         rows = rows.join(generated_hooks.select("place_id", "generated"), "place_id", "left")
         line = hooks.choose_hook(F.col("generated"), line)
