@@ -122,12 +122,14 @@ def registrable_host(url: Column, suffixes: Sequence[str] = DEFAULT_SUFFIXES) ->
     """
     if len(suffixes) > _MAX_INLINE_SUFFIXES:
         raise ValueError("pass long suffix lists as a table to registrable_hosts")
-    name = host(url)
     listed = "|".join(re.escape(s) for s in sorted(suffixes, key=lambda s: (-s.count("."), s)))
-    pattern = rf"(?:^|\.)([^.]+\.(?:{listed}))$"
+    # One pattern settles the common case; the lazy prefix makes the longest listed suffix win.
+    usual = rf"(?i)^(?:[a-z][a-z0-9+.-]*:)?//(?:[^/?#@]*@)?(?:[^/?#:@]*?\.)?([^./?#:@]+\.(?:{listed}))(?::[0-9]*)?(?:[/?#]|$)"
+    name = host(url)
+    bare = rf"^(?:[0-9.]+|[^.]*|{listed})$"
     return F.coalesce(
-        F.when(name.rlike(r"^[0-9.]+$") | ~F.contains(name, F.lit(".")) | name.isin(*suffixes), name),
-        null_if_empty(F.regexp_extract(name, pattern, 1)),
+        F.lower(null_if_empty(F.regexp_extract(url, usual, 1))),
+        null_if_empty(F.regexp_extract(name, bare, 0)),
         null_if_empty(F.regexp_extract(name, r"([^.]+\.[^.]+)$", 1)),
         name,
     )

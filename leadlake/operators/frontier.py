@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadlake import constants as C
-from leadlake.functions.text import count_words
+from leadlake.functions.text import contains_any, count_words
 from leadlake.functions.urls import booking_hosts, canonical_url, netloc, registrable_host, resolve_url
-from leadlake.operators.ordered import HOT_ROWS, keep_first, with_position
+from leadlake.operators.ordered import HOT_ROWS, hot_keys, keep_first, with_position
 from leadlake.sources.captures import anchor_links, sitemap_links
 
 
@@ -37,7 +37,11 @@ def link_scores(homepages: DataFrame, sitemaps: DataFrame | None = None,
                                "root": registrable_host(F.col("final_url"), suffixes)})
 
     keep = ["site_id", "home_url", "root"]
-    found = _scored(anchor_links(rooted(homepages), keep), suffixes, anchors=True)
+    links = anchor_links(rooted(homepages), keep)
+    # Links that cannot score are dropped before their address is resolved. Escapes and control characters may hide a word.
+    words = F.lower(F.concat_ws(" ", "label", "href", "home_url"))
+    links = links.where(contains_any(words, C.PRICE_LINK_WORDS) | F.col("href").rlike("[%+\\x00-\\x1f]"))
+    found = _scored(links, suffixes, anchors=True)
     if sitemaps is not None:
         found = found.unionByName(_scored(sitemap_links(rooted(sitemaps), keep), suffixes, anchors=False))
     return found.groupBy("site_id", "home_url", "url").agg(F.max("score").alias("score"))
@@ -59,5 +63,6 @@ def politeness_plan(urls: DataFrame, seconds: int = 1, hot_rows: int = HOT_ROWS)
     Order within a host is by digest, which spreads evenly; hosts with very many URLs are numbered slice by slice.
     """
     hosted = urls.select("url", netloc(F.col("url")).alias("host"), F.md5("url").alias("_digest"))
-    placed = with_position(hosted, ["host"], ["_digest", "url"], F.substring("_digest", 1, 2), "_position", hot_rows)
+    placed = with_position(hosted, ["host"], ["_digest", "url"], F.substring("_digest", 1, 2), "_position",
+                           hot_keys(hosted, ["host"], hot_rows))
     return placed.select("host", "url", (F.col("_position") * seconds).alias("offset_seconds"))

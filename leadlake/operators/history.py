@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from leadlake.constants import MATERIAL_COLUMNS
 from leadlake.operators.merge import KEEP, OVERWRITE, merge
-from leadlake.operators.ordered import HOT_ROWS, with_previous
+from leadlake.operators.ordered import HOT_ROWS, hot_keys, with_previous
 from leadlake.schemas import OFFERING_COLUMNS
 
 OFFERING_KEYS = ["competitor_id", "offering_key"]
@@ -44,7 +44,8 @@ def change_events(current: DataFrame, published: DataFrame, slice_by: Column | N
     rows = published.withColumn("_seen", F.lit(1)).unionByName(stored, allowMissingColumns=True)
     day = F.date_trunc("DAY", F.col("observed_at")) if slice_by is None else slice_by
     slices = F.when(F.col("_seen") == 0, F.lit("0001-01-01").cast("timestamp")).otherwise(day)
-    rows = with_previous(rows, OFFERING_KEYS, ["_seen", *CRAWL_ORDER], MATERIAL_COLUMNS, slices, "_before", hot_rows)
+    hot = hot_keys(published, OFFERING_KEYS, hot_rows)
+    rows = with_previous(rows, OFFERING_KEYS, ["_seen", *CRAWL_ORDER], MATERIAL_COLUMNS, slices, "_before", hot)
     added = F.when(F.col("offering_type") == "offer", "competitor_offer_added").otherwise("competitor_offering_added")
     differs = ~F.col("_before").eqNullSafe(F.struct(*MATERIAL_COLUMNS))
     event = F.when(F.col("_before").isNull(), added).when(differs, "competitor_price_changed")

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from leadlake.constants import OFFERING_NAME
 from leadlake.functions.html import jsonld_offers
 from leadlake.functions.prices import parse_rows
-from leadlake.functions.text import normalize_label
+from leadlake.functions.text import collapse_spaces, normalize_label
 from leadlake.schemas import AMOUNT
 
 # Position of a candidate on its page: JSON-LD before visible rows.
@@ -34,9 +35,18 @@ def page_items(pages: DataFrame, keep: list[str]) -> DataFrame:
         *keep, F.col("final_url").alias("source_url"), items.alias("items"))
 
 
+def has_candidates() -> Column:
+    """True when the page offers anything at all, told from the page row alone. Needs `parts`."""
+    payloads = F.col("parts.jsonld")
+    offers = F.size(F.coalesce(jsonld_offers(F.when(F.size(payloads) > 0, payloads)), F.array())) > 0
+    return offers | F.exists(F.coalesce("parts.rows", F.array()), lambda row: collapse_spaces(row).rlike(OFFERING_NAME))
+
+
 def candidates(paged: DataFrame, keep: list[str], parity: bool = False) -> DataFrame:
     """All candidates of page items, with `cand_ord`, before dedupe."""
-    exploded = paged.select(*keep, "source_url", F.explode("items").alias("item")).select(*keep, "source_url", "item.*")
+    # The outer explode keeps Spark from inferring a filter on the array, which would parse every page a second time.
+    exploded = paged.select(*keep, "source_url", F.explode_outer("items").alias("item")).where("item IS NOT NULL").select(
+        *keep, "source_url", "item.*")
     structured = F.col("offer").isNotNull()
     parsed = parse_rows(exploded, "row_text", parity, exempt=structured)
     shown = F.concat(F.col("offer.shown_currency"), F.lit(" "), F.col("offer.price"))

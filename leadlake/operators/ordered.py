@@ -24,31 +24,33 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column], limi
     return ranked.withColumnRenamed("_rank", rank_as) if rank_as else ranked.drop("_rank")
 
 
-def slice_hot_keys(df: DataFrame, keys: Sequence[str], slice_by: Column, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Add `_slice`: NULL for ordinary keys, `slice_by` for keys with more than `hot_rows` rows.
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys with more than `hot_rows` rows: at most (rows / hot_rows) of them, 200,000 for 10^12 rows."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select(*keys)
 
-    The hot list has at most (rows / hot_rows) keys, which bounds the broadcast: 200,000 keys for 10^12 rows.
+
+def slice_hot_keys(df: DataFrame, keys: Sequence[str], slice_by: Column, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(all rows with `_slice`, the rows of hot keys alone). `_slice` is NULL for ordinary keys, `slice_by` for hot ones.
+
+    The broadcast is bounded by what `hot_keys` can return. When there are no hot keys, the adaptive planner drops both the
+    join and everything built on the second frame.
     """
-    hot = (
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
-        .select(*keys, F.lit(True).alias("_hot"))
-    )
-    return df.join(F.broadcast(hot), list(keys), "left").withColumn("_slice", F.when(F.col("_hot"), slice_by)).drop("_hot")
+    marked = F.broadcast(hot.withColumn("_hot", F.lit(True)))
+    rows = df.join(marked, list(keys), "left").withColumn("_slice", F.when(F.col("_hot"), slice_by)).drop("_hot")
+    return rows, df.join(F.broadcast(hot), list(keys)).withColumn("_slice", slice_by)
 
 
 def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str], slice_by: Column,
-                  alias: str = "previous", hot_rows: int = HOT_ROWS) -> DataFrame:
+                  alias: str = "previous", hot: DataFrame | None = None) -> DataFrame:
     """Add a struct of `values` from the row before in `order` within `keys`; NULL struct for the first row.
 
-    `slice_by` must not decrease along `order`. `order` must be unique within `keys`.
+    `slice_by` must not decrease along `order`. `order` must be unique within `keys`. `hot` lists the keys to slice (default:
+    `hot_keys` of the rows).
     """
     value = F.struct(*values)
-    sliced = slice_hot_keys(df, keys, slice_by, hot_rows)
+    sliced, hot_rows = slice_hot_keys(df, keys, slice_by, hot_keys(df, keys) if hot is None else hot)
     # Last value of each slice, handed to the next slice that has rows.
-    ends = (
-        sliced.where(F.col("_slice").isNotNull()).groupBy(*keys, "_slice")
-        .agg(F.max_by(value, F.struct(*order)).alias("_carry"))
-    )
+    ends = hot_rows.groupBy(*keys, "_slice").agg(F.max_by(value, F.struct(*order)).alias("_carry"))
     by_slice = Window.partitionBy(*keys).orderBy("_slice")
     carried = ends.withColumn("_slice", F.lead("_slice").over(by_slice)).where(F.col("_slice").isNotNull())
     rows = sliced.select("*", value.alias("_carry"), F.lit(1).alias("_is_row"))
@@ -62,10 +64,10 @@ def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], valu
 
 
 def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_by: Column, alias: str = "position",
-                  hot_rows: int = HOT_ROWS) -> DataFrame:
+                  hot: DataFrame | None = None) -> DataFrame:
     """Add the zero-based position of each row within `keys` in `order`, hot keys counted slice by slice."""
-    sliced = slice_hot_keys(df, keys, slice_by, hot_rows)
-    sizes = sliced.where(F.col("_slice").isNotNull()).groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_size"))
+    sliced, hot_rows = slice_hot_keys(df, keys, slice_by, hot_keys(df, keys) if hot is None else hot)
+    sizes = hot_rows.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     bases = sizes.select(*keys, "_slice", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_base"))
     # The base rides along as one extra leading row per slice, so the rows themselves are shuffled once.

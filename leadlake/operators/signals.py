@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 from leadlake import constants as C
 from leadlake.functions.text import contains_any, null_if_empty
 
-_SIGNATURES = [(platform, s) for platform, signatures in C.BOOKING_SIGNATURES.items() for s in signatures]
-
-
 def platform_from(html_lower: Column, final_url: Column) -> Column:
     """Site builder: the address first, then markers in the page."""
     url = F.lower(final_url)
@@ -31,8 +28,7 @@ def booking_signature(text: Column) -> Column:
 
 def booking_signature_from(text: Column, signatures: list[tuple[str, str]]) -> Column:
     """Same, with the (platform, signature) pairs given as data in priority order."""
-    pairs = F.array(*[F.struct(F.lit(p).alias("platform"), F.lit(s).alias("signature")) for p, s in signatures])
-    return F.try_element_at(F.filter(pairs, lambda pair: F.contains(text, pair.signature)), F.lit(1)).platform
+    return F.coalesce(*[F.when(F.contains(text, F.lit(signature)), platform) for platform, signature in signatures])
 
 
 def mobile_friendly(viewport: Column) -> Column:

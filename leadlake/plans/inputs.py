@@ -191,7 +191,7 @@ FROM <<nation>>
 
 # Search answers: two places per answer, the same place in several queries.
 INPUTS["search"] = """
-SELECT n_name || ', IL' AS metro, CAST(c_custkey % 3 AS INT) AS query_ord, c_custkey,
+SELECT n_name || ', IL' AS metro, CAST(c_custkey AS INT) AS query_ord, c_custkey,
        CASE c_custkey % 40 WHEN 7 THEN 'OVER_QUERY_LIMIT' WHEN 9 THEN 'ZERO_RESULTS' ELSE 'OK' END AS status,
        CASE c_custkey % 80 WHEN 7 THEN 'quota' END AS error_message
 FROM <<customer>> JOIN <<nation>> ON c_nationkey = n_nationkey

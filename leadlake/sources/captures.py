@@ -45,6 +45,9 @@ def sitemap_links(sitemaps: DataFrame, keep: list[str], xml: str = "xml") -> Dat
 
 
 def anchor_links(pages: DataFrame, keep: list[str]) -> DataFrame:
-    """One row per anchor with an href, in document order. Needs `parts`."""
-    return pages.select(*keep, F.posexplode("parts.anchors").alias("ord", "anchor")).select(
-        *keep, "ord", "anchor.href", "anchor.text", "anchor.label")
+    """One row per anchor with an href, in document order. Needs `parts`.
+
+    The outer explode keeps Spark from inferring a filter on the array, which would parse every page a second time.
+    """
+    return pages.select(*keep, F.posexplode_outer("parts.anchors").alias("ord", "anchor")).where("anchor IS NOT NULL").select(
+        *keep, F.col("ord").cast("long").alias("ord"), "anchor.href", "anchor.text", "anchor.label")
