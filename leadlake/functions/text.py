@@ -10,6 +10,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from leadlake.functions.arrow import arrow_function, map_values
+
 NON_ASCII = r"[^\x00-\x7F]"
 
 
@@ -49,16 +51,17 @@ def normalize_label_native(text: Column) -> Column:
     return collapse_spaces(F.regexp_replace(spelled, r"[^\p{L}\p{N}_\s]", " "))
 
 
-@F.arrow_udf(T.StringType())
+def _fold(value: str | None) -> str | None:
+    if value is None:
+        return None
+    folded = unicodedata.normalize("NFKC", value).casefold().replace("&", " and ")
+    return " ".join(re.sub(r"[^\w\s]", " ", folded).split())
+
+
+@arrow_function(T.StringType())
 def _fold_unicode(values: pa.Array) -> pa.Array:
     """Compatibility form and full case folding, which Spark SQL has no function for."""
-    def fold(value: str | None) -> str | None:
-        if value is None:
-            return None
-        folded = unicodedata.normalize("NFKC", value).casefold().replace("&", " and ")
-        return " ".join(re.sub(r"[^\w\s]", " ", folded).split())
-
-    return pa.array([fold(v) for v in values.to_pylist()], pa.string())
+    return map_values(pa.string(), _fold, values)
 
 
 def normalize_label(text: Column) -> Column:

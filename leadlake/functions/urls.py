@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from leadlake.constants import BOOKING_SIGNATURES, DEFAULT_SUFFIXES
+from leadlake.functions.arrow import arrow_function, map_values
 from leadlake.functions.text import null_if_empty
 
 _PAIR = r"[A-Za-z0-9_.~-]*(?:=[A-Za-z0-9_.~-]*)?"
@@ -67,20 +68,21 @@ def _is_tracking(key: str) -> bool:
     return re.match(_TRACKING, key) is not None
 
 
-@F.arrow_udf(T.StringType())
-def _canonical_any(values: pa.Array) -> pa.Array:
-    def canonical(url: str | None) -> str | None:
-        if url is None:
-            return None
-        try:
-            parts = urlparse(url)
-        except ValueError:
-            return None
-        query = urlencode([(k, v) for k, v in parse_qsl(parts.query, keep_blank_values=True) if not _is_tracking(k)])
-        return urlunparse(parts._replace(scheme=parts.scheme.lower(), netloc=parts.netloc.lower(),
-                                         path=parts.path or "/", params="", query=query, fragment=""))
+def _canonical(url: str | None) -> str | None:
+    if url is None:
+        return None
+    try:
+        parts = urlparse(url)
+    except ValueError:
+        return None
+    query = urlencode([(k, v) for k, v in parse_qsl(parts.query, keep_blank_values=True) if not _is_tracking(k)])
+    return urlunparse(parts._replace(scheme=parts.scheme.lower(), netloc=parts.netloc.lower(),
+                                     path=parts.path or "/", params="", query=query, fragment=""))
+
 
-    return pa.array([canonical(v) for v in values.to_pylist()], pa.string())
+@arrow_function(T.StringType())
+def _canonical_any(values: pa.Array) -> pa.Array:
+    return map_values(pa.string(), _canonical, values)
 
 
 def canonical_url(url: Column) -> Column:
@@ -89,17 +91,18 @@ def canonical_url(url: Column) -> Column:
     return F.coalesce(F.when(plain, _canonical_plain(url)), _canonical_any(F.when(~plain, url)))
 
 
-@F.arrow_udf(T.StringType())
+def _join(base: str | None, href: str | None) -> str | None:
+    if base is None or href is None:
+        return None
+    try:
+        return urljoin(base, href)
+    except ValueError:
+        return None
+
+
+@arrow_function(T.StringType())
 def _join_any(base: pa.Array, href: pa.Array) -> pa.Array:
-    def join(b: str | None, h: str | None) -> str | None:
-        if b is None or h is None:
-            return None
-        try:
-            return urljoin(b, h)
-        except ValueError:
-            return None
-
-    return pa.array([join(b, h) for b, h in zip(base.to_pylist(), href.to_pylist())], pa.string())
+    return map_values(pa.string(), _join, base, href)
 
 
 def resolve_url(base: Column, href: Column) -> Column:

@@ -16,7 +16,8 @@ from leadlake.sources.captures import anchor_links, sitemap_links
 
 def _scored(links: DataFrame, root_suffixes: Sequence[str], anchors: bool) -> DataFrame:
     """Links in scope with at least one price word: (site_id, home_url, url, score)."""
-    named = links.withColumn("url", canonical_url(resolve_url(F.col("home_url"), F.col("href")) if anchors else F.col("href")))
+    target = links.withColumn("_target", resolve_url(F.col("home_url"), F.col("href")) if anchors else F.col("href"))
+    named = target.withColumn("url", canonical_url(F.col("_target")))
     hosted = named.withColumn("host", registrable_host(F.col("url"), root_suffixes))
     in_scope = F.col("host") == F.col("root")
     if anchors:
