@@ -109,7 +109,7 @@ def resolve_url(base: Column, href: Column) -> Column:
     """Absolute form of a link found on `base`; NULL when it cannot be read."""
     root = F.regexp_extract(base, r"^([a-z][a-z0-9+.-]*://[^/?#]+)", 1)
     rooted = href.rlike(_PLAIN_ROOT_PATH) & ~F.contains(href, F.lit("/.")) & ~F.contains(href, F.lit("//")) & (root != "")
-    absolute = href.rlike(_PLAIN_URL) & href.rlike(r"^https?://")
+    absolute = href.rlike(_PLAIN_URL) & href.rlike(r"^https?://") & ~href.rlike(r"[?#](?:#|$)")
     hard = ~(rooted | absolute)
     return F.coalesce(
         F.when(rooted, F.concat(root, href)),
