@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadlake import constants as C
-from leadlake.functions.text import collapse_spaces, contains_any, extract, null_if_empty, normalize_label
+from leadlake.functions.text import collapse_spaces, extract, mentions, null_if_empty, normalize_label
 from leadlake.schemas import AMOUNT
 
 
@@ -69,7 +69,7 @@ def parse_rows(rows: DataFrame, text: str, parity: bool = False, exempt: Column
     listed_amount = F.when(priced & F.col("is_range"), F.col("range_min")).otherwise(F.col("first_amount"))
     return staged.select(
         *kept,
-        F.when(contains_any(lower, ["offer", "special", "expires", "valid through"]), "offer")
+        F.when(mentions(lower, ["offer", "special", "expires", "valid through"]), "offer")
         .when(F.contains(lower, F.lit("membership")), "membership")
         .when(F.contains(lower, F.lit("package")), "package")
         .otherwise("service").alias("offering_type"),

@@ -15,8 +15,13 @@ from leadlake.functions.arrow import arrow_function, map_values
 NON_ASCII = r"[^\x00-\x7F]"
 
 
+def mentions(text: Column, words: list[str]) -> Column:
+    """True when a short text (a link, a label) has at least one of the words: one pattern, compiled once."""
+    return text.rlike("|".join(re.escape(word) for word in words))
+
+
 def contains_any(text: Column, words: list[str]) -> Column:
-    """True when the text contains at least one of a fixed, short list of words."""
+    """True when a long text (a page) contains at least one of the words: plain scans, which beat a pattern there."""
     hit = F.lit(False)
     for word in words:
         hit = hit | F.contains(text, F.lit(word))

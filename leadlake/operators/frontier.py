@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadlake import constants as C
-from leadlake.functions.text import contains_any, count_words
+from leadlake.functions.text import count_words, mentions
 from leadlake.functions.urls import booking_hosts, canonical_url, netloc, registrable_host, resolve_url
 from leadlake.operators.ordered import HOT_ROWS, hot_keys, keep_first, with_position
 from leadlake.sources.captures import anchor_links, sitemap_links
@@ -41,7 +41,7 @@ def link_scores(homepages: DataFrame, sitemaps: DataFrame | None = None,
     links = anchor_links(rooted(homepages), keep)
     # Links that cannot score are dropped before their address is resolved. Escapes and control characters may hide a word.
     words = F.lower(F.concat_ws(" ", "label", "href", "home_url"))
-    links = links.where(contains_any(words, C.PRICE_LINK_WORDS) | F.col("href").rlike("[%+\\x00-\\x1f]"))
+    links = links.where(mentions(words, C.PRICE_LINK_WORDS) | F.col("href").rlike("[%+\\x00-\\x1f]"))
     found = _scored(links, suffixes, anchors=True)
     if sitemaps is not None:
         found = found.unionByName(_scored(sitemap_links(rooted(sitemaps), keep), suffixes, anchors=False))

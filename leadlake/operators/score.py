@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadlake import constants as C
-from leadlake.functions.text import contains_any
+from leadlake.functions.text import mentions
 
 
 def _true(condition: Column) -> Column:
@@ -19,7 +19,7 @@ def deficiencies() -> dict[str, Column]:
     """One boolean per deficiency, from the current state of the business row."""
     platform, url = F.col("site_platform"), F.coalesce("website_url", F.lit(""))
     unknown_platform = F.coalesce(platform, F.lit("")) == ""
-    hub_url = (url == "") | contains_any(F.lower(url), ["linktr.ee", "facebook.com"])
+    hub_url = (url == "") | mentions(F.lower(url), ["linktr.ee", "facebook.com"])
     dormant = _true(F.col("social_status") == "dormant")
     found = {
         "no_website": _true(platform.isin("none", "linktree", "facebook")) | (unknown_platform & hub_url),

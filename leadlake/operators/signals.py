@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadlake import constants as C
-from leadlake.functions.text import contains_any, null_if_empty
+from leadlake.functions.text import contains_any, mentions, null_if_empty
 
 def platform_from(html_lower: Column, final_url: Column) -> Column:
     """Site builder: the address first, then markers in the page."""
@@ -33,7 +33,7 @@ def booking_signature_from(text: Column, signatures: list[tuple[str, str]]) -> C
 
 def mobile_friendly(viewport: Column) -> Column:
     content = F.lower(F.coalesce(viewport, F.lit("")))
-    return contains_any(content, ["width=device-width", "initial-scale"]).cast("int")
+    return mentions(content, ["width=device-width", "initial-scale"]).cast("int")
 
 
 def first_where(items: Column, test) -> Column:
@@ -53,19 +53,21 @@ def with_booking(pages: DataFrame, ignore_social_hosts: bool = False) -> DataFra
     Rules in order: a known signature anywhere in the page, a link that says or points to booking, a button that says so.
     The second rule also takes "book" inside "facebook"; `booking_evidence` shows it and `ignore_social_hosts` turns it off.
     """
+    signatures = [s for found in C.BOOKING_SIGNATURES.values() for s in found]
+
     def link_hit(anchor: Column) -> Column:
         href = F.lower(anchor.href)
-        by_href = contains_any(href, C.BOOKING_HREF_WORDS)
         if ignore_social_hosts:
-            by_href = by_href & ~contains_any(href, _SOCIAL_HOSTS)
-        return (by_href | contains_any(F.lower(anchor.text), C.BOOKING_TEXT_WORDS)
-                | booking_signature(href).isNotNull())
+            by_href = mentions(href, signatures) | (mentions(href, C.BOOKING_HREF_WORDS) & ~mentions(href, _SOCIAL_HOSTS))
+        else:
+            by_href = mentions(href, signatures + C.BOOKING_HREF_WORDS)
+        return by_href | mentions(F.lower(anchor.text), C.BOOKING_TEXT_WORDS)
 
     # Each rule's hit is a column of its own, so that it is found once and then read several times.
     hits = pages.withColumns({
         "_page_hit": booking_signature(F.col("_lower")),
         "_link": first_where(F.col("parts.anchors"), link_hit).href,
-        "_control": first_where(F.col("parts.controls"), lambda text: contains_any(F.lower(text), C.BOOKING_TEXT_WORDS)),
+        "_control": first_where(F.col("parts.controls"), lambda text: mentions(F.lower(text), C.BOOKING_TEXT_WORDS)),
     })
     page_hit, link, control = F.col("_page_hit"), F.col("_link"), F.col("_control")
     return hits.withColumns({
@@ -81,7 +83,7 @@ def with_booking(pages: DataFrame, ignore_social_hosts: bool = False) -> DataFra
 def with_social_links(pages: DataFrame) -> DataFrame:
     """Add page_instagram and page_facebook: the first link of each kind; share buttons do not count. Needs `parts`."""
     numbered = F.transform("parts.anchors", lambda a, i: F.struct(a.href.alias("href"), F.lower(a.href).alias("lower"), i.alias("ord")))
-    hubs = pages.withColumn("_hubs", F.filter(numbered, lambda a: contains_any(a.lower, ["instagram.com", "facebook.co"])))
+    hubs = pages.withColumn("_hubs", F.filter(numbered, lambda a: mentions(a.lower, ["instagram.com", "facebook.co"])))
     found = hubs.withColumn("_instagram", first_where(F.col("_hubs"), lambda a: F.contains(a.lower, F.lit("instagram.com"))))
     facebook = first_where(F.col("_hubs"), lambda a: F.contains(a.lower, F.lit("facebook.co")) & ~F.contains(a.lower, F.lit("sharer"))
                            & ~a.ord.eqNullSafe(F.col("_instagram.ord")))
@@ -90,7 +92,7 @@ def with_social_links(pages: DataFrame) -> DataFrame:
 
 def contact_href(anchors: Column) -> Column:
     """Last link that looks like a contact page, as written."""
-    return last_where(anchors, lambda a: contains_any(F.lower(a.href), C.CONTACT_HREF_WORDS)).href
+    return last_where(anchors, lambda a: mentions(F.lower(a.href), C.CONTACT_HREF_WORDS)).href
 
 
 def page_email(anchors: Column, html: Column) -> Column:

@@ -46,8 +46,14 @@ def text_of(*names: str):
     return [F.col(n).cast("string").alias(n) for n in names]
 
 
+def spread_load(spark: SparkSession, d: str, name: str) -> DataFrame:
+    """An input whose rows are costly to work on, over enough tasks also when its table is one small file."""
+    table, key = {"captures": ("pages", "page_id"), "documents": ("documents", "doc_id")}.get(name, ("part", "p_partkey"))
+    return spread(load(spark, d, name), f"{d}/{table}.parquet", key)
+
+
 def page_facts(spark: SparkSession, d: str) -> DataFrame:
-    return captured.with_page_parts(spread(load(spark, d, "captures")))
+    return captured.with_page_parts(spread_load(spark, d, "captures"))
 
 
 # ---------------------------------------------------------------- scoring, queue, hooks
@@ -213,7 +219,7 @@ _BOOKED = f"""SELECT *, CASE WHEN NOT gate OR (captured AND failure IS NOT NULL)
 
 @query(f"SELECT place_id, site_fetch_status, site_platform, has_ssl, is_mobile_friendly FROM ({_STATE}) s")
 def site_state(spark, d):
-    done = lead_flow.enrich(schemas.conform(load(spark, d, "fresh_biz"), schemas.BUSINESSES), spread(load(spark, d, "captures")), as_of())
+    done = lead_flow.enrich(schemas.conform(load(spark, d, "fresh_biz"), schemas.BUSINESSES), spread_load(spark, d, "captures"), as_of())
     return done.select("place_id", "site_fetch_status", "site_platform", "has_ssl", "is_mobile_friendly")
 
 
@@ -231,7 +237,7 @@ _FLOW_ASKED = f"(scan = false OR captured) AND scraped IS NULL AND deficiency_sc
     CASE WHEN scraped IS NOT NULL THEN 'verified' WHEN asked THEN COALESCE(f.status, 'not_found') ELSE 'not_attempted' END AS email_status
     FROM (SELECT *, {_FLOW_ASKED} AS asked, {_LOOKUP} AS domain_key FROM ({_FLOW}) l2) l3 LEFT JOIN <<finder>> f ON asked AND f.domain = domain_key""")
 def lead_pipeline_rows(spark, d):
-    done = lead_flow.enrich(schemas.conform(load(spark, d, "fresh_biz"), schemas.BUSINESSES), spread(load(spark, d, "captures")),
+    done = lead_flow.enrich(schemas.conform(load(spark, d, "fresh_biz"), schemas.BUSINESSES), spread_load(spark, d, "captures"),
                             as_of(), load(spark, d, "finder"))
     return done.select("place_id", "site_fetch_status", "site_platform", "has_ssl", "is_mobile_friendly", "has_online_booking",
                        "booking_platform", "instagram_url", "facebook_url", "social_status", "deficiency_score",
@@ -244,7 +250,7 @@ def lead_pipeline_rows(spark, d):
     UNION ALL SELECT 'hooks', COUNT(*) FROM ({_BOOKED}) b UNION ALL SELECT 'score', COUNT(*) FROM ({_BOOKED}) b) t""")
 def stage_totals(spark, d):
     before = schemas.conform(load(spark, d, "fresh_biz"), schemas.BUSINESSES)
-    return lead_flow.stage_totals(before, lead_flow.enrich(before, spread(load(spark, d, "captures")), as_of()))
+    return lead_flow.stage_totals(before, lead_flow.enrich(before, spread_load(spark, d, "captures"), as_of()))
 
 
 _DONE = f"SELECT *, CASE WHEN scraped IS NOT NULL THEN scraped WHEN asked THEN f.email END AS final_email FROM (SELECT *, {_FLOW_ASKED} AS asked, {_LOOKUP} AS domain_key FROM ({_FLOW}) l2) l3 LEFT JOIN (SELECT domain, email AS email, status FROM <<finder>> f0) f ON asked AND f.domain = domain_key"
@@ -258,7 +264,7 @@ _DONE = f"SELECT *, CASE WHEN scraped IS NOT NULL THEN scraped WHEN asked THEN f
     UNION ALL SELECT NULL, stage, 'info', 'Completed stage for ' || CAST(rows AS STRING) || ' businesses' FROM ({CHECKS['stage_totals']}) t""")
 def stage_events(spark, d):
     before = schemas.conform(load(spark, d, "fresh_biz"), schemas.BUSINESSES)
-    after = lead_flow.enrich(before, spread(load(spark, d, "captures")), as_of(), load(spark, d, "finder"))
+    after = lead_flow.enrich(before, spread_load(spark, d, "captures"), as_of(), load(spark, d, "finder"))
     return lead_flow.run_events(before, after, as_of()).select("place_id", "stage", "level", "message")
 
 
@@ -348,12 +354,12 @@ def content_hash(spark, d):
 
 @query(f"SELECT doc_id, {Q.normalized('text')} AS label FROM <<documents>> d")
 def text_norm_native(spark, d):
-    return spread(load(spark, d, "documents")).select("doc_id", T.normalize_label_native(F.col("text")).alias("label"))
+    return spread_load(spark, d, "documents").select("doc_id", T.normalize_label_native(F.col("text")).alias("label"))
 
 
 @query(f"SELECT doc_id, REPLACE({Q.normalized('NFC_NORMALIZE(text)')}, 'ß', 'ss') AS label FROM <<documents>> d")
 def text_norm(spark, d):
-    return spread(load(spark, d, "documents")).select("doc_id", T.normalize_label(F.col("text")).alias("label"))
+    return spread_load(spark, d, "documents").select("doc_id", T.normalize_label(F.col("text")).alias("label"))
 
 
 _SHOWN = "html"
@@ -377,7 +383,7 @@ def visible_text(spark, d):
 
 @query(f"SELECT p_partkey, {Q.collapsed('row_text')} AS row_text FROM <<menu_pages>> m WHERE CONTAINS(row_text, '$')")
 def price_row_texts(spark, d):
-    pages = captured.with_page_parts(spread(load(spark, d, "menu_pages")))
+    pages = captured.with_page_parts(spread_load(spark, d, "menu_pages"))
     return pages.select("p_partkey", F.explode_outer("parts.rows").alias("row_text")).where("row_text IS NOT NULL")
 
 
@@ -544,7 +550,7 @@ def update_stage_columns(spark, d):
     SPLIT_PART(REGEXP_REPLACE(SPLIT_PART(page_instagram, 'instagram.com/', 2), '/+$', ''), '?', 1) END AS ig_handle
     FROM <<captures>> c JOIN {Q.page_facts('<<captures>>')} f ON f.page_id = c.page_id""")
 def enrich_competitors(spark, d):
-    pages = spread(load(spark, d, "captures"))
+    pages = spread_load(spark, d, "captures")
     ids = F.concat(F.lit("cmp_"), F.col("page_id").cast("string"))
     stored = load(spark, d, "pages").select(ids.alias("id"), F.lit("https://x.example.com").alias("website"),
                                             F.when(F.col("page_id") % 3 == 0, "kept").alias("ig_handle"))
@@ -595,7 +601,7 @@ _OFFERS = f"(p_partkey % 5 < 3 AND CONTAINS(row_text, '$') AND REGEXP_MATCHES({Q
 @query(f"""SELECT p_partkey, CAST({_CARE} + {_ROW} + CASE WHEN {_CARE} > 0 AND {_ROW} > 0 THEN 1 ELSE 0 END < 200
     OR (p_partkey % 4 < 2 AND NOT {_OFFERS}) AS INT) AS needs_render FROM <<shells>> s""")
 def needs_render(spark, d):
-    pages = captured.with_page_parts(spread(load(spark, d, "shells")))
+    pages = captured.with_page_parts(spread_load(spark, d, "shells"))
     return pages.select("p_partkey", captured.needs_render(offers.has_candidates()).cast("int").alias("needs_render"))
 
 
@@ -637,7 +643,7 @@ _STRUCTURED = f"""SELECT p_partkey, competitor_id, run_id, page_ord, final_url,
 
 @query(f"SELECT p_partkey, cand_ord, display_name, price_display, CAST(amount_min * 100 AS BIGINT) AS amount_min_minor, currency FROM ({_STRUCTURED}) s")
 def jsonld_offers(spark, d):
-    pages = price_flow.read_pages(spread(load(spark, d, "menu_pages")))
+    pages = price_flow.read_pages(spread_load(spark, d, "menu_pages"))
     found = offers.candidates(offers.page_items(pages, ["p_partkey"]), ["p_partkey"]).where("structured")
     return found.select("p_partkey", F.col("cand_ord").cast("int").alias("cand_ord"), "display_name", "price_display",
                         minor_units(F.col("amount_min")).alias("amount_min_minor"), "currency")
@@ -682,12 +688,12 @@ _VALIDATED = f"""SELECT *, CASE WHEN NOT branded THEN 'unverified_booking_brand'
 
 
 def _observations(spark, d):
-    pages = price_flow.read_pages(spread(load(spark, d, "menu_pages")))
+    pages = price_flow.read_pages(spread_load(spark, d, "menu_pages"))
     return price_flow.observations(pages, load(spark, d, "menu_competitors"), load(spark, d, "aliases"), load(spark, d, "catalog"))
 
 
 def _candidates(spark, d):
-    return price_flow.page_candidates(price_flow.read_pages(spread(load(spark, d, "menu_pages"))), load(spark, d, "menu_competitors"))
+    return price_flow.page_candidates(price_flow.read_pages(spread_load(spark, d, "menu_pages")), load(spark, d, "menu_competitors"))
 
 
 @query(f"""SELECT competitor_id, page_ord, CAST(cand_ord AS BIGINT) AS cand_ord, offering_key, offering_type, display_name, service_catalog_id, price_type,
@@ -742,7 +748,7 @@ def duplicates_collapsed(spark, d):
     competitor_id || '/run_1/' || SHA256(html) || '.html' AS archive_path FROM {_OK_PAGES} p
     WHERE page_ord IN (SELECT page_ord FROM ({_VALIDATED}) v)""")
 def evidence_pages(spark, d):
-    pages = price_flow.read_pages(spread(load(spark, d, "menu_pages"))).withColumn("title", F.col("parts.title"))
+    pages = price_flow.read_pages(spread_load(spark, d, "menu_pages")).withColumn("title", F.col("parts.title"))
     return runs.evidence_pages(pages, _observations(spark, d)).select(
         "competitor_id", "page_ord", "final_url", "title", "content_sha256", "archive_path")
 

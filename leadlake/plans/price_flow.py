@@ -14,6 +14,7 @@ from leadlake.operators.offers import candidates, dedupe_candidates, page_items
 from leadlake.operators.ordered import lookup
 from leadlake.operators.runs import PAGE_KEYS
 from leadlake.operators.signals import instagram_handle, page_signals
+from leadlake.session import cut_lineage
 from leadlake.sources import places
 from leadlake.sources.captures import capture_outcome, with_page_parts
 
@@ -90,3 +91,14 @@ def update(tables: PriceTables, found: DataFrame) -> tuple[PriceTables, DataFram
         candidates=schemas.conform(history.merge_candidates(tables.candidates, pending), schemas.OFFERING_CANDIDATES),
         events=schemas.conform(history.merge_events(tables.events, log), schemas.PRICE_EVENTS),
     ), log
+
+
+def crawl_batch(tables: PriceTables, captures: DataFrame, competitors: DataFrame, aliases: DataFrame, catalog: DataFrame,
+                fallback_dir: str | None = None, parity: bool = False) -> tuple[PriceTables, DataFrame, DataFrame]:
+    """(new tables, event log, observations) of one crawl batch.
+
+    Observations feed three merges and the log, so they are checkpointed once instead of parsing the pages for each.
+    """
+    found = cut_lineage(observations(read_pages(captures), competitors, aliases, catalog, parity), fallback_dir)
+    new, log = update(tables, found)
+    return new, log, found

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
+_SPLIT_BYTES = 128 * 1024 * 1024
+
 # Safe on a laptop and on a cluster; shuffle partition counts are left to the deployment and to AQE.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -24,7 +28,7 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g", warehouse: str = "spark-warehouse") -> SparkSession:
     """Session for tests and benchmarks on one machine."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -36,7 +40,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
     )
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
-    spark = builder.getOrCreate()
+    spark = builder.config("spark.sql.warehouse.dir", warehouse).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
@@ -52,10 +56,11 @@ def cut_lineage(df: DataFrame, fallback_dir: str | None = None) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give CPU-heavy per-row work enough tasks when the input is fewer files than cores.
+def spread(df: DataFrame, path: str, key: str) -> DataFrame:
+    """Give CPU-heavy per-row work enough tasks when the input is one small local file, which Spark reads in one task.
 
-    A large input already has more splits than cores and passes through unchanged, so this never adds a shuffle at scale.
+    Folders and large files have splits of their own and pass through unchanged, so this adds no shuffle at scale.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if 0 < len(df.inputFiles()) < cores else df
+    small = os.path.isfile(path) and os.path.getsize(path) < cores * _SPLIT_BYTES
+    return df.repartition(cores, key) if small else df

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from leadlake import constants as C
 from leadlake.functions.html import page_parts
-from leadlake.functions.text import contains_any
+from leadlake.functions.text import mentions
 from leadlake.functions.urls import path
 
 
@@ -36,7 +36,7 @@ def needs_render(has_candidates: Column) -> Column:
 
 
 def high_signal(url: Column) -> Column:
-    return contains_any(F.lower(path(url)), C.PRICE_LINK_WORDS)
+    return mentions(F.lower(path(url)), C.PRICE_LINK_WORDS)
 
 
 def sitemap_links(sitemaps: DataFrame, keep: list[str], xml: str = "xml") -> DataFrame:

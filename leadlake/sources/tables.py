@@ -25,6 +25,12 @@ def write_snapshot(df: DataFrame, path: str) -> None:
     df.write.mode("errorifexists").parquet(path)
 
 
+def write_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int) -> None:
+    """Write a snapshot as a catalog table bucketed and sorted by key: a later merge shuffles only its batch."""
+    spread = df.repartition(buckets, *keys)
+    spread.write.mode("errorifexists").bucketBy(buckets, *keys).sortBy(*keys).format("parquet").saveAsTable(table)
+
+
 def businesses(spark: SparkSession, path: str) -> DataFrame:
     return read_snapshot(spark, path, schemas.BUSINESSES)
 

@@ -9,7 +9,7 @@ from leadlake.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(cores=4, shuffle_partitions=4, memory="4g")
+def spark(tmp_path_factory):
+    session = local_session(cores=4, shuffle_partitions=4, memory="4g", warehouse=str(tmp_path_factory.mktemp("warehouse")))
     yield session
     session.stop()
