@@ -16,7 +16,7 @@ from leadlake import schemas
 from leadlake.functions.text import metro_key
 from leadlake.operators import contact, hooks, site
 from leadlake.operators.markets import is_fresh, market_status
-from leadlake.operators.merge import COALESCE, KEEP, OVERWRITE, merge
+from leadlake.operators.merge import COALESCE, KEEP, OVERWRITE, merge, reduce_batch
 from leadlake.operators.score import with_score
 from leadlake.operators.signals import page_signals
 from leadlake.sources import places
@@ -43,13 +43,15 @@ def due_metros(markets: DataFrame, discovery_runs: DataFrame, as_of: Column, for
 def discover(current: DataFrame, searched: DataFrame, search_payloads: DataFrame, details_payloads: DataFrame,
              as_of: Column) -> tuple[DataFrame, DataFrame]:
     """(businesses, market status) after a discovery batch. Later queries win; missing facts never erase stored ones."""
-    results = places.search_results(search_payloads)
+    order = ["metro_key", "query_ord", "result_ord"]
+    found = {c: rule for c, rule in BUSINESS_RULES.items() if c not in ("phone", "website_url", "discovered_at")}
+    # One row per place first: contact facts depend on the place alone, so a place in every answer is joined once.
+    results = reduce_batch(places.search_results(search_payloads), ["place_id"], order, found)
     stored = current.select("place_id", "phone", F.col("website_url").alias("website"))
-    found = places.with_contact_facts(results, stored, places.place_details(details_payloads)).withColumnRenamed(
+    complete = places.with_contact_facts(results, stored, places.place_details(details_payloads)).withColumnRenamed(
         "website", "website_url").withColumn("discovered_at", as_of.cast("timestamp"))
-    order = ["metro_key", "query_ord", "result_ord"]
     status = market_status(searched, places.search_failures(search_payloads), as_of)
-    return merge_businesses(current, found, order), status
+    return merge_businesses(current, complete), status
 
 
 def captured_signals(captures: DataFrame, ignore_social_hosts: bool = False) -> DataFrame:
@@ -127,7 +129,10 @@ def stage_totals(before: DataFrame, after: DataFrame) -> DataFrame:
 
 
 def run_events(before: DataFrame, after: DataFrame, as_of: Column) -> DataFrame:
-    """Log entries of one enrichment run: per-row outcomes and one completion line per stage."""
+    """Log entries of one enrichment run: per-row outcomes and one completion line per stage.
+
+    Pass stored snapshots: `after` is read once for the rows and once for the totals.
+    """
     old = before.select("place_id", F.col("site_fetched_at").alias("_site"), F.col("hook_generated_at").alias("_hook"),
                         F.col("notes").alias("_notes"), F.col("email").alias("_email"))
     rows = after.join(old, "place_id", "left")
