@@ -114,3 +114,9 @@ def market_status(searched: DataFrame, failures: DataFrame, as_of: Column) -> Da
 def merge_market_status(current: DataFrame, updates: DataFrame) -> DataFrame:
     rules = dict.fromkeys(["metro", "last_status", "last_completed_at", "last_error", "updated_at"], OVERWRITE)
     return merge(current, updates, ["metro_key"], rules)
+
+
+def eligible_competitors(competitors: DataFrame, ids: DataFrame) -> DataFrame:
+    """Competitors of the batch (column competitor_id) that have a website."""
+    wanted = ids.select(F.col("competitor_id").alias("id"))
+    return competitors.where(F.col("website").isNotNull()).join(wanted, "id", "left_semi")

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leadlake.constants import OFFERING_NAME
-from leadlake.functions.html import jsonld_offers
 from leadlake.functions.prices import parse_rows
 from leadlake.functions.text import collapse_spaces, normalize_label
 from leadlake.schemas import AMOUNT
@@ -23,23 +22,18 @@ def page_items(pages: DataFrame, keep: list[str]) -> DataFrame:
 
     Both kinds share one array, so the page is parsed once and nothing is unioned.
     """
-    payloads = F.col("parts.jsonld")
-    offers = F.coalesce(jsonld_offers(F.when(F.size(payloads) > 0, payloads)), F.array())
     items = F.concat(
-        F.transform("_offers", lambda o, i: F.struct(
+        F.transform(F.coalesce("parts.offers", F.array()), lambda o, i: F.struct(
             i.cast("long").alias("cand_ord"), o.alias("offer"), F.lit(None).cast("string").alias("row_text"))),
         F.transform(F.coalesce("parts.rows", F.array()), lambda t, i: F.struct(
             (i + _ROWS_AFTER).cast("long").alias("cand_ord"), F.lit(None).cast(_OFFER).alias("offer"), t.alias("row_text"))),
     )
-    return pages.select(*keep, "final_url", "parts", offers.alias("_offers")).select(
-        *keep, F.col("final_url").alias("source_url"), items.alias("items"))
+    return pages.select(*keep, F.col("final_url").alias("source_url"), items.alias("items"))
 
 
 def has_candidates() -> Column:
     """True when the page offers anything at all, told from the page row alone. Needs `parts`."""
-    payloads = F.col("parts.jsonld")
-    offers = F.size(F.coalesce(jsonld_offers(F.when(F.size(payloads) > 0, payloads)), F.array())) > 0
-    return offers | F.exists(F.coalesce("parts.rows", F.array()), lambda row: collapse_spaces(row).rlike(OFFERING_NAME))
+    return (F.size("parts.offers") > 0) | F.exists(F.coalesce("parts.rows", F.array()), lambda row: collapse_spaces(row).rlike(OFFERING_NAME))
 
 
 def candidates(paged: DataFrame, keep: list[str], parity: bool = False) -> DataFrame:

@@ -428,6 +428,45 @@ def due_markets(spark, d):
     return markets.due_markets(markets.market_groups(load(spark, d, "locations")), load(spark, d, "scrapes"), as_of()).select("metro_key")
 
 
+@query(f"""SELECT g.metro_key, g.query_ord, g.query FROM (SELECT metro_key, query_ord, phrase || ' in ' || metro_key AS query FROM (
+      SELECT metro_key, UNNEST([0, 1, 2]) AS query_ord, UNNEST(['med spa', 'day spa', 'medical spa']) AS phrase
+      FROM (SELECT DISTINCT metro_key FROM ({_TENANTS}) t WHERE metro_key <> '') k) p) g WHERE g.metro_key NOT IN (SELECT metro_key FROM <<scrapes>> s WHERE last_completed_at > {NOW} - INTERVAL 7 DAY)""")
+def due_searches(spark, d):
+    runs_ = load(spark, d, "scrapes").select("metro_key", F.col("last_completed_at").alias("completed_at"))
+    due = lead_flow.due_metros(markets.market_groups(load(spark, d, "locations")), runs_, as_of())
+    return places.search_requests(due.select("metro_key", F.col("metro_key").alias("metro"))).select("metro_key", "query_ord", "query")
+
+
+_MEMBERS = "SELECT 'cmp_' || CAST(l_suppkey AS STRING) AS competitor_id, 'm' || CAST(l_partkey % 97 AS STRING) AS metro_key FROM <<lineitem>> l WHERE l_quantity > 30"
+
+
+@query(f"SELECT DISTINCT competitor_id FROM ({_MEMBERS}) m WHERE metro_key IN (SELECT 'm' || CAST(n_nationkey AS STRING) FROM <<nation>> n)")
+def market_competitors(spark, d):
+    members = load(spark, d, "lineitem").where("l_quantity > 30").select(
+        F.concat(F.lit("cmp_"), F.col("l_suppkey").cast("string")).alias("competitor_id"),
+        F.concat(F.lit("m"), (F.col("l_partkey") % 97).cast("string")).alias("metro_key"))
+    chosen = load(spark, d, "nation").select(F.concat(F.lit("m"), F.col("n_nationkey").cast("string")).alias("metro_key"))
+    return markets.market_competitors(members, chosen)
+
+
+@query("""SELECT 'id_' || place_id AS id, website_url AS website FROM <<stored_places>> o WHERE website_url IS NOT NULL
+    AND place_id IN (SELECT place_id FROM <<search_places>> s)""")
+def eligible_competitors(spark, d):
+    stored = load(spark, d, "stored_places").select(F.concat(F.lit("id_"), "place_id").alias("id"), F.col("website_url").alias("website"))
+    found = load(spark, d, "search_places").select(F.concat(F.lit("id_"), "place_id").alias("competitor_id"))
+    return markets.eligible_competitors(stored, found)
+
+
+@query(f"""SELECT g.level, g.message FROM (SELECT LOWER(n_name) || ', il' AS metro_key, CASE WHEN f.metro_key IS NULL THEN 'info' ELSE 'error' END AS level,
+    CASE WHEN f.metro_key IS NULL THEN 'Completed discovery for metro: ' || n_name || ', IL' ELSE 'One or more place queries or writes failed.' END AS message
+    FROM <<nation>> n LEFT JOIN (SELECT DISTINCT LOWER(metro) AS metro_key FROM <<search>> s WHERE status = 'OVER_QUERY_LIMIT') f
+      ON f.metro_key = LOWER(n_name) || ', il') g""")
+def discovery_log(spark, d):
+    searched = load(spark, d, "scrapes").select("metro_key", "metro")
+    status = markets.market_status(searched, places.search_failures(load(spark, d, "search")), as_of())
+    return lead_flow.discovery_events(searched, status, as_of()).select("level", "message")
+
+
 @query(f"""SELECT competitor_id, CAST(COALESCE(MAX(completed_at) > {NOW} - INTERVAL 7 DAY, false) AS INT) AS fresh FROM <<runs>> r
     WHERE status IN ('complete', 'partial') GROUP BY competitor_id""")
 def crawl_fresh(spark, d):
