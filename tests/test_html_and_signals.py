@@ -122,3 +122,15 @@ def test_instagram_handle(spark):
                                 ("https://instagram.com",), (None,), ("https://instagram.com/glow?x=1",)], "u string")
     assert [r.h for r in df.select(instagram_handle(F.col("u")).alias("h")).collect()] == [
         "glow", "glow/", None, None, "glow"]
+
+
+def test_links_left_open_do_not_multiply_the_page(spark):
+    """Every unclosed link contains all later ones: texts stay small, and the words in them are still found."""
+    n = 4000
+    html = "".join(f'<a href="/x{i}">filler text {i} ' for i in range(n)) + "<b>bo</b>ok a treatment" + '<a href="/end">nothing'
+    got = parts(spark, html)
+    assert len(got.anchors) == n + 1
+    assert sum(len(a.text) + len(a.label) for a in got.anchors) < 40 * n
+    assert all("book" in a.text and "book" not in a.label and "treatment" in a.label for a in got.anchors[:n])
+    assert got.anchors[n].text == "" and got.anchors[n].label == ""
+    assert signals(spark, [html])[0].booking_platform == "other"
