@@ -24,8 +24,8 @@ REFERENCES = {
            {"de": 0.051, "la": 0.026, "que": 0.020, "el": 0.015, "en": 0.013, "y": 0.011, "los": 0.010, "se": 0.008, "las": 0.007, "del": 0.007, "por": 0.006, "un": 0.006}),
 }
 # Largest distances (0 to 1) of a kept text, and the least words below which a histogram says too little to judge by.
-MAX_CLASS_DISTANCE, MIN_CLASS_WORDS = 0.19, 50
-MAX_WORD_DISTANCE, MIN_WORD_WORDS = 0.24, 150
+MAX_CLASS_DISTANCE, MIN_CLASS_WORDS = 0.16, 50
+MAX_WORD_DISTANCE, MIN_WORD_WORDS = 0.22, 150
 _FEW = 64
 
 

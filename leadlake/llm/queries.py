@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leadlake.llm import decontam, langid, packing, pii, quality_rules, secrets, simhash
+from leadlake.llm import decontam, langid, packing, pii, quality_model, quality_rules, secrets, simhash, suffix_dedup, toxicity
 from leadlake.llm.sql import CHECKS  # noqa: F401
 
 
@@ -22,8 +22,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": _over_documents(pii.digest),
     "op2_quality_rules": _over_documents(quality_rules.digest),
     "op3_secrets": _over_documents(secrets.digest),
+    "op4_toxicity": lambda spark, sf_dir: toxicity.digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")),
+    "op5_quality_model": lambda spark, sf_dir: quality_model.digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")),
     "op6_packing": _over_documents(packing.digest),
     "op7_decontamination": lambda spark, sf_dir: decontam.digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")),
+    "op8_suffix_dedup": _over_documents(suffix_dedup.digest),
     "op9_language": _over_documents(langid.digest),
     "op10_simhash": _over_documents(simhash.digest),
 }
