@@ -122,8 +122,8 @@ def blocks(texts: DataFrame) -> DataFrame:
     return texts.where(F.octet_length("text") >= SPAN_BYTES).mapInPandas(cut, f"key long, body long, doc_id {kind}, text_hash long, lo int, n short")
 
 
-def suffix_array(data: np.ndarray, depth: int) -> np.ndarray:
-    """Positions of an integer string in the order of their suffixes, which are told apart up to `depth` symbols at least.
+def suffix_array(data: np.ndarray) -> np.ndarray:
+    """Positions of an integer string in the order of their suffixes.
 
     Larsson and Sadakane: all positions are ordered by their first symbol, then, doubling the length each round, only groups still equal are ordered by
     the rank of the position half a length further on.
@@ -131,17 +131,14 @@ def suffix_array(data: np.ndarray, depth: int) -> np.ndarray:
     n = len(data)
     order = np.argsort(data, kind="stable")
     rank = np.empty(n, np.int64)
-    rank[order] = np.concatenate(([0], np.cumsum(np.diff(data[order]) != 0)))
-    place = np.arange(n)
+    rank[order] = np.searchsorted(data[order], data[order])
     length = 1
-    rank[order] = np.searchsorted(rank[order], rank[order])
-    while length < depth:
+    while True:
         ranked = rank[order]
         tied = np.concatenate(([False], ranked[1:] == ranked[:-1]))
-        open_ = tied | np.concatenate((tied[1:], [False]))
-        rows = place[open_]
+        rows = np.flatnonzero(tied | np.concatenate((tied[1:], [False])))
         if not len(rows):
-            break
+            return order
         at = order[rows]
         ahead = at + length
         second = np.where(ahead < n, rank[np.minimum(ahead, n - 1)], -1)
@@ -150,53 +147,56 @@ def suffix_array(data: np.ndarray, depth: int) -> np.ndarray:
         order[rows] = at
         group = rank[at]
         new = np.concatenate(([True], (np.diff(group) != 0) | (np.diff(second) != 0)))
-        fresh = rows[np.flatnonzero(new)][np.cumsum(new) - 1]
-        rank[at] = fresh
+        rank[at] = rows[np.flatnonzero(new)][np.cumsum(new) - 1]
         length *= 2
-    return order
 
 
-def _common_prefixes(data: np.ndarray, before: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Kasai's walk, one step of all blocks at a time: the prefix common to each start and the start before it in order, up to SPAN_BYTES.
+def common_prefixes(data: np.ndarray, order: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """For each place in a suffix array the prefix common to its suffix and the one before, up to SPAN_BYTES.
 
-    From one start of a block to the next a prefix loses one symbol at most, so what was matched is not read again.
+    Kasai's walk through the string, one step of all bodies (`starts`, `sizes`) at a time: from a position to the next a prefix loses one symbol at most,
+    so what was matched is not read again.
     """
+    before = np.full(len(data), -1, np.int64)
+    before[order[1:]] = order[:-1]
     common = np.zeros(len(data), np.int64)
     held = np.zeros(len(starts), np.int64)
     for step in range(int(sizes.max(initial=0))):
         live = np.flatnonzero(sizes > step)
         at = starts[live] + step
         other = before[at]
-        h = np.maximum(held[live] - 1, 0)
-        h[other < 0] = 0
-        going = np.flatnonzero(other >= 0)
+        h = np.where(other >= 0, np.maximum(held[live] - 1, 0), 0)
+        going = np.flatnonzero((other >= 0) & (h < SPAN_BYTES))
         while len(going):
             a, b = at[going] + h[going], other[going] + h[going]
-            inside = (h[going] < SPAN_BYTES) & (np.maximum(a, b) < len(data))
-            going = going[inside]
-            going = going[data[a[inside]] == data[b[inside]]]
+            inside = np.maximum(a, b) < len(data)
+            going = going[inside][data[a[inside]] == data[b[inside]]]
             h[going] += 1
+            going = going[h[going] < SPAN_BYTES]
         held[live] = common[at] = h
-    return common
+    return common[order]
 
 
 def repeated_starts(bodies: list[bytes]) -> list[np.ndarray]:
     """For each body which of its starts begin a string of SPAN_BYTES that begins elsewhere in these bodies too, by one suffix array."""
-    sizes = np.array([len(b) - SPAN_BYTES + 1 for b in bodies], np.int64)
-    ends = np.cumsum([len(b) + 1 for b in bodies])
-    starts = ends - sizes - SPAN_BYTES
+    lengths = np.array([len(b) for b in bodies], np.int64)
+    ends = np.cumsum(lengths + 1)
+    starts, sizes = ends - lengths - 1, lengths - SPAN_BYTES + 1
     data = np.frombuffer(b"\0".join([*bodies, b""]), np.uint8).astype(np.int64) + len(bodies)
     data[ends - 1] = np.arange(len(bodies))  # one closing symbol for each body, so no match runs over it
-    order = suffix_array(data, SPAN_BYTES)
-    is_start = np.zeros(len(data), bool)
-    for a, n in zip(starts.tolist(), sizes.tolist()):
-        is_start[a : a + n] = True
-    order = order[is_start[order]]
-    before = np.full(len(data), -1, np.int64)
-    before[order[1:]] = order[:-1]
-    same = _common_prefixes(data, before, starts, sizes) >= SPAN_BYTES
-    twice = same.copy()
-    twice[before[np.flatnonzero(same)]] = True
+    order = suffix_array(data)
+    common = common_prefixes(data, order, starts, lengths)
+    is_start = np.zeros(len(data) + 1, np.int64)
+    is_start[starts] += 1
+    is_start[starts + sizes] -= 1
+    places = np.flatnonzero(np.cumsum(is_start)[order])
+    twice = np.zeros(len(data), bool)
+    if len(places) > 1:
+        same = np.minimum.reduceat(common, places[:-1] + 1)[: len(places) - 1]
+        same[-1] = common[places[-2] + 1 : places[-1] + 1].min()
+        met = same >= SPAN_BYTES
+        twice[order[places[1:][met]]] = True
+        twice[order[places[:-1][met]]] = True
     return [twice[a : a + n] for a, n in zip(starts.tolist(), sizes.tolist())]
 
 
