@@ -21,7 +21,7 @@ LEXICON = ("idiot", "moron", "stupid", "loser", "pathetic", "scum", "worthless",
            "trottel", "crétin", "imbécile", "débile", "hate", "kill", "shut up", "filth", "vermin")
 # Words and beginnings of words become voters if seen in this many toxic sample rows and if toxic rows are this share of those that hold them.
 MIN_ROWS, MIN_SHARE, MOST_VOTERS = 4, 0.8, 400
-PREFIX_SIZES = (4, 5, 6)
+PREFIX_SIZES = (4, 5, 6, 7, 8)
 EM_ROUNDS, SMOOTHING = 30, 1.0
 RIDGE, NEWTON_ROUNDS = 1.0, 25
 
@@ -81,14 +81,13 @@ def find_voters(texts: list[str], toxic: np.ndarray) -> Voters:
 def believed(votes: np.ndarray, prior: float) -> np.ndarray:
     """Posterior of toxicity by a generative model of the votes, fitted by expectation and maximisation without labels.
 
-    Each voter has a chance to vote on toxic and on other rows. Voters that still agree once the class is known are copies of one another in part;
-    a voter's evidence is divided by one plus its correlations within the classes, so a family of them counts about once.
+    A voter that is silent abstains; one more voter speaks for harmless when all are silent. Each has a chance to speak on toxic and on other rows.
+    Voters that still agree once the class is known are copies of one another in part; in a row a voter's evidence is divided by one plus its
+    correlations, within the classes, with the others that speak there, so a family of them counts about once.
     """
     heard = votes.any(axis=0)
-    v = votes[:, heard].astype(float)
-    if not v.shape[1]:
-        return np.full(len(votes), prior)
-    belief = np.where(v[:, :].sum(axis=1) > 0, 0.9, prior / 10)
+    v = np.column_stack((votes[:, heard], ~votes.any(axis=1))).astype(float)
+    belief = np.where(v[:, -1] > 0, prior / 10, 0.9)
     for _ in range(EM_ROUNDS):
         on_bad = (belief @ v + SMOOTHING * 0.1) / (belief.sum() + SMOOTHING)
         on_good = ((1 - belief) @ v + SMOOTHING * 0.01) / ((1 - belief).sum() + SMOOTHING)
@@ -96,9 +95,8 @@ def believed(votes: np.ndarray, prior: float) -> np.ndarray:
         scale = np.sqrt((residual**2).mean(axis=0)) + 1e-9
         related = np.abs(residual.T @ residual / len(v)) / np.outer(scale, scale)
         np.fill_diagonal(related, 0.0)
-        discount = 1.0 / (1.0 + np.where(related > 0.2, related, 0.0).sum(axis=1))
-        yes, no = np.log(on_bad / on_good), np.log((1 - on_bad) / (1 - on_good))
-        odds = np.log(prior / (1 - prior)) + (v * yes + (1 - v) * no) @ discount
+        together = 1.0 + v @ np.where(related > 0.2, related, 0.0)
+        odds = np.log(prior / (1 - prior)) + (v * np.log(on_bad / on_good) / together).sum(axis=1)
         belief = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
     return belief
 
