@@ -125,14 +125,20 @@ def blocks(texts: DataFrame) -> DataFrame:
 def suffix_array(data: np.ndarray) -> np.ndarray:
     """Positions of an integer string in the order of their suffixes.
 
-    Larsson and Sadakane: all positions are ordered by their first symbol, then, doubling the length each round, only groups still equal are ordered by
-    the rank of the position half a length further on.
+    Larsson and Sadakane: all positions are ordered by as many first symbols as one number holds, then, doubling the length each round, only groups
+    still equal are ordered by the rank of the position half a length further on.
     """
     n = len(data)
-    order = np.argsort(data, kind="stable")
+    bits = int(data.max(initial=0) + 1).bit_length()
+    length = max(1, 62 // bits)
+    first = np.zeros(n + length, np.int64)
+    padded = np.concatenate((data + 1, np.zeros(length, np.int64)))
+    for i in range(length):
+        first[:n] = first[:n] << bits | padded[i : i + n]
+    first = first[:n]
+    order = np.argsort(first, kind="stable")
     rank = np.empty(n, np.int64)
-    rank[order] = np.searchsorted(data[order], data[order])
-    length = 1
+    rank[order] = np.searchsorted(first[order], first[order])
     while True:
         ranked = rank[order]
         tied = np.concatenate(([False], ranked[1:] == ranked[:-1]))
@@ -269,7 +275,7 @@ def repeated(docs: DataFrame) -> DataFrame:
     texts = docs.select("doc_id", text_of(docs).alias("text")).withColumn("text_hash", F.xxhash64("text"))
     kind = texts.schema["doc_id"].dataType.simpleString()
     cut = blocks(texts)
-    alike = cut.groupBy("key", "body").agg(F.count("*").alias("copies"))
+    alike = checkpointed(cut.groupBy("key", "body").agg(F.count("*").alias("copies")))
     of_key = alike.groupBy("key").agg(F.sum("copies").alias("rows"), F.count("*").alias("bodies")).where("rows > 1")
     shared = checkpointed(cut.join(alike.join(of_key, "key"), ["key", "body"]))
     settled = shared.where("copies > 1").select("doc_id", "text_hash", "lo", (F.col("lo") + F.col("n")).alias("hi"))
