@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import base64
+import bisect
 import re
 import zlib
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -17,12 +19,12 @@ from leadlake.llm.common import checkpointed, text_of
 
 LENGTH = 2048
 END_ID = 0
-# Rounds of pricing before leftovers are packed greedily, how fast weights fall as a length is covered, how far below the best price a
-# configuration may lie, and the share of a length's pieces that one configuration may take in a round.
-ROUNDS = 48
-RATE = 0.5
-NEAR_BEST = 0.002
-SHARE = 0.2
+# Rounds of pricing, how fast a size's weight falls as it is covered ahead of the others, how far below the best price a configuration may lie, and the
+# share of a size's pieces that one configuration covers in a round.
+ROUNDS = 60
+RATE = 3.0
+NEAR_BEST = 0.01
+SHARE = 0.25
 # Rows of one length that are numbered in one task.
 ROWS_A_BUCKET = 50_000
 _CACHE_WORDS = 400_000
@@ -100,61 +102,88 @@ def _price(sizes: np.ndarray, worth: np.ndarray, limit: int) -> tuple[np.ndarray
     return best, last
 
 
+def best_fit(counts: dict[int, int], limit: int = LENGTH) -> list[tuple[dict[int, int], int]]:
+    """Largest sizes first, each into the sequences with the least room that holds it; alike sequences are handled together."""
+    open_: dict[int, list[tuple[dict[int, int], int]]] = {}
+    rooms: list[int] = []
+
+    def put(inside: dict[int, int], often: int, room: int) -> None:
+        if room not in open_:
+            open_[room] = []
+            bisect.insort(rooms, room)
+        open_[room].append((inside, often))
+
+    for size in sorted(counts, reverse=True):
+        left = counts[size]
+        while left > 0:
+            at = bisect.bisect_left(rooms, size)
+            if at < len(rooms):
+                room = rooms[at]
+                inside, often = open_[room].pop()
+                if not open_[room]:
+                    del open_[room], rooms[at]
+            else:
+                room, inside, often = limit, {}, left
+            times = room // size
+            full = min(often, left // times)
+            if full:
+                put({**inside, size: times}, full, room - times * size)
+            left -= full * times
+            if full < often and 0 < left < times:
+                put({**inside, size: left}, 1, room - left * size)
+                full, left = full + 1, 0
+            if full < often and inside:
+                put(inside, often - full, room)
+    return [group for groups in open_.values() for group in groups]
+
+
 def configurations(counts: dict[int, int], limit: int = LENGTH) -> list[tuple[dict[int, int], int]]:
     """Configurations {size: times} with how often each is used, so that every piece is in exactly one.
 
-    The program asks for the fewest configurations that cover the histogram. Each round weighs a size by exp(RATE * share still uncovered), prices
-    all configurations by the knapsack over these weights, and takes whole multiples of those near the best price, which rounds the solution as it
-    goes; what is left after the rounds is taken whatever its price. The work is bounded by ROUNDS and `limit`, not by the number of pieces.
+    The program asks for the fewest configurations that cover the histogram. Each round weighs the sizes, less the further they are covered ahead of the
+    mean, prices all configurations by the knapsack over these weights, and adds a fraction of those near the best price. The fractions are then scaled
+    to the histogram and rounded down; the rest is packed by best fit, and so is everything where that takes no more sequences. The work is bounded by
+    ROUNDS and `limit`, not by the number of pieces.
     """
-    left, all_ = np.zeros(limit + 1, np.int64), np.zeros(limit + 1, np.int64)
-    for size, n in counts.items():
-        left[size] = all_[size] = n
-    used: list[tuple[dict[int, int], int]] = []
-
-    def contents(first: int, last: np.ndarray) -> dict[int, int]:
-        inside, room = {first: 1}, limit - first
-        while room > 0:
-            size = int(last[room])
-            if not size:
-                room -= 1
-            else:
-                if inside.get(size, 0) < left[size]:
-                    inside[size] = inside.get(size, 0) + 1
-                    room -= size
-                else:
-                    room = _fill(inside, room)
-        return inside
-
-    def _fill(inside: dict[int, int], room: int) -> int:
-        for size in range(min(room, limit), 0, -1):
-            while size <= room and inside.get(size, 0) < left[size]:
-                inside[size] = inside.get(size, 0) + 1
-                room -= size
-        return 0
-
-    step = 0
-    while left.any():
-        sizes = np.flatnonzero(left)
-        worth = sizes * np.exp(RATE * left[sizes] / all_[sizes])
+    if not counts:
+        return []
+    sizes = np.array(sorted(counts))
+    asked = np.zeros(limit + 1)
+    asked[sizes] = [counts[s] for s in sizes.tolist()]
+    covered, weight = np.zeros(limit + 1), np.ones(limit + 1)
+    used: dict[tuple[tuple[int, int], ...], float] = {}
+    for _ in range(ROUNDS):
+        worth = sizes * weight[sizes]
         best, last = _price(sizes, worth, limit)
-        whole = step >= ROUNDS
-        for size, value in zip(sizes[::-1].tolist(), worth[::-1].tolist()):
-            if not left[size] or not whole and value + best[limit - size] < (1 - NEAR_BEST) * best[limit]:
-                continue
-            inside = contents(size, last)
-            filled = sum(s * n for s, n in inside.items())
-            if not whole and filled < limit * (1 - NEAR_BEST):
+        for size, value in zip(sizes.tolist(), worth.tolist()):
+            if value + best[limit - size] < (1 - NEAR_BEST) * best[limit]:
                 continue
-            often = min(int(left[s]) // n for s, n in inside.items())
-            if not whole:
-                often = min(often, max(1, int(min(SHARE * all_[s] / n for s, n in inside.items()))))
-            if often:
-                used.append((inside, often))
+            inside, room = Counter({size: 1}), limit - size
+            while room > 0:
+                if last[room]:
+                    inside[int(last[room])] += 1
+                room -= int(last[room]) or 1
+            if all(n <= asked[s] for s, n in inside.items()):
+                step = SHARE * min(asked[s] / n for s, n in inside.items())
+                key = tuple(sorted(inside.items()))
+                used[key] = used.get(key, 0.0) + step
                 for s, n in inside.items():
-                    left[s] -= n * often
-        step += 1
-    return used
+                    covered[s] += step * n / asked[s]
+        mean = (covered * asked * np.arange(limit + 1)).sum() / (asked * np.arange(limit + 1)).sum()
+        if mean > 0:
+            weight = np.exp(-RATE * (np.minimum(covered / mean, 3.0) - 1))
+
+    left, chosen = dict(counts), []
+    scale = max((covered * asked * np.arange(limit + 1)).sum() / (asked * np.arange(limit + 1)).sum(), 1e-9)
+    for inside, amount in sorted(used.items(), key=lambda u: (-u[1], u[0])):
+        often = min(int(amount / scale), *(left[s] // n for s, n in inside))
+        if often:
+            chosen.append((dict(inside), often))
+            for s, n in inside:
+                left[s] -= n * often
+    chosen += best_fit({s: n for s, n in left.items() if n}, limit)
+    plain = best_fit(counts, limit)
+    return min(chosen, plain, key=lambda groups: sum(often for _, often in groups))
 
 
 def plan_sequences(counts: dict[int, int], limit: int = LENGTH) -> Plan:

@@ -13,8 +13,8 @@ EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[ -]?[0-9])++"
 PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
-NATIONAL_ID = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
+IBAN = r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b"
+NATIONAL_ID = r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b"
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 # Words that speak for a kind when they stand within CONTEXT_CHARS before a span.

@@ -20,7 +20,7 @@ SAMPLE_ROWS = 12_000
 LEXICON = ("idiot", "moron", "stupid", "loser", "pathetic", "scum", "worthless", "trash", "clown", "disgusting", "idiota", "estúpido", "imbécil", "dumm", "dummkopf",
            "trottel", "crétin", "imbécile", "débile", "hate", "kill", "shut up", "filth", "vermin")
 # Words and beginnings of words become voters if seen in this many toxic sample rows and if toxic rows are this share of those that hold them.
-MIN_ROWS, MIN_SHARE, MOST_VOTERS = 6, 0.9, 400
+MIN_ROWS, MIN_SHARE, MOST_VOTERS = 6, 0.95, 400
 PREFIX_SIZES = (4, 5, 6, 7, 8)
 EM_ROUNDS, SMOOTHING = 30, 1.0
 RIDGE, NEWTON_ROUNDS = 1.0, 25
