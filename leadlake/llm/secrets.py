@@ -9,7 +9,7 @@ from re import _parser
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leadlake.llm.common import guarded_spans, labelled, text_of, written
+from leadlake.llm.common import guarded_spans, labelled, let, text_of, written
 
 _MOST_FORMS = 64
 
@@ -74,8 +74,7 @@ def trigram_queries(pattern: str) -> tuple[frozenset[str], ...]:
 
 def postings(docs: DataFrame, trigrams: list[str]) -> DataFrame:
     """(doc_id, trigram): the inverted index over the trigrams that any rule can ask for. Rows without text give none; repeated ids merge."""
-    folded = F.lower("text")
-    have = F.filter(F.array(*(F.when(folded.contains(t), F.lit(t)) for t in trigrams)), lambda t: t.isNotNull())
+    have = let(F.lower("text"), lambda folded: F.filter(F.array(*map(F.lit, trigrams)), lambda t: F.contains(folded, t)))
     return docs.select("doc_id", F.explode(have).alias("trigram"))
 
 
