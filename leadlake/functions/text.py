@@ -83,8 +83,8 @@ def metro_display(metro: Column) -> Column:
 
 
 def metro_key(metro: Column) -> Column:
-    """Case-insensitive key of a metro; NULL when blank."""
-    return null_if_empty(F.lower(metro_display(metro)))
+    """Case-insensitive key of a metro; NULL when blank. Upper case first, so that ß meets SS and both small sigmas meet."""
+    return null_if_empty(F.replace(F.lower(F.upper(metro_display(metro))), F.lit("ς"), F.lit("σ")))
 
 
 def clip(text: Column, width: int) -> Column:
@@ -93,5 +93,5 @@ def clip(text: Column, width: int) -> Column:
 
 
 def strip_quotes(text: Column) -> Column:
-    """Drop one surrounding pair of double quotes from a generated line."""
-    return F.regexp_replace(F.trim(text), r'(?s)^"(.*)"$', "$1")
+    """Drop white space of any kind around a generated line, then one surrounding pair of double quotes."""
+    return F.regexp_replace(F.regexp_replace(text, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", ""), r'(?s)^"(.*)"$', "$1")

@@ -437,12 +437,12 @@ def due_searches(spark, d):
     return places.search_requests(due.select("metro_key", F.col("metro_key").alias("metro"))).select("metro_key", "query_ord", "query")
 
 
-_MEMBERS = "SELECT 'cmp_' || CAST(l_suppkey AS STRING) AS competitor_id, 'm' || CAST(l_partkey % 97 AS STRING) AS metro_key FROM <<lineitem>> l WHERE l_quantity > 30"
+_MEMBERS = "SELECT 'cmp_' || CAST(l_suppkey AS STRING) AS competitor_id, 'm' || CAST(l_partkey % 97 AS STRING) AS metro_key FROM <<lineitem>> l"
 
 
 @query(f"SELECT DISTINCT competitor_id FROM ({_MEMBERS}) m WHERE metro_key IN (SELECT 'm' || CAST(n_nationkey AS STRING) FROM <<nation>> n)")
 def market_competitors(spark, d):
-    members = load(spark, d, "lineitem").where("l_quantity > 30").select(
+    members = load(spark, d, "lineitem").select(
         F.concat(F.lit("cmp_"), F.col("l_suppkey").cast("string")).alias("competitor_id"),
         F.concat(F.lit("m"), (F.col("l_partkey") % 97).cast("string")).alias("metro_key"))
     chosen = load(spark, d, "nation").select(F.concat(F.lit("m"), F.col("n_nationkey").cast("string")).alias("metro_key"))
@@ -568,11 +568,11 @@ def merge_memberships(spark, d):
     return joined.join(names, "competitor_id").select("place_id", "metro_key", "metro")
 
 
-@query("""SELECT 'cmp_' || CAST(l_suppkey AS STRING) AS competitor_id FROM <<lineitem>> l WHERE l_quantity > 45
-    UNION SELECT 'cmp_' || CAST(s_suppkey AS STRING) FROM <<supplier>> s WHERE s_suppkey % 3 = 0""")
+@query("""SELECT 'cmp_' || CAST(l_suppkey AS STRING) AS competitor_id FROM <<lineitem>> l
+    UNION SELECT 'cmp_' || CAST(s_suppkey AS STRING) FROM <<supplier>> s""")
 def discovered_union(spark, d):
-    found = load(spark, d, "lineitem").where("l_quantity > 45").select(F.concat(F.lit("cmp_"), F.col("l_suppkey").cast("string")).alias("competitor_id"))
-    cached = load(spark, d, "supplier").where("s_suppkey % 3 = 0").select(F.concat(F.lit("cmp_"), F.col("s_suppkey").cast("string")).alias("competitor_id"))
+    found = load(spark, d, "lineitem").select(F.concat(F.lit("cmp_"), F.col("l_suppkey").cast("string")).alias("competitor_id"))
+    cached = load(spark, d, "supplier").select(F.concat(F.lit("cmp_"), F.col("s_suppkey").cast("string")).alias("competitor_id"))
     return markets.discovered_union(found, cached)
 
 

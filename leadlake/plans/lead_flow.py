@@ -50,7 +50,7 @@ def discover(current: DataFrame, searched: DataFrame, search_payloads: DataFrame
     stored = current.select("place_id", "phone", F.col("website_url").alias("website"))
     complete = places.with_contact_facts(results, stored, places.place_details(details_payloads)).withColumnRenamed(
         "website", "website_url").withColumn("discovered_at", as_of.cast("timestamp"))
-    status = market_status(searched, places.search_failures(search_payloads), as_of)
+    status = market_status(searched, places.failed_searches(searched, search_payloads), as_of)
     return merge_businesses(current, complete), status
 
 

@@ -43,7 +43,7 @@ def discover(competitors: DataFrame, memberships: DataFrame, scrapes: DataFrame,
     found = places.with_contact_facts(found, competitors, places.place_details(details_payloads), phone=False)
     merged = runs.merge_competitors(competitors, found, as_of)
     joined = runs.merge_memberships(memberships, runs.memberships(found, merged, as_of))
-    status = market_status(searched, places.search_failures(search_payloads), as_of)
+    status = market_status(searched, places.failed_searches(searched, search_payloads), as_of)
     return merged, joined, merge_market_status(scrapes, status)
 
 
@@ -72,12 +72,23 @@ def page_candidates(pages: DataFrame, competitors: DataFrame, parity: bool = Fal
     return dedupe_candidates(candidates(branded, [*kept, "market", "branded"], parity), PAGE_KEYS)
 
 
+def run_starts(captures: DataFrame) -> DataFrame:
+    """(competitor_id, run_id, observed_at): the first capture time of each run, failed captures included."""
+    return captures.groupBy("competitor_id", "run_id").agg(F.min("captured_at").alias("observed_at"))
+
+
 def observations(pages: DataFrame, competitors: DataFrame, aliases: DataFrame, catalog: DataFrame,
-                 parity: bool = False) -> DataFrame:
-    """Every validated observation of the crawl, first-seen per run, published or pending."""
+                 parity: bool = False, starts: DataFrame | None = None) -> DataFrame:
+    """Every validated observation of the crawl, first-seen per run, published or pending.
+
+    With `starts` (see `run_starts`) all pages of a run are observed at its start, so that pages count in their order and not by when each was captured.
+    """
     found = publish.with_catalog(page_candidates(pages, competitors, parity), aliases, catalog, ROW_KEYS)
-    judged = publish.validate(found).withColumns({
-        "evidence_page_id": publish.evidence_page_id(F.col("content_sha256")), "observed_at": F.col("captured_at")})
+    judged = publish.validate(found).withColumn("evidence_page_id", publish.evidence_page_id(F.col("content_sha256")))
+    if starts is None:
+        judged = judged.withColumn("observed_at", F.col("captured_at"))
+    else:
+        judged = judged.join(starts, ["competitor_id", "run_id"])
     return publish.offering_values(publish.first_seen(judged))
 
 
@@ -94,11 +105,11 @@ def update(tables: PriceTables, found: DataFrame) -> tuple[PriceTables, DataFram
 
 
 def crawl_batch(tables: PriceTables, captures: DataFrame, competitors: DataFrame, aliases: DataFrame, catalog: DataFrame,
-                fallback_dir: str | None = None, parity: bool = False) -> tuple[PriceTables, DataFrame, DataFrame]:
+                parity: bool = False) -> tuple[PriceTables, DataFrame, DataFrame]:
     """(new tables, event log, observations) of one crawl batch.
 
     Observations feed three merges and the log, so they are checkpointed once instead of parsing the pages for each.
     """
-    found = cut_lineage(observations(read_pages(captures), competitors, aliases, catalog, parity), fallback_dir)
+    found = cut_lineage(observations(read_pages(captures), competitors, aliases, catalog, parity, run_starts(captures)))
     new, log = update(tables, found)
     return new, log, found

@@ -45,14 +45,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
     return spark
 
 
-def cut_lineage(df: DataFrame, fallback_dir: str | None = None) -> DataFrame:
-    """Reliable checkpoint in the folder the cluster names; `fallback_dir` is used only where none is named."""
-    spark = df.sparkSession
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured is None:
-        if fallback_dir is None:
-            raise ValueError("spark.checkpoint.dir is not set and no fallback folder was given")
-        spark.sparkContext.setCheckpointDir(fallback_dir)
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint in the shared folder that spark.checkpoint.dir names; without one this fails."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            raise ValueError("spark.checkpoint.dir is not set")
+        context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
 
 

@@ -36,6 +36,13 @@ def search_failures(payloads: DataFrame) -> DataFrame:
         F.coalesce("error_message", "status").alias("error"))
 
 
+def failed_searches(searched: DataFrame, payloads: DataFrame) -> DataFrame:
+    """Failures of the searched markets: answers that report one, and searches that nobody answered."""
+    answered = payloads.select(metro_key(F.col("metro")).alias("metro_key"), "query_ord")
+    silent = search_requests(searched).join(answered, ["metro_key", "query_ord"], "left_anti").select("metro_key", "query_ord")
+    return search_failures(payloads).select("metro_key", "query_ord").unionByName(silent)
+
+
 def search_results(payloads: DataFrame, missing_reviews_as_zero: bool = False) -> DataFrame:
     """One row per returned place, with its position. The price flow reads a missing review count as 0, the lead flow as NULL."""
     reviews = F.col("place.user_ratings_total")

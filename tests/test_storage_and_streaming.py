@@ -23,7 +23,8 @@ def test_merge_into_a_bucketed_snapshot_shuffles_only_the_batch(spark):
 
 
 def test_checkpoint_keeps_rows(spark, tmp_path):
-    assert cut_lineage(spark.range(10), str(tmp_path)).count() == 10
+    spark.sparkContext.setCheckpointDir(str(tmp_path))
+    assert cut_lineage(spark.range(10)).count() == 10
 
 
 def test_landed_answers_are_merged_once(spark, tmp_path):
