@@ -121,9 +121,15 @@ def mask_pii(docs: DataFrame) -> DataFrame:
     rebuilt = let(F.col("_runs"), lambda r: F.concat(F.array_join(F.transform(r, lambda s, i: F.concat(
         let(F.when(i == 0, 0).otherwise(r[i - 1]["end"]), lambda at: F.substr(text, at + 1, s["start"] - at)), F.lit("["), F.upper(s["kind"]), F.lit("]"))), ""),
         F.substr(text, F.element_at(r, -1)["end"] + 1)))
-    found = find_pii(docs).withColumn("_runs", F.when(F.size("pii_spans") > 0, runs))
-    masked = {"text": F.when(F.col("_runs").isNotNull(), rebuilt).otherwise(text)}
-    out = found.withColumns(masked)
-    if "n_chars" in names:
-        out = out.withColumn("n_chars", F.when(F.col("_runs").isNotNull(), F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*names)
+    plain_docs = docs.withColumnsRenamed({c: f"in_{i}" for i, c in enumerate(names)}).withColumn("text", F.col(f"in_{names.index('text')}"))
+    found = find_pii(plain_docs).withColumn("_runs", F.when(F.size("pii_spans") > 0, runs))
+    out = found.withColumn("text", F.when(F.col("_runs").isNotNull(), rebuilt).otherwise(text))
+
+    def column(i: int, c: str) -> Column:
+        if c == "text":
+            return F.col("text")
+        if c == "n_chars":
+            return F.when(F.col("_runs").isNotNull(), F.char_length("text").cast(docs.schema[c].dataType)).otherwise(F.col(f"in_{i}")).alias(c)
+        return F.col(f"in_{i}").alias(c)
+
+    return out.select(*(column(i, c) for i, c in enumerate(names)))
