@@ -5,7 +5,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from leadlake import schemas
-from leadlake.operators import queue, runs
+from leadlake.operators import markets, queue, runs
 from leadlake.plans import lead_flow, price_flow
 from leadlake.sources import places, tables
 
@@ -162,3 +162,20 @@ def test_price_flow(spark, tmp_path):
     due = price_flow.due_competitors(spark.createDataFrame([("c1", "https://x"), ("c2", ""), ("c3", "https://y")], "id string, website string"),
                                      runs.crawl_runs(captured(spark, "r3", 3, [menu]).withColumn("outcome", F.lit("ok"))), as_of(9))
     assert [r.id for r in due.collect()] == ["c3"]
+
+
+def test_unanswered_search_makes_a_market_partial(spark):
+    as_of = F.lit("2024-02-05").cast("timestamp")
+    searched = spark.createDataFrame([("m one", "M One"), ("m two", "M Two")], "metro_key string, metro string")
+    asked = places.search_requests(searched).collect()
+    answers = spark.createDataFrame(
+        [(r["metro"], r["query_ord"], "OK", None) for r in asked if r["metro_key"] == "m one" or r["query_ord"] == 0],
+        f"metro string, query_ord {dict(places.search_requests(searched).dtypes)['query_ord']}, status string, error_message string")
+    status = markets.market_status(searched, places.failed_searches(searched, answers), as_of)
+    assert {r["metro_key"]: r["last_status"] for r in status.collect()} == {"m one": "complete", "m two": "partial"}
+
+
+def test_run_starts_with_its_first_capture(spark):
+    captures = spark.createDataFrame([("c", "r", 0, "2024-01-01 00:05:00"), ("c", "r", 1, "2024-01-01 00:01:00")], "competitor_id string, run_id string, page_ord int, at string")
+    starts = price_flow.run_starts(captures.withColumn("captured_at", F.col("at").cast("timestamp"))).collect()
+    assert [str(r["observed_at"]) for r in starts] == ["2024-01-01 00:01:00"]
