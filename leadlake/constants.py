@@ -118,7 +118,7 @@ VOID_TAGS = {
 HIDDEN_TAGS = {"script", "style", "noscript", "nav", "footer"}
 OPAQUE_TAGS = {"script", "style", "template", "rt", "rp"}
 ROW_TAGS = {"li", "tr", "article", "section", "div", "p"}
-JSONLD_TYPES = ("Product", "Service", "Offer")
+OFFER_TYPE = "Offer"
 
 # --- fixed values: public suffixes assumed when the caller passes no list of their own ---
 DEFAULT_SUFFIXES = [

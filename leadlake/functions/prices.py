@@ -11,22 +11,23 @@ from leadlake.schemas import AMOUNT
 
 
 def to_amount(text: Column) -> Column:
+    """The number in a price text; NULL when it has more digits than any amount, which publication sends to review."""
     return F.replace(text, F.lit(","), F.lit("")).try_cast(AMOUNT)
 
 
 def minor_units(amount: Column) -> Column:
-    """Hundredths as a whole number, halves to even."""
-    return F.bround(amount * 100, 0).cast("long")
+    """Hundredths as a whole number, halves to even; NULL when beyond the stored range."""
+    return (F.bround(amount, 2) * 100).try_cast("long")
 
 
 def money(text: Column, parity: bool = False) -> tuple[Column, Column]:
-    """(amount, currency) of the first price token. Only dollar tokens name a currency.
+    """(digits, currency) of the first price token. Only dollar tokens name a currency.
 
     `parity` keeps the narrow digit rule under which "$1200" reads as 120; by default the whole number is read.
     """
     pattern = "(?i)" + C.MONEY_TOKEN + (C.MONEY_PARITY if parity else C.MONEY_WHOLE)
     token = F.upper(F.regexp_extract(text, pattern, 1))
-    return to_amount(extract(text, pattern, 2)), F.when(token.isin("$", "USD", "US$"), F.lit("USD"))
+    return extract(text, pattern, 2), F.when(token.isin("$", "USD", "US$"), F.lit("USD"))
 
 
 def valid_through(text: Column) -> Column:
@@ -52,9 +53,9 @@ def parse_rows(rows: DataFrame, text: str, parity: bool = False, exempt: Column
         "display_name": null_if_empty(F.regexp_replace(F.regexp_extract(clean, C.OFFERING_NAME, 1),
                                                        r"^[ \-–—|:]+|[ \-–—|:]+$", "")),
     }).where(exempt | F.col("display_name").isNotNull())
-    amount, currency = money(clean, parity)
+    digits, currency = money(clean, parity)
     staged = staged.withColumns({
-        "first_amount": amount,
+        "first_digits": digits,
         "first_currency": currency,
         "range_min": to_amount(extract(clean, C.PRICE_RANGE, 1)),
         "range_max": to_amount(extract(clean, C.PRICE_RANGE, 2)),
@@ -62,11 +63,11 @@ def parse_rows(rows: DataFrame, text: str, parity: bool = False, exempt: Column
         "now_text": extract(clean, C.WAS_NOW, 2),
         "is_range": clean.rlike(C.PRICE_RANGE),
     })
-    lower, priced = F.col("lower"), F.col("first_amount").isNotNull()
+    lower, priced = F.col("lower"), F.col("first_digits").isNotNull()
     promoted = F.col("now_text").isNotNull()
-    was_amount, _ = money(F.col("was_text"), parity)
-    now_amount, now_currency = money(F.col("now_text"), parity)
-    listed_amount = F.when(priced & F.col("is_range"), F.col("range_min")).otherwise(F.col("first_amount"))
+    was_digits, _ = money(F.col("was_text"), parity)
+    now_digits, now_currency = money(F.col("now_text"), parity)
+    listed_amount = F.when(priced & F.col("is_range"), F.col("range_min")).otherwise(to_amount(F.col("first_digits")))
     return staged.select(
         *kept,
         F.when(mentions(lower, ["offer", "special", "expires", "valid through"]), "offer")
@@ -77,16 +78,16 @@ def parse_rows(rows: DataFrame, text: str, parity: bool = False, exempt: Column
         F.lit(None).cast("string").alias("qualifier"),
         F.when(~priced, "none").when(F.col("is_range"), "range").when(lower.rlike(C.FROM_PRICE), "from")
         .otherwise("fixed").alias("price_type"),
-        F.when(promoted, now_amount).otherwise(listed_amount).alias("amount_min"),
+        F.when(promoted, to_amount(now_digits)).otherwise(listed_amount).alias("amount_min"),
         F.when(priced & F.col("is_range"), F.col("range_max")).alias("amount_max"),
         F.when(promoted, now_currency).otherwise(F.col("first_currency")).alias("currency"),
         F.when(lower.rlike(r"/(?:mo|month)\b|per month"), "month")
         .when(lower.rlike("per session|/session"), "session")
         .when(lower.rlike("per unit|/unit"), "unit")
         .when(F.contains(lower, F.lit("package")), "package")
-        .when(listed_amount != 0, "total").alias("price_unit"),
+        .when(priced & F.coalesce(listed_amount != 0, ~F.col("is_range")), "total").alias("price_unit"),
         extract(lower, C.QUANTITY, 1).try_cast("int").alias("package_quantity"),
-        was_amount.alias("original_amount"),
+        to_amount(was_digits).alias("original_amount"),
         F.lit(None).cast("date").alias("valid_from"),
         valid_through(clean).alias("valid_through"),
         F.when(promoted, extract(clean, C.NOW_PRICE, 0)).otherwise(extract(clean, C.PRICE_TEXT, 0)).alias("price_display"),

@@ -50,32 +50,30 @@ def collapse_spaces(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"(?U)[\s\x1c-\x1f]+", " "))
 
 
-def normalize_label_native(text: Column) -> Column:
-    """Lower case, '&' spelled out, punctuation to spaces, spaces collapsed. Exact for ASCII text."""
-    spelled = F.replace(F.lower(F.coalesce(text, F.lit(""))), F.lit("&"), F.lit(" and "))
+def _plain_words(folded: Column) -> Column:
+    """'&' spelled out, punctuation to spaces, spaces collapsed."""
+    spelled = F.replace(folded, F.lit("&"), F.lit(" and "))
     return collapse_spaces(F.regexp_replace(spelled, r"[^\p{L}\p{N}_\s]", " "))
 
 
-def _fold(value: str | None) -> str | None:
-    if value is None:
-        return None
-    folded = unicodedata.normalize("NFKC", value).casefold().replace("&", " and ")
-    return " ".join(re.sub(r"[^\w\s]", " ", folded).split())
+def normalize_label_native(text: Column) -> Column:
+    """Normalized label by JVM functions alone. Exact for ASCII text."""
+    return _plain_words(F.lower(F.coalesce(text, F.lit(""))))
 
 
 @arrow_function(T.StringType())
-def _fold_unicode(values: pa.Array) -> pa.Array:
+def _compatible_fold(values: pa.Array) -> pa.Array:
     """Compatibility form and full case folding, which Spark SQL has no function for."""
-    return map_values(pa.string(), _fold, values)
+    return map_values(pa.string(), lambda value: value and unicodedata.normalize("NFKC", value).casefold(), values)
 
 
 def normalize_label(text: Column) -> Column:
     """Normalized label for keys and evidence checks; NULL becomes ''.
 
-    ASCII text stays in the JVM. Only text with other characters travels to Python: the function is fed NULL otherwise.
+    Only text with characters beyond ASCII travels to Python, and only to be folded: the function is fed NULL otherwise.
     """
-    needs_unicode = text.rlike(NON_ASCII)
-    return F.coalesce(_fold_unicode(F.when(needs_unicode, text)), normalize_label_native(text))
+    foreign = F.when(text.rlike(NON_ASCII), text)
+    return _plain_words(F.coalesce(_compatible_fold(foreign), F.lower(text), F.lit("")))
 
 
 def metro_display(metro: Column) -> Column:
@@ -92,6 +90,11 @@ def clip(text: Column, width: int) -> Column:
     return F.when(F.length(text) > width, F.concat(F.substring(text, 1, width - 3), F.lit("..."))).otherwise(text)
 
 
+def strip_space(text: Column) -> Column:
+    """Drop white space of any kind at both ends."""
+    return F.regexp_replace(text, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+
+
 def strip_quotes(text: Column) -> Column:
     """Drop white space of any kind around a generated line, then one surrounding pair of double quotes."""
-    return F.regexp_replace(F.regexp_replace(text, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", ""), r'(?s)^"(.*)"$', "$1")
+    return F.regexp_replace(strip_space(text), r'(?s)^"(.*)"$', "$1")

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
-from urllib.parse import parse_qsl, urlencode, urljoin, urlparse, urlunparse
+from urllib.parse import parse_qsl, urlencode, urljoin
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -23,7 +22,10 @@ _PLAIN_URL = (
 )
 _TRACKING = r"(?i)^(?:utm_|fbclid|gclid)"
 _PLAIN_ROOT_PATH = r"^/(?:[A-Za-z0-9_~%+@,=-][A-Za-z0-9_~%+@,.=/-]*)?(?:\?[^\s#?]+)?(?:#[^\s#]+)?$"
-_MAX_INLINE_SUFFIXES = 500
+# Scheme, authority, path, query.
+_PARTS = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?"
+_BRACKETED = r"^(?:[^@\[\]]*@)?\[[0-9a-f:.]*:[0-9a-f:.]*(?:%[^\[\]]*)?\](?::[0-9]*)?$"
+_WEB = ("http", "https", "ftp")
 
 
 def scheme(url: Column) -> Column:
@@ -50,45 +52,36 @@ def lookup_domain(url: Column) -> Column:
                       F.split_part(path(url), F.lit("/"), F.lit(1)), F.lit(""))
 
 
-def _canonical_plain(url: Column) -> Column:
-    query = F.regexp_extract(url, r"^[^?#]*\?([^#]*)", 1)
-    kept = F.filter(F.split(query, "&"), lambda pair: (pair != "") & ~pair.rlike(_TRACKING))
-    pairs = F.transform(kept, lambda pair: F.when(F.contains(pair, F.lit("=")), pair)
-                        .otherwise(F.concat(pair, F.lit("="))))
-    joined = F.array_join(pairs, "&")
-    url_path = path(url)
-    return F.concat(
-        scheme(url), F.lit("://"), netloc(url),
-        F.when(url_path == "", F.lit("/")).otherwise(url_path),
-        F.when(joined == "", F.lit("")).otherwise(F.concat(F.lit("?"), joined)),
-    )
-
+@arrow_function(T.StringType())
+def _encode_pairs(values: pa.Array) -> pa.Array:
+    """Query text decoded and written again in one spelling, which Spark SQL has no function for."""
+    return map_values(pa.string(), lambda query: query and urlencode(parse_qsl(query, keep_blank_values=True)), values)
 
-def _is_tracking(key: str) -> bool:
-    return re.match(_TRACKING, key) is not None
 
+def _kept_pairs(query: Column) -> Column:
+    """Query in one spelling without tracking keys. Python sees only queries with characters that may need encoding."""
+    plain = query.rlike(rf"^{_PAIR}(?:&{_PAIR})*$")
+    encoded = F.coalesce(_encode_pairs(F.when(~plain, query)), query)
+    pairs = F.filter(F.split(encoded, "&"), lambda pair: (pair != "") & ~pair.rlike(_TRACKING))
+    return F.array_join(F.transform(pairs, lambda pair: F.when(F.contains(pair, F.lit("=")), pair).otherwise(
+        F.concat(pair, F.lit("=")))), "&")
 
-def _canonical(url: str | None) -> str | None:
-    if url is None:
-        return None
-    try:
-        parts = urlparse(url)
-    except ValueError:
-        return None
-    query = urlencode([(k, v) for k, v in parse_qsl(parts.query, keep_blank_values=True) if not _is_tracking(k)])
-    return urlunparse(parts._replace(scheme=parts.scheme.lower(), netloc=parts.netloc.lower(),
-                                     path=parts.path or "/", params="", query=query, fragment=""))
 
+def canonical_url(url: Column) -> Column:
+    """Lower-case scheme and host, no path parameters, no fragment, no tracking keys, blank values kept; NULL when the host
+    has brackets that hold no address."""
+    clean = F.regexp_replace(url, r"^[\x00-\x20]+|[\t\r\n]", "")
 
-@arrow_function(T.StringType())
-def _canonical_any(values: pa.Array) -> pa.Array:
-    return map_values(pa.string(), _canonical, values)
-
+    def part(group: int) -> Column:
+        return F.regexp_extract(clean, _PARTS, group)
 
-def canonical_url(url: Column) -> Column:
-    """Lower-case scheme and host, no fragment, no tracking keys, blank values kept; NULL when unreadable."""
-    plain = url.rlike(_PLAIN_URL)
-    return F.coalesce(F.when(plain, _canonical_plain(url)), _canonical_any(F.when(~plain, url)))
+    name, authority, target, query = F.lower(part(1)), F.lower(part(2)), part(3), _kept_pairs(part(4))
+    target = F.when(name.isin(*_WEB, ""), F.regexp_replace(target, ";[^/]*$", "")).otherwise(target)
+    target = F.when(target == "", F.lit("/")).otherwise(target)
+    slashes = (authority != "") | F.startswith(target, F.lit("//")) | (name.isin(*_WEB) & F.startswith(target, F.lit("/")))
+    whole = F.concat(F.when(name != "", F.concat(name, F.lit(":"))).otherwise(""), F.when(slashes, "//").otherwise(""), authority,
+                     target, F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""))
+    return F.when(~authority.rlike(r"[\[\]]") | authority.rlike(_BRACKETED), whole)
 
 
 def _join(base: str | None, href: str | None) -> str | None:
@@ -119,23 +112,18 @@ def resolve_url(base: Column, href: Column) -> Column:
 
 
 def registrable_host(url: Column, suffixes: Sequence[str] = DEFAULT_SUFFIXES) -> Column:
-    """Public suffix plus one label, by a short suffix list compiled into one pattern.
+    """Longest listed public suffix plus one label. The list may have any length: tails of the host are looked up in a set.
 
-    An unlisted suffix counts as one label; an address in digits stands for itself. Use `registrable_hosts` for a full list.
+    An unlisted suffix counts as one label; an address in digits stands for itself.
     """
-    if len(suffixes) > _MAX_INLINE_SUFFIXES:
-        raise ValueError("pass long suffix lists as a table to registrable_hosts")
-    listed = "|".join(re.escape(s) for s in sorted(suffixes, key=lambda s: (-s.count("."), s)))
-    # One pattern settles the common case; the lazy prefix makes the longest listed suffix win.
-    usual = rf"(?i)^(?:[a-z][a-z0-9+.-]*:)?//(?:[^/?#@]*@)?(?:[^/?#:@]*?\.)?([^./?#:@]+\.(?:{listed}))(?::[0-9]*)?(?:[/?#]|$)"
+    by_depth: dict[int, list[str]] = {}
+    for suffix in suffixes:
+        by_depth.setdefault(suffix.count(".") + 1, []).append(suffix)
     name = host(url)
-    bare = rf"^(?:[0-9.]+|[^.]*|{listed})$"
-    return F.coalesce(
-        F.lower(null_if_empty(F.regexp_extract(url, usual, 1))),
-        null_if_empty(F.regexp_extract(name, bare, 0)),
-        null_if_empty(F.regexp_extract(name, r"([^.]+\.[^.]+)$", 1)),
-        name,
-    )
+    found = F.when(name.rlike("^[0-9.]*$"), name)
+    for depth in sorted(by_depth, reverse=True):
+        found = found.when(F.substring_index(name, ".", -depth).isin(*by_depth[depth]), F.substring_index(name, ".", -depth - 1))
+    return found.otherwise(F.substring_index(name, ".", -2))
 
 
 def registrable_hosts(hosts: DataFrame, suffixes: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ def _scored(links: DataFrame, root_suffixes: Sequence[str], anchors: bool) -> Da
     in_scope = F.col("host") == F.col("root")
     if anchors:
         in_scope = in_scope | F.col("host").isin(*booking_hosts())
-    label = F.concat_ws(" ", F.coalesce("label", F.lit("")), F.col("url")) if anchors else F.col("url")
+    label = F.concat_ws(" ", "words", "url") if anchors else F.col("url")
     return hosted.where(in_scope).select(
         "site_id", "home_url", "url", count_words(F.lower(label), C.PRICE_LINK_WORDS).alias("score")).where("score > 0")
 
@@ -40,8 +40,8 @@ def link_scores(homepages: DataFrame, sitemaps: DataFrame | None = None,
     keep = ["site_id", "home_url", "root"]
     links = anchor_links(rooted(homepages), keep)
     # Links that cannot score are dropped before their address is resolved. Escapes and control characters may hide a word.
-    words = F.lower(F.concat_ws(" ", "label", "href", "home_url"))
-    links = links.where(mentions(words, C.PRICE_LINK_WORDS) | F.col("href").rlike("[%+\\x00-\\x1f]"))
+    address = F.lower(F.concat_ws(" ", "href", "home_url"))
+    links = links.where((F.col("words") != "") | mentions(address, C.PRICE_LINK_WORDS) | F.col("href").rlike("[%+\\x00-\\x1f]"))
     found = _scored(links, suffixes, anchors=True)
     if sitemaps is not None:
         found = found.unionByName(_scored(sitemap_links(rooted(sitemaps), keep), suffixes, anchors=False))

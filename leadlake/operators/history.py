@@ -14,12 +14,17 @@ OFFERING_KEYS = ["competitor_id", "offering_key"]
 CRAWL_ORDER = ["observed_at", "run_id", "page_ord", "cand_ord"]
 
 
+def offering_id() -> Column:
+    """Stable id of an offering, computed alike for facts and events: no join is needed to link them."""
+    return F.sha2(F.concat_ws("|", *OFFERING_KEYS), 256)
+
+
 def merge_offerings(current: DataFrame, published: DataFrame) -> DataFrame:
     """One current fact per (competitor, offering): the last observation wins, the first publication time stays."""
     batch = published.withColumns({"first_published_at": F.col("observed_at"), "updated_at": F.col("observed_at")})
     rules = {c: OVERWRITE for c in OFFERING_COLUMNS if c not in OFFERING_KEYS}
     rules |= {"first_published_at": KEEP, "updated_at": OVERWRITE}
-    return merge(current, batch, OFFERING_KEYS, rules, CRAWL_ORDER)
+    return merge(current, batch, OFFERING_KEYS, rules, CRAWL_ORDER).withColumn("id", F.coalesce("id", offering_id()))
 
 
 def merge_candidates(current: DataFrame, pending: DataFrame) -> DataFrame:
@@ -50,7 +55,7 @@ def change_events(current: DataFrame, published: DataFrame, slice_by: Column | N
     differs = ~F.col("_before").eqNullSafe(F.struct(*MATERIAL_COLUMNS))
     event = F.when(F.col("_before").isNull(), added).when(differs, "competitor_price_changed")
     return rows.where(F.col("_seen") == 1).withColumn("event_type", event).where(F.col("event_type").isNotNull()).select(
-        "competitor_id", "event_type", F.col("observed_at").alias("occurred_at"),
+        "competitor_id", offering_id().alias("offering_id"), "event_type", F.col("observed_at").alias("occurred_at"),
         F.struct("offering_key", "display_name", "qualifier", F.col("_before.price_display").alias("old_price"),
                  F.col("price_display").alias("new_price"), "source_url").alias("detail"),
         F.concat_ws(":", "event_type", "source_fingerprint").alias("source_fingerprint"),
@@ -63,5 +68,5 @@ def merge_events(current: DataFrame, found: DataFrame) -> DataFrame:
 
     `change_events` itself is the full log, in which both stay.
     """
-    rules = dict.fromkeys(["competitor_id", "event_type", "occurred_at", "detail"], OVERWRITE)
+    rules = dict.fromkeys(["competitor_id", "offering_id", "event_type", "occurred_at", "detail"], OVERWRITE)
     return merge(current, found, ["source_fingerprint"], rules, ["occurred_at", "run_id", "page_ord", "cand_ord"])

@@ -44,11 +44,13 @@ def invalid_tenants(locations: DataFrame) -> DataFrame:
         F.col("is_primary") & F.col("metro").isNotNull() & metro_key(F.col("metro")).isNull()).select("tenant_id")
 
 
-def require_valid_tenants(locations: DataFrame, shown: int = 20) -> None:
-    """Fail when a primary location has a blank metro. The message names the first few; `invalid_tenants` has them all."""
-    names = [row.tenant_id for row in invalid_tenants(locations).orderBy("tenant_id").limit(shown).collect()]
-    if names:
-        raise BlankMetroError("Primary locations with blank metros: " + ", ".join(names))
+def require_valid_tenants(locations: DataFrame, quarantine: str) -> None:
+    """Fail when a primary location has a blank metro. All such tenants are written to the folder `quarantine`, which the message
+    names with their number: the list itself may be long."""
+    invalid_tenants(locations).write.mode("overwrite").parquet(quarantine)
+    found = locations.sparkSession.read.parquet(quarantine).count()
+    if found:
+        raise BlankMetroError(f"Primary locations with blank metros: {found} tenants, listed in {quarantine}")
     if market_groups(locations).isEmpty():
         raise BlankMetroError("No primary-location metros are configured.")
 

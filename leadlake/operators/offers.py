@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from leadlake.constants import OFFERING_NAME
 from leadlake.functions.prices import parse_rows
-from leadlake.functions.text import collapse_spaces, normalize_label
+from leadlake.functions.text import collapse_spaces, normalize_label, strip_space
 from leadlake.schemas import AMOUNT
 
 # Position of a candidate on its page: JSON-LD before visible rows.
@@ -15,6 +15,23 @@ _ROWS_AFTER = 1_000_000_000
 
 
 _OFFER = "struct<name:string,price:string,shown_currency:string,currency:string>"
+_NUMBER = r"^\s*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\s*$"
+
+
+def named_offers(found: Column) -> Column:
+    """Offers of JSON-LD nodes that have a name and a price in digits, from their members as written.
+
+    The node's name goes before the offer's own, a price before a lowest price. A currency that is missing is the dollar.
+    """
+    def filled(value: Column) -> Column:
+        return F.when(value.filled, value.text)
+
+    read = F.transform(found, lambda o: F.struct(
+        strip_space(F.coalesce(filled(o.node_name), filled(o.offer_name), F.lit(""))).alias("name"),
+        F.coalesce(filled(o.price), o.low_price.text).alias("price"),
+        F.when(o.currency.isNull(), "USD").otherwise(F.coalesce(o.currency.text, F.lit("None"))).alias("shown_currency"),
+        F.upper(F.coalesce(filled(o.currency), F.lit("USD"))).alias("currency")))
+    return F.filter(read, lambda o: (o["name"] != "") & F.coalesce(o.price.rlike(_NUMBER), F.lit(False)))
 
 
 def page_items(pages: DataFrame, keep: list[str]) -> DataFrame:
@@ -23,7 +40,7 @@ def page_items(pages: DataFrame, keep: list[str]) -> DataFrame:
     Both kinds share one array, so the page is parsed once and nothing is unioned.
     """
     items = F.concat(
-        F.transform(F.coalesce("parts.offers", F.array()), lambda o, i: F.struct(
+        F.transform(F.coalesce(named_offers(F.col("parts.offers")), F.array()), lambda o, i: F.struct(
             i.cast("long").alias("cand_ord"), o.alias("offer"), F.lit(None).cast("string").alias("row_text"))),
         F.transform(F.coalesce("parts.rows", F.array()), lambda t, i: F.struct(
             (i + _ROWS_AFTER).cast("long").alias("cand_ord"), F.lit(None).cast(_OFFER).alias("offer"), t.alias("row_text"))),
@@ -33,7 +50,7 @@ def page_items(pages: DataFrame, keep: list[str]) -> DataFrame:
 
 def has_candidates() -> Column:
     """True when the page offers anything at all, told from the page row alone. Needs `parts`."""
-    return (F.size("parts.offers") > 0) | F.exists(F.coalesce("parts.rows", F.array()), lambda row: collapse_spaces(row).rlike(OFFERING_NAME))
+    return (F.size(named_offers(F.col("parts.offers"))) > 0) | F.exists(F.coalesce("parts.rows", F.array()), lambda row: collapse_spaces(row).rlike(OFFERING_NAME))
 
 
 def candidates(paged: DataFrame, keep: list[str], parity: bool = False) -> DataFrame:
@@ -52,7 +69,7 @@ def candidates(paged: DataFrame, keep: list[str], parity: bool = False) -> DataF
         "valid_through": F.lit(None), "price_display": shown,
         "evidence_text": F.concat(F.col("offer.name"), F.lit(" "), shown),
     }
-    return parsed.where(~structured | amount.isNotNull()).withColumns({
+    return parsed.withColumns({
         **{name: F.when(structured, value).otherwise(F.col(name)) for name, value in from_offer.items()},
     }).withColumn("structured", structured).drop("offer")
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leadlake.constants import CITY_STATE
+from leadlake.constants import CITY_STATE, DEFAULT_SUFFIXES
 from leadlake.functions.prices import fingerprint, minor_units, offering_key
 from leadlake.functions.text import normalize_label, null_if_empty
 from leadlake.functions.urls import booking_hosts, canonical_url, registrable_host
@@ -13,13 +15,14 @@ from leadlake.operators.ordered import keep_first, lookup
 from leadlake.schemas import OFFERING_COLUMNS
 
 
-def on_booking_host(url: Column) -> Column:
-    return registrable_host(url).isin(*booking_hosts())
+def on_booking_host(url: Column, suffixes: Sequence[str] = DEFAULT_SUFFIXES) -> Column:
+    return registrable_host(url, suffixes).isin(*booking_hosts())
 
 
-def booking_branded(final_url: Column, business_name: Column, page_text: Column) -> Column:
+def booking_branded(final_url: Column, business_name: Column, page_text: Column,
+                    suffixes: Sequence[str] = DEFAULT_SUFFIXES) -> Column:
     """True unless the page lies on a shared booking host and does not name the business."""
-    shared = on_booking_host(final_url)
+    shared = on_booking_host(final_url, suffixes)
     # Page text is normalized for shared hosts only.
     named = F.contains(normalize_label(F.when(shared, page_text)), normalize_label(business_name))
     return ~shared | named
@@ -64,6 +67,7 @@ def validate(found: DataFrame) -> DataFrame:
         .when(priced & F.col("currency").isNull() & ~dollar_market, "unknown_currency")
         .when(priced & F.col("currency").isNotNull() & (F.col("price_type") == "range") & F.col("amount_max").isNull(),
               "ambiguous_price_semantics")
+        .when(priced & minor_units(F.col("amount_min")).isNull(), "amount_out_of_range")
         .when(~priced & (F.coalesce("service_catalog_id", F.lit("")) == ""), "service_mapping_needed")
     )
     reached_currency = F.col("branded") & in_evidence(F.col("normalized_name")) & priced & ~no_display

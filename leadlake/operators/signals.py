@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadlake import constants as C
+from leadlake.functions.html import span_text
 from leadlake.functions.text import contains_any, mentions, null_if_empty
 
 def platform_from(html_lower: Column, final_url: Column) -> Column:
@@ -61,13 +62,13 @@ def with_booking(pages: DataFrame, ignore_social_hosts: bool = False) -> DataFra
             by_href = mentions(href, signatures) | (mentions(href, C.BOOKING_HREF_WORDS) & ~mentions(href, _SOCIAL_HOSTS))
         else:
             by_href = mentions(href, signatures + C.BOOKING_HREF_WORDS)
-        return by_href | mentions(F.lower(anchor.text), C.BOOKING_TEXT_WORDS)
+        return by_href | (F.size(anchor.text_words) > 0)
 
     # Each rule's hit is a column of its own, so that it is found once and then read several times.
     hits = pages.withColumns({
         "_page_hit": booking_signature(F.col("_lower")),
         "_link": first_where(F.col("parts.anchors"), link_hit).href,
-        "_control": first_where(F.col("parts.controls"), lambda text: mentions(F.lower(text), C.BOOKING_TEXT_WORDS)),
+        "_control": first_where(F.col("parts.controls"), lambda c: (F.size(c.text_words) > 0) | mentions(F.lower(c.value), C.BOOKING_TEXT_WORDS)),
     })
     page_hit, link, control = F.col("_page_hit"), F.col("_link"), F.col("_control")
     return hits.withColumns({
@@ -75,7 +76,7 @@ def with_booking(pages: DataFrame, ignore_social_hosts: bool = False) -> DataFra
         "booking_platform": F.when(page_hit.isNotNull(), page_hit)
         .when(link.isNotNull(), F.coalesce(booking_signature(F.lower(link)), F.lit("other"))).when(control.isNotNull(), "other"),
         "booking_evidence": F.when(page_hit.isNotNull(), page_hit).when(link.isNotNull(), link)
-        .when(control.isNotNull(), F.trim(control)),
+        .when(control.isNotNull(), F.trim(F.concat(control.value, F.lit(" "), span_text(F.col("parts.pieces"), control)))),
         "has_online_booking": (page_hit.isNotNull() | link.isNotNull() | control.isNotNull()).cast("int"),
     }).drop("_page_hit", "_link", "_control")
 

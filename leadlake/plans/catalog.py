@@ -14,6 +14,7 @@ from leadlake.functions import urls as U
 from leadlake.functions.prices import minor_units, parse_rows
 from leadlake.operators import contact, frontier, history, hooks, markets, offers, publish, queue, robots, runs, signals, site
 from leadlake.operators.merge import update_columns
+from leadlake.operators.ordered import keep_first
 from leadlake.operators.score import with_score
 from leadlake.plans import check_sql as Q
 from leadlake.plans import lead_flow, price_flow
@@ -671,6 +672,12 @@ def price_rows_parity(spark, d):
     return _price_rows(spark, d, parity=True)
 
 
+@query("""SELECT p_partkey, 'fixed' AS price_type, p_partkey * 100000000000000 + 25 AS amount_min_minor FROM <<part>> p""")
+def large_amounts(spark, d):
+    rows = load(spark, d, "part").select("p_partkey", F.concat(F.lit("Estate - $"), F.col("p_partkey").cast("string"), F.lit("000000000000.25")).alias("t"))
+    return parse_rows(rows, "t").select("p_partkey", "price_type", minor_units(F.col("amount_min")).alias("amount_min_minor"))
+
+
 _OK_PAGES = f"(SELECT * FROM (SELECT *, {_OUTCOME} AS o FROM <<menu_pages>> m0) m1 WHERE o = 'ok')"
 _KIT = "'Kit ' || CAST(p_partkey % 7 AS STRING)"
 _COST = "CAST(p_partkey % 300 AS STRING)"
@@ -802,6 +809,16 @@ def _published(spark, d):
     return load(spark, d, "obs").where("publication_status = 'published'")
 
 
+def _first_half(rows):
+    """Half of the keys, as a table that was stored by an earlier batch."""
+    return rows.where(F.substring(F.md5("source_fingerprint"), 1, 1) < "8")
+
+
+def _earliest(rows):
+    """Half of the keys with their first observation only, as a table that was stored by an earlier batch."""
+    return keep_first(_first_half(rows), ["source_fingerprint"], [F.col(c) for c in history.CRAWL_ORDER], 1)
+
+
 def _stored(spark, d):
     return schemas.conform(load(spark, d, "stored_offerings"), schemas.OFFERINGS)
 
@@ -827,7 +844,8 @@ def merge_offering(spark, d):
     FROM <<obs>> o WHERE publication_status = 'pending' GROUP BY source_fingerprint, competitor_id""")
 def merge_candidate(spark, d):
     pending = load(spark, d, "obs").where("publication_status = 'pending'")
-    merged = history.merge_candidates(schemas.empty(spark, schemas.OFFERING_CANDIDATES), pending)
+    before = history.merge_candidates(schemas.empty(spark, schemas.OFFERING_CANDIDATES), _earliest(pending))
+    merged = history.merge_candidates(before, pending)
     return merged.select("source_fingerprint", "competitor_id", "review_status", "review_reason", "offering_key", "evidence_page_id",
                          F.date_format("first_seen_at", "yyyy-MM-dd").alias("first_seen"),
                          F.date_format("last_seen_at", "yyyy-MM-dd").alias("last_seen"))
@@ -844,23 +862,24 @@ _EVENTS = f"""SELECT *, CASE WHEN had IS NULL THEN CASE WHEN offering_type = 'of
           FROM ({_ROWS}) r WINDOW w AS (PARTITION BY competitor_id, offering_key ORDER BY seen, observed_at, run_id, page_ord, cand_ord)) l WHERE seen = 1"""
 
 
-@query(f"""SELECT competitor_id, event_type, offering_key, old_price, price_display AS new_price, run_id, page_ord, cand_ord,
+@query(f"""SELECT competitor_id, SHA256(competitor_id || '|' || offering_key) AS offering_id, event_type, offering_key, old_price, price_display AS new_price, run_id, page_ord, cand_ord,
     event_type || ':' || source_fingerprint AS source_fingerprint, STRFTIME(observed_at, '%Y-%m-%d') AS occurred FROM ({_EVENTS}) e WHERE event_type IS NOT NULL""")
 def change_events(spark, d):
     return history.change_events(_stored(spark, d), _published(spark, d)).select(
-        "competitor_id", "event_type", F.col("detail.offering_key").alias("offering_key"), F.col("detail.old_price").alias("old_price"),
+        "competitor_id", "offering_id", "event_type", F.col("detail.offering_key").alias("offering_key"), F.col("detail.old_price").alias("old_price"),
         F.col("detail.new_price").alias("new_price"), "run_id", "page_ord", "cand_ord", "source_fingerprint",
         F.date_format("occurred_at", "yyyy-MM-dd").alias("occurred"))
 
 
 @query(f"""SELECT event_type || ':' || source_fingerprint AS source_fingerprint, competitor_id, event_type,
-    MAX_BY(old_price, {_SEQ}) AS old_price, STRFTIME(MAX(observed_at), '%Y-%m-%d') AS occurred
+    MAX(SHA256(competitor_id || '|' || offering_key)) AS offering_id, MAX_BY(old_price, {_SEQ}) AS old_price, STRFTIME(MAX(observed_at), '%Y-%m-%d') AS occurred
     FROM ({_EVENTS.replace('LAG(price_display) OVER w AS old_price', "LAG(price_display) OVER w AS old_price")}) e WHERE event_type IS NOT NULL
     GROUP BY source_fingerprint, competitor_id, event_type""")
 def merge_event(spark, d):
     log = history.change_events(_stored(spark, d), _published(spark, d))
-    merged = history.merge_events(schemas.empty(spark, schemas.PRICE_EVENTS), log)
-    return merged.select("source_fingerprint", "competitor_id", "event_type", F.col("detail.old_price").alias("old_price"),
+    before = history.merge_events(schemas.empty(spark, schemas.PRICE_EVENTS), _first_half(log))
+    merged = history.merge_events(before, log)
+    return merged.select("source_fingerprint", "competitor_id", "event_type", "offering_id", F.col("detail.old_price").alias("old_price"),
                          F.date_format("occurred_at", "yyyy-MM-dd").alias("occurred"))
 
 

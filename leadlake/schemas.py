@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-AMOUNT = T.DecimalType(18, 6)
+# Wide enough for any price that can be stored in hundredths, with room for digits that only decide the rounding.
+AMOUNT = T.DecimalType(38, 10)
 
 
 _TYPES = {"string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType(),
@@ -70,7 +71,7 @@ _OFFERING_FACTS = """
     valid_through date, price_display string, source_url string, evidence_text string, source_fingerprint string,
     last_seen_at timestamp
 """
-OFFERINGS = _struct(_OFFERING_FACTS + ", first_published_at timestamp, updated_at timestamp")
+OFFERINGS = _struct("id string, " + _OFFERING_FACTS + ", first_published_at timestamp, updated_at timestamp")
 OFFERING_CANDIDATES = _struct(
     _OFFERING_FACTS + ", review_status string, review_reason string, first_seen_at timestamp")
 OFFERING_COLUMNS = _struct(_OFFERING_FACTS).fieldNames()
@@ -78,7 +79,7 @@ OFFERING_COLUMNS = _struct(_OFFERING_FACTS).fieldNames()
 EVENT_DETAIL = _struct("""
     offering_key string, display_name string, qualifier string, old_price string, new_price string, source_url string
 """)
-PRICE_EVENTS = _struct("competitor_id string, event_type string, occurred_at timestamp, source_fingerprint string",
+PRICE_EVENTS = _struct("competitor_id string, offering_id string, event_type string, occurred_at timestamp, source_fingerprint string",
                        detail=EVENT_DETAIL)
 
 SEARCH_PAYLOAD = _struct("metro string, query_ord int, status string, error_message string", results=T.ArrayType(

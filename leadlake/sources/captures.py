@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadlake import constants as C
-from leadlake.functions.html import page_parts
+from leadlake.functions.html import page_parts, span_text
 from leadlake.functions.text import mentions
 from leadlake.functions.urls import path
 
@@ -45,9 +45,11 @@ def sitemap_links(sitemaps: DataFrame, keep: list[str], xml: str = "xml") -> Dat
 
 
 def anchor_links(pages: DataFrame, keep: list[str]) -> DataFrame:
-    """One row per anchor with an href, in document order. Needs `parts`.
+    """One row per anchor with an href, in document order: its text, and the words of price links in its label. Needs `parts`.
 
     The outer explode keeps Spark from inferring a filter on the array, which would parse every page a second time.
     """
-    return pages.select(*keep, F.posexplode_outer("parts.anchors").alias("ord", "anchor")).where("anchor IS NOT NULL").select(
-        *keep, F.col("ord").cast("long").alias("ord"), "anchor.href", "anchor.text", "anchor.label")
+    exploded = pages.select(*keep, F.col("parts.pieces").alias("_pieces"), F.posexplode_outer("parts.anchors").alias("ord", "anchor"))
+    return exploded.where("anchor IS NOT NULL").select(
+        *keep, F.col("ord").cast("long").alias("ord"), "anchor.href", span_text(F.col("_pieces"), F.col("anchor")).alias("text"),
+        F.array_join("anchor.label_words", " ").alias("words"))

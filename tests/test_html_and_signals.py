@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from leadlake.operators.signals import (booking_signature, booking_signature_from, instagram_handle, page_signals)
 from leadlake.constants import BOOKING_SIGNATURES
-from leadlake.sources.captures import with_page_parts
+from leadlake.sources.captures import anchor_links, with_page_parts
 
 
 def pages(spark, htmls, final_url="https://spa.example.com/"):
@@ -124,13 +124,25 @@ def test_instagram_handle(spark):
         "glow", "glow/", None, None, "glow"]
 
 
-def test_links_left_open_do_not_multiply_the_page(spark):
-    """Every unclosed link contains all later ones: texts stay small, and the words in them are still found."""
-    n = 4000
-    html = "".join(f'<a href="/x{i}">filler text {i} ' for i in range(n)) + "<b>bo</b>ok a treatment" + '<a href="/end">nothing'
-    got = parts(spark, html)
-    assert len(got.anchors) == n + 1
-    assert sum(len(a.text) + len(a.label) for a in got.anchors) < 40 * n
-    assert all("book" in a.text and "book" not in a.label and "treatment" in a.label for a in got.anchors[:n])
-    assert got.anchors[n].text == "" and got.anchors[n].label == ""
+@pytest.mark.parametrize("n", [3, 300])
+def test_links_left_open_keep_their_whole_text(spark, n):
+    """Every unclosed link contains all later ones, and each has its text in full on small and large pages alike."""
+    words = [f"filler text {i} " for i in range(n)]
+    html = "".join(f'<a href="/x{i}">{word}' for i, word in enumerate(words)) + "<b>bo</b>ok a treatment" + '<a href="/end">nothing'
+    rows = anchor_links(pages(spark, [html]), ["page_id"]).orderBy("ord").collect()
+    assert [r.text for r in rows[:n]] == ["".join(words[i:]) + "book a treatmentnothing" for i in range(n)]
+    assert all(r.words == "treatment" for r in rows[:n]) and (rows[n].text, rows[n].words) == ("nothing", "")
     assert signals(spark, [html])[0].booking_platform == "other"
+
+
+def test_the_page_row_grows_with_the_page_only(spark):
+    n = 4000
+    got = parts(spark, "".join(f'<a href="/x{i}">filler text {i} ' for i in range(n)) + "book")
+    assert len(got.anchors) == n and len(got.pieces) == n
+    assert all(a.text_words == ["book"] and a.label_words == ["book"] for a in got.anchors)
+
+
+def test_button_evidence(spark):
+    got = signals(spark, ['<button value="v">Please <i>book</i> now</button>', '<input value="Schedule">', "<button>no</button>"])
+    assert [r.booking_evidence for r in got] == ["v Please book now", "Schedule", None]
+

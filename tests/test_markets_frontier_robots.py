@@ -22,20 +22,22 @@ def locations(spark, rows):
     return spark.createDataFrame(rows, "tenant_id string, metro string, is_primary boolean")
 
 
-def test_market_groups(spark):
+def test_market_groups(spark, tmp_path):
     df = locations(spark, [("t1", "Chicago,  IL", True), ("t2", " chicago, il ", True), ("t3", "Austin, TX", True), ("t4", "Reno, NV", False),
                            ("t5", None, True)])
     got = {r.metro_key: (r.metro, r.tenants) for r in markets.market_groups(df).collect()}
     assert got == {"chicago, il": ("Chicago, IL", 2), "austin, tx": ("Austin, TX", 1)}
     assert [r.tenant_id for r in markets.tenant_markets(df).where("metro_key = 'chicago, il'").orderBy("ord").collect()] == ["t1", "t2"]
-    markets.require_valid_tenants(df)
+    markets.require_valid_tenants(df, str(tmp_path / "bad"))
 
 
-def test_blank_metros_are_reported(spark):
-    with pytest.raises(markets.BlankMetroError, match="t7"):
-        markets.require_valid_tenants(locations(spark, [("t7", "  ", True), ("t8", "Austin", True)]))
+def test_blank_metros_are_reported(spark, tmp_path):
+    blank = [(f"t{i}", "  ", True) for i in range(30)]
+    with pytest.raises(markets.BlankMetroError, match=f"30 tenants, listed in {tmp_path}/bad"):
+        markets.require_valid_tenants(locations(spark, [*blank, ("t80", "Austin", True)]), str(tmp_path / "bad"))
+    assert sorted(r.tenant_id for r in spark.read.parquet(str(tmp_path / "bad")).collect()) == sorted(t for t, _, _ in blank)
     with pytest.raises(markets.BlankMetroError, match="No primary"):
-        markets.require_valid_tenants(locations(spark, [("t8", "Austin", False)]))
+        markets.require_valid_tenants(locations(spark, [("t8", "Austin", False)]), str(tmp_path / "none"))
     named = spark.createDataFrame([(0, "Chicago,  IL"), (1, "CHICAGO, IL"), (2, "Austin, TX")], "ord int, metro string")
     markets.require_markets(named)
     assert sorted(r.metro for r in markets.explicit_markets(named).collect()) == ["Austin, TX", "Chicago, IL"]

@@ -1,5 +1,6 @@
 """Price grammar, JSON-LD offers, publication policy."""
 
+import re
 from datetime import date
 from decimal import Decimal
 
@@ -16,38 +17,51 @@ def parse(spark, texts, parity=False):
     return {r.i: r for r in parse_rows(df, "t", parity).collect()}
 
 
+FIELDS = ("offering_type", "display_name", "price_type", "amount_min", "amount_max", "price_unit")
+ROWS = {
+    "Brow tint: $18.50": ("service", "Brow tint", "fixed", Decimal("18.5"), None, "total"),
+    "Scalp facial | starting at $64 /session": ("service", "Scalp facial", "from", Decimal(64), None, "session"),
+    "Leg vein laser - $310 to $1,275": ("service", "Leg vein laser", "range", Decimal(310), Decimal(1275), "total"),
+    "Collagen drip – $7.25/unit": ("service", "Collagen drip", "fixed", Decimal("7.25"), None, "unit"),
+    "Gold membership - $2150/month": ("membership", "Gold membership", "fixed", Decimal(2150), None, "month"),
+    "Bridal package - $940, 4 treatments": ("package", "Bridal package", "fixed", Decimal(940), None, "package"),
+    "Autumn special - $33": ("offer", "Autumn special", "fixed", Decimal(33), None, "total"),
+    "Consultation - $0": ("service", "Consultation", "fixed", Decimal(0), None, None),
+    "Nail art - £15 ($21)": ("service", "Nail art", "fixed", Decimal(15), None, "total"),
+    "Estate - $1234567890123.45": ("service", "Estate", "fixed", Decimal("1234567890123.45"), None, "total"),
+    "Moon - $" + "9" * 40: ("service", "Moon", "fixed", None, None, "total"),
+    "Tanning - call us": ("service", "Tanning", "none", None, None, None),
+}
+
+
 def test_menu_rows(spark):
-    got = parse(spark, [
-        "Filler/Gel - $12 per unit", "Needling - From $299 per session", "Light Facial - $250 - $450 per session",
-        "Sun Membership - $99 per month", "Glow Package: 3 sessions - $750 package", "Peel Special - $129 valid through August 31, 2026",
-        "Peel Special: was $399, now $299 valid through 2026-08-31", "Lip Wax - $650", "Specialist visit: $80", "12 things $5", "Lip Wax €40 or $50",
-        "Wax $20 to $30", "Wax - $0 today", "Wax - ask ($)", "Wax bar - CAD 40 ($30)", "Wax - $1200/mo until February 30, 2026", "-$5",
-    ])
-    assert [(got[i].display_name, got[i].price_type, got[i].amount_min, got[i].amount_max, got[i].price_unit) for i in range(3)] == [
-        ("Filler/Gel", "fixed", Decimal(12), None, "unit"), ("Needling", "from", Decimal(299), None, "session"),
-        ("Light Facial", "range", Decimal(250), Decimal(450), "session")]
-    assert [(got[i].offering_type, got[i].price_unit, got[i].package_quantity) for i in (3, 4)] == [
-        ("membership", "month", None), ("package", "package", 3)]
-    assert (got[5].offering_type, got[5].valid_through) == ("offer", date(2026, 8, 31))
-    assert (got[6].amount_min, got[6].original_amount, got[6].price_display, got[6].valid_through) == (
-        Decimal(299), Decimal(399), "now $299", date(2026, 8, 31))
-    assert (got[7].price_unit, got[8].offering_type) == ("total", "offer")
-    assert 9 not in got and 16 not in got and 10 not in got  # no name, or none before a separator
-    assert (got[11].price_type, got[11].amount_max, got[11].price_display) == ("range", Decimal(30), "$20 to $30")
-    assert (got[12].amount_min, got[12].price_unit) == (Decimal(0), None)
-    assert (got[13].price_type, got[13].currency, got[13].price_display) == ("none", None, None)
-    assert (got[14].display_name, got[14].currency, got[14].price_display) == ("Wax bar", None, "$30")
-    assert (got[15].amount_min, got[15].price_unit, got[15].valid_through) == (Decimal(1200), "month", None)
+    got = parse(spark, list(ROWS))
+    assert [tuple(got[i][f] for f in FIELDS) for i in range(len(ROWS))] == list(ROWS.values())
+    assert got[5].package_quantity == 4 and got[8].currency is None and got[0].currency == "USD"
+
+
+def test_rows_without_a_name_are_left_out(spark):
+    assert parse(spark, ["$5 off", "7 wonders $70", "€9 - $4"]) == {}
+
+
+@pytest.mark.parametrize(("text", "until", "shown"), [
+    ("Cupping - $58 until March 9, 2031", date(2031, 3, 9), "$58"), ("Cupping - $58 through 2031-03-09", date(2031, 3, 9), "$58"),
+    ("Cupping - $58 until February 31, 2031", None, "$58"), ("Cupping: was $77.10 and is now $61 until May 4 2030", date(2030, 5, 4), "now $61")])
+def test_dates_and_reductions(spark, text, until, shown):
+    row = parse(spark, [text])[0]
+    assert (row.valid_through, row.price_display) == (until, shown)
+    if "was" in text:
+        assert (row.original_amount, row.amount_min) == (Decimal("77.1"), Decimal(61))
 
 
 def test_parity_switch_keeps_the_narrow_amount_rule(spark):
-    assert parse(spark, ["Wax - $1200"], parity=True)[0].amount_min == Decimal(120)
-    assert parse(spark, ["Wax - $1,200.50"], parity=True)[0].amount_min == Decimal("1200.50")
+    assert parse(spark, ["Tint - $4381"], parity=True)[0].amount_min == Decimal(438)
+    assert parse(spark, ["Tint - $4,381.75"], parity=True)[0].amount_min == Decimal("4381.75")
 
 
 def test_minor_units_round_half_even(spark):
-    df = spark.createDataFrame([(Decimal("0.125"),), (Decimal("0.135"),), (None,)], "a decimal(18,6)")
-    assert [r.m for r in df.select(minor_units(F.col("a")).alias("m")).collect()] == [12, 14, None]
+    df = spark.createDataFrame([(Decimal("0.125"),), (Decimal("0.135"),), (None,), (Decimal("0.1250000001"),), (Decimal("1" + "0" * 27),)], "a decimal(38,10)")
+    assert [r.m for r in df.select(minor_units(F.col("a")).alias("m")).collect()] == [12, 14, None, 13, None]
 
 
 def found(spark, html):
@@ -55,64 +69,75 @@ def found(spark, html):
     return offers.candidates(offers.page_items(with_page_parts(df), ["page_id"]), ["page_id"])
 
 
-def test_jsonld(spark):
-    html = """<script type="application/ld+json">{"@type":"Product","name":"Peel","offers":{"@type":"Offer","price":"199","priceCurrency":"USD"}}</script>
-    <script type="application/ld+json">not json</script>
-    <script type="application/ld+json">[{"@type":"Offer","name":"Wax","lowPrice":12.5},{"x":{"y":{"z":{"w":{"v":{"u":{"t":{"@type":"Service","name":"Deep",
-      "offers":[{"price":0},{"price":"1,2"},{"price":7,"priceCurrency":null},3]}}}}}}}}]</script>"""
-    rows = found(spark, html).orderBy("cand_ord").collect()
-    assert [(r.display_name, r.amount_min, r.currency, r.price_display, r.price_unit) for r in rows] == [
-        ("Peel", Decimal(199), "USD", "USD 199", "total"), ("Wax", Decimal("12.5"), "USD", "USD 12.5", "total"),
-        ("Deep", Decimal(7), "USD", "None 7", "total")]
+def script(payload):
+    return f'<script type="application/ld+json">{payload}</script>'
+
+
+@pytest.mark.parametrize(("payload", "rows"), [
+    ('{"name": "Sugaring", "offers": [{"price": "44.10", "priceCurrency": "cad"}, {"lowPrice": 9.5}, {"price": 0}, "x", {"price": "1,2"}]}',
+     [("Sugaring", Decimal("44.1"), "CAD", "cad 44.10"), ("Sugaring", Decimal("9.5"), "USD", "USD 9.5")]),
+    ('[[{"k": {"@type": "Offer", "name": " Steam \\n", "price": 71, "priceCurrency": null}}], {"@type": "Offer", "price": 5}]',
+     [("Steam", Decimal(71), "USD", "None 71")]),
+    ('{"name": "", "offers": {"name": "Own", "price": 0, "lowPrice": "3e1"}}', [("Own", Decimal(30), "USD", "USD 3e1")]),
+    ('{"name": "Island", "offers": {"price": "123456789012345678901234567890123456789"}}', [("Island", None, "USD", "USD 123456789012345678901234567890123456789")]),
+    ('{"name": "Yacht", "offers": {"price": 1234567890123}}', [("Yacht", Decimal(1234567890123), "USD", "USD 1234567890123")]),
+    ('{"name": "Odd", "offers": {"price": NaN}}', []), ("{broken", []), ('"text"', [])])
+def test_structured_offers(spark, payload, rows):
+    got = found(spark, script(payload)).orderBy("cand_ord").collect()
+    assert [(r.display_name, r.amount_min, r.currency, r.price_display) for r in got] == rows
+    assert [(r.cand_ord, r.price_type, r.price_unit) for r in got] == [(i, "fixed", "total") for i in range(len(rows))]
 
 
 def test_candidates_come_in_page_order_and_repeat_once(spark):
-    html = ('<div id="root"><section>Laser - $175 per session</section><section>Filler - $650</section><p>LASER - $175</p></div>'
-            '<script type="application/ld+json">[{"@type":"Offer","name":"Kit","price":5},{"@type":"Offer","name":"kit","price":5}]</script>')
+    html = ('<ul><li>Threading: $14</li><li>Henna | $27.50</li><li>THREADING: $14</li><li>Threading: $16</li></ul>'
+            + script('[{"@type":"Offer","name":"Oil","price":8},{"@type":"Offer","name":"oil","price":8}]'))
     rows = offers.dedupe_candidates(found(spark, html), ["page_id"]).orderBy("cand_ord").collect()
-    assert [(r.display_name, r.price_display) for r in rows] == [("Kit", "USD 5"), ("kit", "USD 5"), ("Laser", "$175"), ("Filler", "$650")]
-    # The container is read first, so its whole text is the evidence of the first row.
-    assert rows[2].evidence_text.startswith("Laser - $175 per session Filler - $650")
+    assert [(r.display_name, r.price_display) for r in rows] == [
+        ("Oil", "USD 8"), ("oil", "USD 8"), ("Threading", "$14"), ("Henna", "$27.50"), ("Threading", "$16")]
 
 
-BASE = dict(competitor_id="c", run_id="r", page_ord=1, cand_ord=0, market="Chicago, IL", branded=True, service_catalog_id=None, offering_type="service",
-            display_name="Filler/Gel", normalized_name="filler gel", qualifier=None, price_type="fixed", amount_min=Decimal(12), amount_max=None,
-            currency="USD", price_unit="unit", package_quantity=None, original_amount=None, valid_from=None, valid_through=None, price_display="$12",
-            evidence_text="Filler/Gel - $12 per unit", source_url="https://x.example.com/p")
 SCHEMA = ("competitor_id string, run_id string, page_ord int, cand_ord long, market string, branded boolean, service_catalog_id string, offering_type string, "
-          "display_name string, normalized_name string, qualifier string, price_type string, amount_min decimal(18,6), amount_max decimal(18,6), "
-          "currency string, price_unit string, package_quantity int, original_amount decimal(18,6), valid_from date, valid_through date, "
+          "display_name string, normalized_name string, qualifier string, price_type string, amount_min decimal(38,10), amount_max decimal(38,10), "
+          "currency string, price_unit string, package_quantity int, original_amount decimal(38,10), valid_from date, valid_through date, "
           "price_display string, evidence_text string, source_url string")
 
 
-def judged(spark, changes):
-    rows = [tuple({**BASE, "cand_ord": i, **c}.values()) for i, c in enumerate(changes)]
-    return publish.validate(spark.createDataFrame(rows, SCHEMA))
+def candidate(place, name, shown, amount, **changes):
+    """A candidate whose evidence is its name and shown price."""
+    row = dict(competitor_id="k9", run_id="run_4", page_ord=3, cand_ord=place, market="Boise, ID", branded=True, offering_type="service",
+               display_name=name, normalized_name=name.lower(), price_type="fixed", amount_min=amount, currency="USD", price_unit="session",
+               price_display=shown, evidence_text=f"{name}: {shown} each", source_url="https://menu.example.org/list") | changes
+    return tuple(row.get(part.split()[0]) for part in re.sub(r"\(.*?\)", "", SCHEMA).split(", "))
 
 
-def judge(spark, changes):
-    return judged(spark, changes).orderBy("cand_ord").collect()
+def judged(spark, rows):
+    return publish.validate(spark.createDataFrame([candidate(i, *row, **changes) for i, (*row, changes) in enumerate(rows)], SCHEMA))
 
 
-def test_publication_reasons(spark):
-    priceless = dict(price_type="none", amount_min=None, currency=None, price_unit=None, price_display=None, evidence_text="Filler/Gel on request")
-    got = judge(spark, [
-        {}, {"price_display": "$13"}, {"display_name": "Other", "normalized_name": "other"}, {"currency": None, "market": None}, {"currency": None},
-        {"price_type": "range"}, priceless, {**priceless, "service_catalog_id": "svc"}, {"branded": False}, {"price_display": None}, {"currency": None, "market": "Chicago"},
-    ])
-    assert [r.review_reason for r in got] == [
-        None, "amount_not_in_evidence", "name_not_in_evidence", "unknown_currency", None, "ambiguous_price_semantics", "service_mapping_needed", None,
-        "unverified_booking_brand", "amount_not_in_evidence", "unknown_currency"]
-    assert [r.publication_status for r in got][:2] == ["published", "pending"] and got[4].currency == "USD" and got[3].currency is None
-    assert got[0].offering_key == "service:filler gel:base:unit:0"
+@pytest.mark.parametrize(("changes", "reason"), [
+    ({}, None), ({"branded": False}, "unverified_booking_brand"), ({"normalized_name": "ear candle"}, "name_not_in_evidence"),
+    ({"price_display": "$46"}, "amount_not_in_evidence"), ({"price_display": None}, "amount_not_in_evidence"),
+    ({"currency": None}, None), ({"currency": None, "market": "Boise"}, "unknown_currency"), ({"currency": None, "market": None}, "unknown_currency"),
+    ({"price_type": "range"}, "ambiguous_price_semantics"), ({"price_type": "range", "amount_max": Decimal(90)}, None),
+    ({"amount_min": None}, "amount_out_of_range"), ({"amount_min": Decimal("1" + "0" * 20)}, "amount_out_of_range"),
+    ({"price_type": "none", "amount_min": None, "price_display": None}, "service_mapping_needed"),
+    ({"price_type": "none", "amount_min": None, "price_display": None, "service_catalog_id": "s3"}, None)])
+def test_publication_reasons(spark, changes, reason):
+    row = judged(spark, [("Hot stone", "$45", Decimal(45), changes)]).first()
+    assert (row.review_reason, row.publication_status) == (reason, "pending" if reason else "published")
+    assert row.offering_key == "service:" + row.normalized_name + ":base:session:0"
+    if reason is None and changes.get("price_type") != "none":
+        assert row.currency == "USD"
 
 
 def test_fingerprints_and_first_seen(spark):
-    df = judged(spark, [{}, {}, {"display_name": "Xeo", "normalized_name": "xeo", "evidence_text": "Xeo - $12 per unit"}, {"amount_min": Decimal("12.00")},
-                        {"valid_through": date(2026, 1, 1)}, {"source_url": "HTTPS://X.example.com/p#top"}])
+    """Case of the host, fragments, trailing zeros and position leave a fingerprint alone; price, name and dates do not."""
+    same = [{}, {"source_url": "HTTPS://MENU.example.org/list#two"}, {"amount_min": Decimal("45.000")}, {"page_ord": 8}]
+    other = [{"amount_min": Decimal("45.01")}, {"valid_through": date(2033, 7, 2)}, {"source_url": "https://menu.example.org/lists"}]
+    df = judged(spark, [("Hot stone", "$45", Decimal(45), c) for c in same + other])
     prints = [r.source_fingerprint for r in df.orderBy("cand_ord").collect()]
-    assert prints[0] == prints[1] == prints[3] == prints[5] and len(set(prints)) == 3
-    assert [r.cand_ord for r in publish.first_seen(df).orderBy("cand_ord").collect()] == [0, 2, 4]
+    assert len(set(prints[:4])) == 1 and len(set(prints)) == 4
+    assert sorted(r.cand_ord for r in publish.first_seen(df).collect()) == [0, 4, 5, 6]
 
 
 @pytest.mark.parametrize(("url", "text", "branded"), [
