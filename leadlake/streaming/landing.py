@@ -12,23 +12,27 @@ from pyspark.sql.streaming import StreamingQuery
 
 from leadlake import schemas
 from leadlake.plans.lead_flow import discover
-from leadlake.sources.tables import read_snapshot
 
 
 def version_path(root: str, version: int) -> str:
     return f"{root.rstrip('/')}/version={version}"
 
 
-def merge_landed_places(spark: SparkSession, landing: str, root: str, checkpoint: str, details: DataFrame, as_of: Column) -> StreamingQuery:
+def merge_landed_places(spark: SparkSession, landing: str, root: str, checkpoint: str, details: DataFrame, as_of: Column,
+                        start: DataFrame | None = None) -> StreamingQuery:
     """Merge everything that has landed since the last call, then stop. The newest version is the batch number.
 
-    `details` holds the details answers landed so far.
+    `details` holds the details answers landed so far. The first batch is merged into `start`, an empty table unless given. A
+    later batch needs the version before it: when that is gone the batch fails instead of starting over from nothing.
     """
     answers = spark.readStream.schema(schemas.SEARCH_PAYLOAD).json(landing)
 
     def merge_batch(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        current = read_snapshot(session, version_path(root, number - 1), schemas.BUSINESSES)
+        if number:
+            current = session.read.schema(schemas.BUSINESSES).parquet(version_path(root, number - 1))
+        else:
+            current = schemas.empty(session, schemas.BUSINESSES) if start is None else start
         searched = schemas.empty(session, schemas.MARKET_SCRAPES).select("metro_key", "metro")
         merged, _ = discover(current, searched, batch, details, as_of)
         schemas.conform(merged, schemas.BUSINESSES).write.mode("overwrite").parquet(version_path(root, number))
