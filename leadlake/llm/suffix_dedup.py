@@ -270,6 +270,15 @@ def _wide_keys(sliced: DataFrame) -> DataFrame:
     return hashed.where("copies = 1").join(often, "string", "left_semi").select("doc_id", "text_hash", "lo", F.col("lo").alias("hi"))
 
 
+_ROW = ["_no_id", "_id", "text_hash"]
+
+
+def _by_row(rows: DataFrame) -> DataFrame:
+    """`rows` with the columns _ROW, none of them null: joined and grouped by plain equality, rows keep one partitioning and are not shuffled again."""
+    absent = F.lit(0).cast(rows.schema["doc_id"].dataType)
+    return rows.withColumns({"_no_id": F.col("doc_id").isNull(), "_id": F.coalesce("doc_id", absent)})
+
+
 def repeated(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, lo, hi): ranges of starts, in bytes, of strings of SPAN_BYTES that start elsewhere too."""
     texts = docs.select("doc_id", text_of(docs).alias("text")).withColumn("text_hash", F.xxhash64("text"))
@@ -282,9 +291,8 @@ def repeated(docs: DataFrame) -> DataFrame:
 
     open_ = shared.where("bodies > 1")
     one = open_.groupBy("key", "body", "copies", "bodies").agg(F.min(F.struct("doc_id", "text_hash", "lo", "n")).alias("at"))
-    wanted = one.select("at.*", "key", "body", "copies", "bodies").groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("key", "body", "copies", "bodies", "lo", "n")).alias("parts"))
-    wanted = wanted.withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
-    near = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["_id"]) & (texts["text_hash"] == wanted["_hash"])).dropDuplicates(["_id", "_hash"])
+    wanted = _by_row(one.select("at.*", "key", "body", "copies", "bodies")).groupBy(*_ROW).agg(F.collect_list(F.struct("key", "body", "copies", "bodies", "lo", "n")).alias("parts"))
+    near = _by_row(texts).join(wanted, _ROW).dropDuplicates(_ROW)
     part = F.explode("parts").alias("p")
     sliced = near.select("doc_id", "text_hash", F.encode("text", "UTF-8").alias("raw"), part).select(
         "doc_id", "text_hash", "p.key", "p.body", "p.copies", "p.bodies", "p.lo", F.substring(F.col("raw"), F.col("p.lo") + 1, F.col("p.n") + SPAN_BYTES).alias("bytes"))
@@ -299,8 +307,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     shorter than SPAN_BYTES lose nothing. Repeated rows repeat each other, so they lose their text from SPAN_BYTES on. Rows are told apart by id and text.
     """
     texts = docs.select("doc_id", text_of(docs).alias("text")).withColumn("text_hash", F.xxhash64("text"))
-    ranges = repeated(docs).groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges")).withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
-    joined = texts.join(ranges, texts["doc_id"].eqNullSafe(ranges["_id"]) & (texts["text_hash"] == ranges["_hash"]), "left")
+    ranges = _by_row(repeated(docs)).groupBy(*_ROW).agg(F.collect_set(F.struct("lo", "hi")).alias("ranges"))
+    joined = _by_row(texts).join(ranges, _ROW, "left")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
