@@ -8,7 +8,7 @@ array by Larsson and Sadakane's refinement, common prefixes by Kasai's walk, and
 
 from __future__ import annotations
 
-import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -246,7 +246,7 @@ def _runs(flags: np.ndarray) -> Iterator[tuple[int, int]]:
     return zip(edge[::2].tolist(), (edge[1::2] - 1).tolist())
 
 
-def _sorted_shards(sliced: DataFrame, kind: str) -> DataFrame:
+def _sorted_shards(sliced: DataFrame, shards: int, kind: str) -> DataFrame:
     """(doc_id, text_hash, lo, hi): repeated starts of the open blocks, shard by shard."""
     def of(shard: pd.DataFrame) -> pd.DataFrame:
         shard = shard.sort_values(["key", "body"], kind="stable")
@@ -256,8 +256,6 @@ def _sorted_shards(sliced: DataFrame, kind: str) -> DataFrame:
                 out += [(doc, text, lo + a, lo + b) for a, b in _runs(twice)]
         return pd.DataFrame(out, columns=["doc_id", "text_hash", "lo", "hi"])
 
-    total = sliced.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
-    shards = max(1, -(-total // SHARD_BYTES))
     return sliced.groupBy(F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard")).applyInPandas(of, f"doc_id {kind}, text_hash long, lo int, hi int")
 
 
@@ -290,14 +288,15 @@ def repeated(docs: DataFrame) -> DataFrame:
     settled = shared.where("copies > 1").select("doc_id", "text_hash", "lo", (F.col("lo") + F.col("n")).alias("hi"))
 
     open_ = shared.where("bodies > 1")
+    total = open_.agg(F.sum((F.col("n") + SPAN_BYTES) / F.col("copies"))).first()[0] or 0
+    shards = max(1, math.ceil(total / SHARD_BYTES))
     one = open_.groupBy("key", "body", "copies", "bodies").agg(F.min(F.struct("doc_id", "text_hash", "lo", "n")).alias("at"))
     wanted = _by_row(one.select("at.*", "key", "body", "copies", "bodies")).groupBy(*_ROW).agg(F.collect_list(F.struct("key", "body", "copies", "bodies", "lo", "n")).alias("parts"))
     near = _by_row(texts).join(wanted, _ROW).dropDuplicates(_ROW)
     part = F.explode("parts").alias("p")
     sliced = near.select("doc_id", "text_hash", F.encode("text", "UTF-8").alias("raw"), part).select(
         "doc_id", "text_hash", "p.key", "p.body", "p.copies", "p.bodies", "p.lo", F.substring(F.col("raw"), F.col("p.lo") + 1, F.col("p.n") + SPAN_BYTES).alias("bytes"))
-    sliced = checkpointed(sliced)
-    return settled.unionByName(_sorted_shards(sliced.where(F.col("bodies") <= WIDE_KEY_BLOCKS), kind)).unionByName(_wide_keys(sliced.where(F.col("bodies") > WIDE_KEY_BLOCKS)))
+    return settled.unionByName(_sorted_shards(sliced.where(F.col("bodies") <= WIDE_KEY_BLOCKS), shards, kind)).unionByName(_wide_keys(sliced.where(F.col("bodies") > WIDE_KEY_BLOCKS)))
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
