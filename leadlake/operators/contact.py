@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadlake.operators.merge import reduce_batch
-from leadlake.operators.ordered import lookup
 from leadlake.operators.site import finder_domain, wants_email
 
 
@@ -35,7 +34,7 @@ def with_finder(businesses: DataFrame, applies, finder: DataFrame | None = None)
     else:
         answers = finder_answers(finder).select(
             F.col("domain").alias("_domain"), F.col("email").alias("_found"), F.col("status").alias("_found_status"))
-        work = lookup(work, answers, ["_domain"], spread_by=["place_id"])
+        work = work.join(answers, "_domain", "left")
         found_email, found_status = F.col("_found"), F.coalesce("_found_status", F.lit("not_found"))
     has_domain = F.col("_domain").isNotNull()
     return work.withColumns({

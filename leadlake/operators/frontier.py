@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from leadlake import constants as C
 from leadlake.functions.text import count_words, mentions
 from leadlake.functions.urls import booking_hosts, canonical_url, netloc, registrable_host, resolve_url
-from leadlake.operators.ordered import HOT_ROWS, hot_keys, keep_first, with_position
+from leadlake.operators.ordered import keep_first, with_position
 from leadlake.sources.captures import anchor_links, sitemap_links
 
 
@@ -58,12 +58,11 @@ def frontier(homepages: DataFrame, sitemaps: DataFrame | None = None, suffixes:
     return ranked.select("site_id", "page_ord", "url", "score")
 
 
-def politeness_plan(urls: DataFrame, seconds: int = 1, hot_rows: int = HOT_ROWS) -> DataFrame:
+def politeness_plan(urls: DataFrame, seconds: int = 1) -> DataFrame:
     """Earliest second at which each URL may be fetched, `seconds` apart per host.
 
-    Order within a host is by digest, which spreads evenly; hosts with very many URLs are numbered slice by slice.
+    Order within a host is by digest, which spreads evenly; hosts are numbered slice by slice.
     """
     hosted = urls.select("url", netloc(F.col("url")).alias("host"), F.md5("url").alias("_digest"))
-    placed = with_position(hosted, ["host"], ["_digest", "url"], F.substring("_digest", 1, 2), "_position",
-                           hot_keys(hosted, ["host"], hot_rows))
+    placed = with_position(hosted, ["host"], ["_digest", "url"], F.substring("_digest", 1, 2), "_position")
     return placed.select("host", "url", (F.col("_position") * seconds).alias("offset_seconds"))

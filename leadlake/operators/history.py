@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from leadlake.constants import MATERIAL_COLUMNS
 from leadlake.operators.merge import KEEP, OVERWRITE, merge
-from leadlake.operators.ordered import HOT_ROWS, hot_keys, with_previous
+from leadlake.operators.ordered import with_previous
 from leadlake.schemas import OFFERING_COLUMNS
 
 OFFERING_KEYS = ["competitor_id", "offering_key"]
@@ -36,21 +36,18 @@ def merge_candidates(current: DataFrame, pending: DataFrame) -> DataFrame:
     return merge(current, batch, ["source_fingerprint"], rules, CRAWL_ORDER)
 
 
-def change_events(current: DataFrame, published: DataFrame, slice_by: Column | None = None,
-                  hot_rows: int = HOT_ROWS) -> DataFrame:
+def change_events(current: DataFrame, published: DataFrame, slice_by: Column | None = None) -> DataFrame:
     """Added and changed events, in the order the observations were made.
 
-    The row before an observation is the earlier observation of the same offering, or the stored fact. `slice_by` splits hot
-    offerings along time (default: by day).
+    The row before an observation is the earlier observation of the same offering, or the stored fact. `slice_by` splits offerings
+    along time (default: by day).
     """
-    touched = published.select(*OFFERING_KEYS).distinct()
-    stored = current.join(touched, OFFERING_KEYS, "left_semi").select(
-        *OFFERING_KEYS, *MATERIAL_COLUMNS, F.lit(0).alias("_seen"))
+    stored = current.select(*OFFERING_KEYS, *MATERIAL_COLUMNS, F.lit(0).alias("_seen"))
     rows = published.withColumn("_seen", F.lit(1)).unionByName(stored, allowMissingColumns=True)
     day = F.date_trunc("DAY", F.col("observed_at")) if slice_by is None else slice_by
-    slices = F.when(F.col("_seen") == 0, F.lit("0001-01-01").cast("timestamp")).otherwise(day)
-    hot = hot_keys(published, OFFERING_KEYS, hot_rows)
-    rows = with_previous(rows, OFFERING_KEYS, ["_seen", *CRAWL_ORDER], MATERIAL_COLUMNS, slices, "_before", hot)
+    start = F.lit("0001-01-01").cast("timestamp")
+    slices = F.when(F.col("_seen") == 0, start).otherwise(F.coalesce(day, start))
+    rows = with_previous(rows, OFFERING_KEYS, ["_seen", *CRAWL_ORDER], MATERIAL_COLUMNS, slices, "_before")
     added = F.when(F.col("offering_type") == "offer", "competitor_offer_added").otherwise("competitor_offering_added")
     differs = ~F.col("_before").eqNullSafe(F.struct(*MATERIAL_COLUMNS))
     event = F.when(F.col("_before").isNull(), added).when(differs, "competitor_price_changed")

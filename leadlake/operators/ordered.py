@@ -1,9 +1,9 @@
 """Order-dependent operators that stay exact when one key holds a large share of all rows.
 
 First, last and top-k per key need no care: `row_number() <= k` is cut per task before the shuffle (WindowGroupLimit).
-Previous-value and running-number operators must see every row of a key. Keys with more than `hot_rows` rows are therefore
-split into slices that follow the order, each slice is one window group, and the slices are tied together by one small row
-per slice.
+Previous-value and running-number operators must see every row of a key. The rows of each key are therefore split into slices
+that follow the order, each slice is one window group, and the slices are tied together by one small row per slice. That is one
+plan for every key and size: rows are shuffled once, slice ends twice, and no key has to be counted first.
 """
 
 from __future__ import annotations
@@ -13,8 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_ROWS = 5_000_000
-
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column], limit: int = 1,
                rank_as: str | None = None) -> DataFrame:
@@ -24,37 +22,21 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column], limi
     return ranked.withColumnRenamed("_rank", rank_as) if rank_as else ranked.drop("_rank")
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than `hot_rows` rows: at most (rows / hot_rows) of them, 200,000 for 10^12 rows."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select(*keys)
-
-
-def slice_hot_keys(df: DataFrame, keys: Sequence[str], slice_by: Column, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(all rows with `_slice`, the rows of hot keys alone). `_slice` is NULL for ordinary keys, `slice_by` for hot ones.
-
-    The broadcast is bounded by what `hot_keys` can return. When there are no hot keys, the adaptive planner drops both the
-    join and everything built on the second frame.
-    """
-    marked = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-    rows = df.join(marked, list(keys), "left").withColumn("_slice", F.when(F.col("_hot"), slice_by)).drop("_hot")
-    return rows, df.join(F.broadcast(hot), list(keys)).withColumn("_slice", slice_by)
-
-
 def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str], slice_by: Column,
-                  alias: str = "previous", hot: DataFrame | None = None) -> DataFrame:
+                  alias: str = "previous") -> DataFrame:
     """Add a struct of `values` from the row before in `order` within `keys`; NULL struct for the first row.
 
-    `slice_by` must not decrease along `order`. `order` must be unique within `keys`. `hot` lists the keys to slice (default:
-    `hot_keys` of the rows).
+    `slice_by` must not decrease along `order`. `order` must be unique within `keys`.
     """
+    sliced = df.withColumn("_slice", slice_by)
     value = F.struct(*values)
-    sliced, hot_rows = slice_hot_keys(df, keys, slice_by, hot_keys(df, keys) if hot is None else hot)
     # Last value of each slice, handed to the next slice that has rows.
-    ends = hot_rows.groupBy(*keys, "_slice").agg(F.max_by(value, F.struct(*order)).alias("_carry"))
+    ends = sliced.groupBy(*keys, "_slice").agg(F.max_by(value, F.struct(*order)).alias("_carry"))
     by_slice = Window.partitionBy(*keys).orderBy("_slice")
-    carried = ends.withColumn("_slice", F.lead("_slice").over(by_slice)).where(F.col("_slice").isNotNull())
+    following = F.lead(F.struct("_slice")).over(by_slice)
+    carried = ends.withColumn("_next", following).where(F.col("_next").isNotNull())
     rows = sliced.select("*", value.alias("_carry"), F.lit(1).alias("_is_row"))
-    carried = carried.select(*keys, "_slice", "_carry", F.lit(0).alias("_is_row"))
+    carried = carried.select(*keys, F.col("_next._slice").alias("_slice"), "_carry", F.lit(0).alias("_is_row"))
     within = Window.partitionBy(*keys, "_slice").orderBy("_is_row", *order)
     return (
         rows.unionByName(carried, allowMissingColumns=True)
@@ -63,11 +45,10 @@ def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], valu
     )
 
 
-def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_by: Column, alias: str = "position",
-                  hot: DataFrame | None = None) -> DataFrame:
-    """Add the zero-based position of each row within `keys` in `order`, hot keys counted slice by slice."""
-    sliced, hot_rows = slice_hot_keys(df, keys, slice_by, hot_keys(df, keys) if hot is None else hot)
-    sizes = hot_rows.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_size"))
+def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_by: Column, alias: str = "position") -> DataFrame:
+    """Add the zero-based position of each row within `keys` in `order`, counted slice by slice. `slice_by` must not decrease along `order`."""
+    sliced = df.withColumn("_slice", slice_by)
+    sizes = sliced.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     bases = sizes.select(*keys, "_slice", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_base"))
     # The base rides along as one extra leading row per slice, so the rows themselves are shuffled once.
@@ -79,17 +60,4 @@ def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], slic
         "_start": F.first("_base").over(so_far),
     })
     return numbered.where(F.col("_is_row") == 1).withColumn(
-        alias, F.col("_count") - 1 + F.coalesce("_start", F.lit(0))).drop("_slice", "_is_row", "_base", "_count", "_start")
-
-
-def lookup(facts: DataFrame, dimension: DataFrame, keys: Sequence[str], spread_by: Sequence[str],
-           salts: int = 16) -> DataFrame:
-    """Left join to a dimension that is unique on `keys`, safe when one key (or NULL) holds a third of the facts.
-
-    Facts go to one of `salts` copies of each dimension row by a hash of `spread_by` (columns that tell rows of one key
-    apart), so a recomputed task sends every row to the same place. Spark broadcasts the dimension by itself when its measured
-    size is below the threshold; otherwise the salted sort-merge join has no oversized partition.
-    """
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
-    salted = dimension.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return facts.withColumn("_salt", salt).join(salted, [*keys, "_salt"], "left").drop("_salt")
+        alias, F.col("_count") - 1 + F.col("_start")).drop("_slice", "_is_row", "_base", "_count", "_start")

@@ -11,7 +11,7 @@ from leadlake.constants import CITY_STATE, DEFAULT_SUFFIXES
 from leadlake.functions.prices import fingerprint, minor_units, offering_key
 from leadlake.functions.text import normalize_label, null_if_empty
 from leadlake.functions.urls import booking_hosts, canonical_url, registrable_host
-from leadlake.operators.ordered import keep_first, lookup
+from leadlake.operators.ordered import keep_first
 from leadlake.schemas import OFFERING_COLUMNS
 
 
@@ -37,10 +37,9 @@ def catalog_table(catalog: DataFrame) -> DataFrame:
     return catalog.groupBy(normalize_label(F.col("name")).alias("normalized_name")).agg(F.max("id").alias("catalog_id"))
 
 
-def with_catalog(found: DataFrame, aliases: DataFrame, catalog: DataFrame, spread_by: list[str]) -> DataFrame:
+def with_catalog(found: DataFrame, aliases: DataFrame, catalog: DataFrame) -> DataFrame:
     """service_catalog_id by alias, else by catalog name."""
-    mapped = lookup(found, alias_table(aliases), ["normalized_name"], spread_by)
-    mapped = lookup(mapped, catalog_table(catalog), ["normalized_name"], spread_by)
+    mapped = found.join(alias_table(aliases), "normalized_name", "left").join(catalog_table(catalog), "normalized_name", "left")
     return mapped.withColumn("service_catalog_id", F.coalesce(null_if_empty(F.col("alias_id")), F.col("catalog_id"))).drop(
         "alias_id", "catalog_id")
 

@@ -248,25 +248,38 @@ def lead_pipeline_rows(spark, d):
 @query(f"""SELECT stage, CAST(n AS BIGINT) AS rows FROM (SELECT 'enrich_site' AS stage, COUNT(*) FILTER (site_fetch_status IS NOT NULL) AS n FROM ({_BOOKED}) b
     UNION ALL SELECT 'enrich_booking', COUNT(*) FILTER (has_online_booking IS NOT NULL) FROM ({_BOOKED}) b
     UNION ALL SELECT 'enrich_social', COUNT(*) FILTER (social_status IS NOT NULL) FROM ({_BOOKED}) b
+    UNION ALL SELECT 'enrich_contact', COUNT(*) FILTER (scan = false OR captured) FROM ({_FLOW}) f
     UNION ALL SELECT 'hooks', COUNT(*) FROM ({_BOOKED}) b UNION ALL SELECT 'score', COUNT(*) FROM ({_BOOKED}) b) t""")
 def stage_totals(spark, d):
     before = schemas.conform(load(spark, d, "fresh_biz"), schemas.BUSINESSES)
-    return lead_flow.stage_totals(before, lead_flow.enrich(before, spread_load(spark, d, "captures"), as_of()))
+    captures = spread_load(spark, d, "captures")
+    return lead_flow.stage_totals(before, lead_flow.enrich(before, captures, as_of()), captures)
 
 
 _DONE = f"SELECT *, CASE WHEN scraped IS NOT NULL THEN scraped WHEN asked THEN f.email END AS final_email FROM (SELECT *, {_FLOW_ASKED} AS asked, {_LOOKUP} AS domain_key FROM ({_FLOW}) l2) l3 LEFT JOIN (SELECT domain, email AS email, status FROM <<finder>> f0) f ON asked AND f.domain = domain_key"
 
 
-@query(f"""SELECT place_id, 'enrich_site' AS stage, CASE site_fetch_status WHEN 'timeout' THEN 'warn' WHEN 'error' THEN 'error' ELSE 'info' END AS level,
+_OWN_PAGE = "(COALESCE(website_url, '') <> '' AND COALESCE(site_platform, '') NOT IN ('none', 'facebook', 'linktree'))"
+
+
+@query(f"""SELECT place_id, 'enrich_site' AS stage, CASE WHEN site_fetch_status = 'timeout' OR failure = 'tls' THEN 'warn' WHEN site_fetch_status = 'error' THEN 'error' ELSE 'info' END AS level,
       'Site ' || site_fetch_status || ' for ' || name || ', platform ' || site_platform AS message FROM ({_DONE}) a WHERE site_fetch_status IS NOT NULL
+    UNION ALL SELECT place_id, 'enrich_booking', CASE WHEN {_OWN_PAGE} AND failure IS NOT NULL THEN 'error' ELSE 'info' END,
+      CASE WHEN NOT {_OWN_PAGE} THEN 'Booking check skipped for ' || name WHEN failure IS NOT NULL THEN 'Booking check failed for ' || name
+      ELSE 'Booking check for ' || name || ': ' || CAST(has_online_booking AS STRING) || ', platform ' || COALESCE(booking_platform, 'none') END FROM ({_DONE}) e WHERE has_online_booking IS NOT NULL
+    UNION ALL SELECT place_id, 'enrich_social', CASE WHEN failure IS NOT NULL THEN 'error' ELSE 'info' END,
+      CASE WHEN failure IS NOT NULL THEN 'Social check failed for ' || name
+      ELSE 'Social check for ' || name || ': ' || COALESCE(instagram_url, 'none') || ', ' || COALESCE(facebook_url, 'none') END
+      FROM ({_DONE}) g WHERE social_status IS NOT NULL AND COALESCE(website_url, '') <> '' AND NOT REGEXP_MATCHES(LOWER(website_url), 'facebook[.]com|linktr[.]ee')
     UNION ALL SELECT place_id, 'enrich_contact', 'info', 'Contact form found: ' || form FROM ({_DONE}) b WHERE form IS NOT NULL
     UNION ALL SELECT place_id, 'enrich_contact', 'info', 'Found email for ' || name || ': ' || final_email FROM ({_DONE}) c WHERE final_email IS NOT NULL
     UNION ALL SELECT place_id, 'hooks', 'info', 'Generated hook: ' || line FROM ({_DONE}) d
     UNION ALL SELECT NULL, stage, 'info', 'Completed stage for ' || CAST(rows AS STRING) || ' businesses' FROM ({CHECKS['stage_totals']}) t""")
 def stage_events(spark, d):
     before = schemas.conform(load(spark, d, "fresh_biz"), schemas.BUSINESSES)
-    after = lead_flow.enrich(before, spread_load(spark, d, "captures"), as_of(), load(spark, d, "finder"))
-    return lead_flow.run_events(before, after, as_of()).select("place_id", "stage", "level", "message")
+    captures = spread_load(spark, d, "captures")
+    after = lead_flow.enrich(before, captures, as_of(), load(spark, d, "finder"))
+    return lead_flow.run_events(before, after, captures, as_of()).select("place_id", "stage", "level", "message")
 
 
 # ---------------------------------------------------------------- links, URLs, text
@@ -767,7 +780,7 @@ def fingerprints(spark, d):
 
 @query(f"""SELECT competitor_id, page_ord, service_catalog_id, display_name FROM ({_VALIDATED}) v""")
 def catalog_map(spark, d):
-    found = publish.with_catalog(_candidates(spark, d), load(spark, d, "aliases"), load(spark, d, "catalog"), price_flow.ROW_KEYS)
+    found = publish.with_catalog(_candidates(spark, d), load(spark, d, "aliases"), load(spark, d, "catalog"))
     return found.select("competitor_id", "page_ord", "service_catalog_id", "display_name")
 
 

@@ -117,29 +117,51 @@ def enrich(businesses: DataFrame, captures: DataFrame, as_of: Column, finder: Da
     return schemas.conform(rows, schemas.BUSINESSES)
 
 
-def stage_totals(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Rows each stage worked on: (stage, rows)."""
+def stage_totals(before: DataFrame, after: DataFrame, captures: DataFrame) -> DataFrame:
+    """Rows each stage worked on: (stage, rows). `captures` tells which rows the contact stage, which leaves no time stamp, could run on."""
     marks = {"enrich_site": "site_fetched_at", "enrich_booking": "booking_checked_at",
              "enrich_social": "social_checked_at", "hooks": "hook_generated_at"}
     old = before.select("place_id", *[F.col(c).alias(f"_{c}") for c in marks.values()])
     done = after.join(old, "place_id", "left").agg(*[
         F.count_if(F.col(c).isNotNull() & F.col(f"_{c}").isNull()).alias(s) for s, c in marks.items()],
         F.count(F.lit(1)).alias("score"))
-    return done.unpivot([], [*marks, "score"], "stage", "rows")
+    seen = captures.select("place_id", F.lit(True).alias("_captured"))
+    contacted = before.join(seen, "place_id", "left").agg(
+        F.count_if(site.ready("enrich_contact", F.coalesce("_captured", F.lit(False)))).alias("rows"))
+    return done.unpivot([], [*marks, "score"], "stage", "rows").unionByName(contacted.select(F.lit("enrich_contact").alias("stage"), "rows"))
 
 
-def run_events(before: DataFrame, after: DataFrame, as_of: Column) -> DataFrame:
+def run_events(before: DataFrame, after: DataFrame, captures: DataFrame, as_of: Column) -> DataFrame:
     """Log entries of one enrichment run: per-row outcomes and one completion line per stage.
 
     Pass stored snapshots: `after` is read once for the rows and once for the totals.
     """
     old = before.select("place_id", F.col("site_fetched_at").alias("_site"), F.col("hook_generated_at").alias("_hook"),
+                        F.col("booking_checked_at").alias("_booking"), F.col("social_checked_at").alias("_social"),
                         F.col("notes").alias("_notes"), F.col("email").alias("_email"))
-    rows = after.join(old, "place_id", "left")
+    fetches = captures.select("place_id", site.fetch_failed().alias("_failed"))
+    rows = after.join(old, "place_id", "left").join(fetches, "place_id", "left")
+    name, failed = F.col("name"), F.coalesce("_failed", F.lit(False))
     status = F.col("site_fetch_status")
     fetched = F.when(F.col("_site").isNull() & F.col("site_fetched_at").isNotNull(),
                      F.concat(F.lit("Site "), status, F.lit(" for "), F.col("name"), F.lit(", platform "), F.col("site_platform")))
-    level = F.when(status == "timeout", "warn").when(status == "error", "error").otherwise("info")
+    # A fetch that failed over its certificate is an error state without encryption; like a timeout it only warns.
+    no_tls = (status == "error") & F.coalesce(F.col("has_ssl") == 0, F.lit(False))
+    level = F.when((status == "timeout") | no_tls, "warn").when(status == "error", "error").otherwise("info")
+
+    def checked(since: str, now: str, message: Column) -> Column:
+        return F.when(F.col(since).isNull() & F.col(now).isNotNull(), message)
+
+    def shown(value: str) -> Column:
+        return F.coalesce(F.col(value).cast("string"), F.lit("none"))
+
+    booking_error = site.booking_gate() & failed
+    booking = checked("_booking", "booking_checked_at", F.when(~site.booking_gate(), F.concat(F.lit("Booking check skipped for "), name)).when(
+        failed, F.concat(F.lit("Booking check failed for "), name)).otherwise(F.concat(
+            F.lit("Booking check for "), name, F.lit(": "), shown("has_online_booking"), F.lit(", platform "), shown("booking_platform"))))
+    own_site = (site.url_lower() != "") & ~site.social_hub()
+    social = checked("_social", "social_checked_at", F.when(own_site, F.when(failed, F.concat(F.lit("Social check failed for "), name)).otherwise(
+        F.concat(F.lit("Social check for "), name, F.lit(": "), shown("instagram_url"), F.lit(", "), shown("facebook_url")))))
     form = F.when(F.col("notes").isNotNull() & ~F.col("notes").eqNullSafe(F.col("_notes")), F.col("notes"))
     address = F.when(F.col("email").isNotNull() & ~F.col("email").eqNullSafe(F.col("_email")),
                      F.concat(F.lit("Found email for "), F.col("name"), F.lit(": "), F.col("email")))
@@ -148,13 +170,15 @@ def run_events(before: DataFrame, after: DataFrame, as_of: Column) -> DataFrame:
     # One pass over the joined rows: every row carries its own short list of entries.
     entries = F.array(
         F.struct(F.lit("enrich_site").alias("stage"), level.alias("level"), fetched.alias("message")),
+        F.struct(F.lit("enrich_booking").alias("stage"), F.when(booking_error, "error").otherwise("info").alias("level"), booking.alias("message")),
+        F.struct(F.lit("enrich_social").alias("stage"), F.when(failed, "error").otherwise("info").alias("level"), social.alias("message")),
         F.struct(F.lit("enrich_contact").alias("stage"), F.lit("info").alias("level"), form.alias("message")),
         F.struct(F.lit("enrich_contact").alias("stage"), F.lit("info").alias("level"), address.alias("message")),
         F.struct(F.lit("hooks").alias("stage"), F.lit("info").alias("level"), hook.alias("message")),
     )
     per_row = rows.select("place_id", F.explode(F.filter(entries, lambda e: e.message.isNotNull())).alias("entry")).select(
         "place_id", "entry.*", as_of.cast("timestamp").alias("created_at"))
-    totals = stage_totals(before, after).select(
+    totals = stage_totals(before, after, captures).select(
         F.lit(None).cast("string").alias("place_id"), "stage", F.lit("info").alias("level"),
         F.concat(F.lit("Completed stage for "), F.col("rows").cast("string"), F.lit(" businesses")).alias("message"),
         as_of.cast("timestamp").alias("created_at"))

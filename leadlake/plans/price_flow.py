@@ -11,15 +11,12 @@ from leadlake import schemas
 from leadlake.operators import history, publish, runs
 from leadlake.operators.markets import crawl_freshness, market_status, merge_market_status
 from leadlake.operators.offers import candidates, dedupe_candidates, page_items
-from leadlake.operators.ordered import lookup
 from leadlake.operators.runs import PAGE_KEYS
 from leadlake.operators.signals import instagram_handle, page_signals
 from leadlake.session import cut_lineage
 from leadlake.sources import places
 from leadlake.sources.captures import capture_outcome, with_page_parts
 
-ROW_KEYS = [*PAGE_KEYS, "cand_ord"]
-
 
 @dataclass(frozen=True)
 class PriceTables:
@@ -66,7 +63,7 @@ def page_candidates(pages: DataFrame, competitors: DataFrame, parity: bool = Fal
     kept = [*PAGE_KEYS, "captured_at", "content_sha256"]
     # The brand check is per page and wants the page text on shared booking hosts only; elsewhere no text is carried.
     slim = pages.withColumn("_page_text", F.when(publish.on_booking_host(F.col("final_url")), title_text))
-    named = lookup(page_items(slim, [*kept, "_page_text"]), facts, ["competitor_id"], spread_by=PAGE_KEYS)
+    named = page_items(slim, [*kept, "_page_text"]).join(facts, "competitor_id", "left")
     branded = named.withColumn("branded", publish.booking_branded(
         F.col("source_url"), F.col("business_name"), F.col("_page_text"))).drop("_page_text")
     return dedupe_candidates(candidates(branded, [*kept, "market", "branded"], parity), PAGE_KEYS)
@@ -83,7 +80,7 @@ def observations(pages: DataFrame, competitors: DataFrame, aliases: DataFrame, c
 
     With `starts` (see `run_starts`) all pages of a run are observed at its start, so that pages count in their order and not by when each was captured.
     """
-    found = publish.with_catalog(page_candidates(pages, competitors, parity), aliases, catalog, ROW_KEYS)
+    found = publish.with_catalog(page_candidates(pages, competitors, parity), aliases, catalog)
     judged = publish.validate(found).withColumn("evidence_page_id", publish.evidence_page_id(F.col("content_sha256")))
     if starts is None:
         judged = judged.withColumn("observed_at", F.col("captured_at"))

@@ -60,7 +60,11 @@ def test_lead_flow(spark, tmp_path):
     assert all(second[p].site_fetched_at == rows[p].site_fetched_at and second[p].hook_text == rows[p].hook_text for p in rows)
     assert all(second[p].scored_at == datetime(2026, 3, 9) for p in rows)
 
-    log = lead_flow.run_events(found, first, as_of(2))
+    log = lead_flow.run_events(found, first, captures, as_of(2))
+    said = {(r.place_id, r.stage): r.level for r in log.where("place_id IN ('p1', 'p6', 'p7')").collect()}
+    assert (said["p7", "enrich_site"], said["p7", "enrich_booking"], said["p7", "enrich_social"]) == ("warn", "error", "error")
+    assert (said["p1", "enrich_booking"], said["p6", "enrich_social"]) == ("info", "info") and ("p1", "enrich_social") not in said
+    assert log.where("stage = 'enrich_contact' AND place_id IS NULL").first().message == "Completed stage for 7 businesses"
     assert log.where("stage = 'hooks' AND place_id IS NOT NULL").count() == 7
     tables.append_events(log, str(tmp_path / "log"))
     tables.append_events(log.limit(1), str(tmp_path / "log"))

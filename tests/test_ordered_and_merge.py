@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from leadlake import schemas
 from leadlake.constants import MATERIAL_COLUMNS
-from leadlake.operators import history
+from leadlake.operators import history, publish
 from leadlake.operators.merge import COALESCE, FILL, KEEP, OVERWRITE, merge, update_columns
-from leadlake.operators.ordered import hot_keys, keep_first, lookup, with_position, with_previous
+from leadlake.operators.ordered import keep_first, with_position, with_previous
 
 
 def skewed(spark, n=600):
@@ -19,25 +19,25 @@ def skewed(spark, n=600):
     return rows, spark.createDataFrame(rows, "k string, o int, v string")
 
 
-def test_previous_value_is_exact_with_and_without_slices(spark):
+def test_previous_value_is_exact_however_fine_the_slices(spark):
     rows, df = skewed(spark)
     last, expected = {}, {}
     for k, o, v in sorted(rows, key=lambda r: (r[0], r[1])):
         expected[o] = last.get(k, "none")
         last[k] = v
-    for limit in (20, 10_000):
-        got = with_previous(df, ["k"], ["o"], ["v"], F.floor(F.col("o") / 50), hot=hot_keys(df, ["k"], limit)).collect()
+    for width in (1, 50, 10_000):
+        got = with_previous(df, ["k"], ["o"], ["v"], F.floor(F.col("o") / width)).collect()
         assert {r.o: ("none" if r.previous is None else r.previous.v) for r in got} == expected
 
 
-def test_position_is_exact_with_and_without_slices(spark):
+def test_position_is_exact_however_fine_the_slices(spark):
     rows, df = skewed(spark)
     seen, expected = {}, {}
     for k, o, _ in sorted(rows, key=lambda r: (r[0], r[1])):
         expected[o] = seen.get(k, 0)
         seen[k] = expected[o] + 1
-    for limit in (20, 10_000):
-        got = with_position(df, ["k"], ["o"], F.floor(F.col("o") / 50), hot=hot_keys(df, ["k"], limit)).collect()
+    for width in (1, 50, 10_000):
+        got = with_position(df, ["k"], ["o"], F.floor(F.col("o") / width)).collect()
         assert {r.o: r.position for r in got} == expected
 
 
@@ -48,13 +48,14 @@ def test_keep_first_is_cut_before_the_shuffle(spark):
     assert first._jdf.queryExecution().executedPlan().toString().count("WindowGroupLimit") == 2
 
 
-def test_lookup_keeps_every_fact(spark):
+def test_catalog_lookup_keeps_every_fact(spark):
     _, df = skewed(spark)
-    facts = df.withColumn("k", F.when(F.col("o") % 3 > 0, F.col("k")))
-    dimension = spark.createDataFrame([("hot", 1), ("k1", 2)], "k string, d int")
-    got = lookup(facts, dimension, ["k"], ["o"])
-    assert got.count() == 600 and got.columns == ["k", "o", "v", "d"]
-    assert got.where("d = 1").count() == facts.where("k = 'hot'").count()
+    facts = df.select("o", F.when(F.col("o") % 3 > 0, F.col("k")).alias("normalized_name"))
+    aliases = spark.createDataFrame([("hot", "s1"), ("hot", "s0"), ("k1", "")], "raw_name_key string, service_catalog_id string")
+    catalog = spark.createDataFrame([("s2", "K1"), ("s3", "hot")], "id string, name string")
+    got = publish.with_catalog(facts, aliases, catalog)
+    assert got.count() == 600
+    assert {(r.normalized_name, r.service_catalog_id) for r in got.collect() if r.service_catalog_id} == {("hot", "s1"), ("k1", "s2")}
 
 
 def test_merge_rules(spark):
@@ -92,6 +93,12 @@ def observations(n, seed, start=0):
     return rows
 
 
+def frame(spark, rows):
+    kinds = {f.name: f.dataType.simpleString() for f in [*schemas.OFFERINGS, *schemas.OFFERING_CANDIDATES]}
+    kinds |= {"run_id": "string", "page_ord": "int", "cand_ord": "int", "observed_at": "timestamp", "publication_status": "string"}
+    return spark.createDataFrame([tuple(r.values()) for r in rows], ", ".join(f"{name} {kinds[name]}" for name in rows[0]))
+
+
 class Replay:
     """The stores, updated one observation after another."""
 
@@ -122,19 +129,21 @@ class Replay:
             self.log.append((row["competitor_id"], row["offering_key"], *event))
 
 
+def test_change_events_plan(spark):
+    stored, published = schemas.empty(spark, schemas.OFFERINGS), frame(spark, observations(5, seed=1))
+    plan = history.change_events(stored, published)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 4 and "Broadcast" not in plan
+
+
 def test_history_equals_a_replay_over_two_batches(spark):
-    fields = list(observations(1, 0)[0])
-    kinds = {f.name: f.dataType.simpleString() for f in [*schemas.OFFERINGS, *schemas.OFFERING_CANDIDATES]}
-    kinds |= {"run_id": "string", "page_ord": "int", "cand_ord": "int", "observed_at": "timestamp", "publication_status": "string"}
-    ddl = ", ".join(f"{f} {kinds[f]}" for f in fields)
     offerings, candidates, events = (schemas.empty(spark, s) for s in (schemas.OFFERINGS, schemas.OFFERING_CANDIDATES, schemas.PRICE_EVENTS))
     replay = Replay()
-    for start, hot_rows in ((0, 30), (240, 10_000)):
+    for start, unit in ((0, "MINUTE"), (240, "DAY")):
         rows = observations(240, seed=start + 1, start=start)
         replay.run(rows)
-        df = spark.createDataFrame([tuple(r.values()) for r in rows], ddl)
+        df = frame(spark, rows)
         published, pending = df.where("publication_status = 'published'"), df.where("publication_status = 'pending'")
-        log = history.change_events(offerings, published, hot_rows=hot_rows)
+        log = history.change_events(offerings, published, F.date_trunc(unit, F.col("observed_at")))
         events = schemas.conform(history.merge_events(events, log), schemas.PRICE_EVENTS)
         new_log = log.collect()
         offerings = spark.createDataFrame(schemas.conform(history.merge_offerings(offerings, published), schemas.OFFERINGS).collect(), schemas.OFFERINGS)
