@@ -2,41 +2,44 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from leadlake.llm.common import held_out, text_of
 
 TOP = 300
 UNKNOWN = "und"
-# A text whose best distance is this close to the largest possible shares nothing with any profile.
-MAX_REJECT_DISTANCE = 0.97
+# A text further from its language than OWN_SHARE of that language's labelled rows, by HEADROOM of the way to the largest distance, is not recognised.
+# Where no labelled row can be measured, MAX_REJECT_DISTANCE holds.
+OWN_SHARE, HEADROOM, MAX_REJECT_DISTANCE = 0.95, 0.4, 0.97
 SHARPNESS = 25.0
 
-# Letters are 1 to 63 (a to z first, others by a hash of their code point), 0 is a word's edge. One number per 1-, 2- and 3-gram.
-_SYMBOLS = 64
-_SPACE = _SYMBOLS**3 + _SYMBOLS**2 + _SYMBOLS
-_FLUSH_LANGS = 32
+# A 1-, 2- or 3-gram is one number of three 21-bit code points: (a, b, c), (a, edge, b) or (none, edge, a). A word's edge is 0; a 3-gram's middle is a letter.
+_BITS, _NONE = 21, 0x1FFFFF
+_LETTERS_END = 0x20000
+# Different n-grams that a task counts before it hands them on.
+_FLUSH_GRAMS = 1 << 20
 
 
 def _letter_table() -> np.ndarray:
-    table = np.zeros(0x110000, np.uint8)
-    for c in range(0x20000):
-        if chr(c).isalpha():
-            table[c] = c - 96 if 97 <= c <= 122 else 27 + c * 2654435761 % 4294967296 % 37
-    return table
+    """Each code point that is a letter, 0 for all others."""
+    points = np.arange(0x110000, dtype=np.uint32)
+    letters = np.char.isalpha(points.view("U1"))
+    letters[_LETTERS_END:] = False
+    return np.where(letters, points, 0).astype(np.int64)
 
 
 def _grams(text: str, table: np.ndarray) -> np.ndarray:
     """Codes of all 1-, 2- and 3-grams of the lower-cased text; those that hold only an edge are left out."""
     points = np.frombuffer((" " + text.lower() + " ").encode("utf-32-le", "surrogatepass"), np.uint32)
-    s = table[points].astype(np.int32)
-    pair, triple = s[:-1] * _SYMBOLS + s[1:], (s[:-2] * _SYMBOLS + s[1:-1]) * _SYMBOLS + s[2:]
-    return np.concatenate((triple[s[1:-1] > 0], _SYMBOLS**3 + pair[pair > 0], _SYMBOLS**3 + _SYMBOLS**2 + s[s > 0]))
+    s = table[points]
+    pair, triple = s[:-1] << 2 * _BITS | s[1:], s[:-2] << 2 * _BITS | s[1:-1] << _BITS | s[2:]
+    return np.concatenate((triple[s[1:-1] > 0], pair[pair > 0], _NONE << 2 * _BITS | s[s > 0]))
 
 
 def _ranked(codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -50,35 +53,70 @@ def _ranked(codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
 def learn_profiles(docs: DataFrame) -> dict[str, list[int]]:
     """TOP n-gram codes of each language, commonest first, from all rows with a language that are not held out.
 
-    Counts add up inside a task and then by (language, n-gram), so no language's rows meet in one task. TOP codes a language reach the driver.
+    Counts add up inside a task and then by (language, n-gram), so no language's rows meet in one task. The first TOP codes a language reach the driver.
     """
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table, sums = _letter_table(), {}
-
-        def flush() -> Iterator[pd.DataFrame]:
-            for lang, total in sums.items():
-                codes = np.flatnonzero(total)
-                yield pd.DataFrame({"lang": lang, "code": codes, "n": total[codes]})
-            sums.clear()
-
+        table, sums, size = _letter_table(), {}, 0
         for batch in batches:
             for lang, texts in batch.groupby("lang")["text"]:
-                if lang not in sums:
-                    if len(sums) >= _FLUSH_LANGS:
-                        yield from flush()
-                    sums[lang] = np.zeros(_SPACE, np.int64)
                 for text in texts:
-                    codes = _grams(text, table)
-                    if len(codes) > 50_000:
-                        sums[lang] += np.bincount(codes, minlength=_SPACE)
-                    else:
-                        np.add.at(sums[lang], codes, 1)
-        yield from flush()
+                    codes, counts = np.unique(_grams(text, table), return_counts=True)
+                    sums.setdefault(lang, []).append((codes, counts))
+                    size += len(codes)
+                    if size > _FLUSH_GRAMS:
+                        sums = {k: [_summed(v)] for k, v in sums.items()}
+                        size = sum(len(v[0][0]) for v in sums.values())
+                        if size > _FLUSH_GRAMS // 2:
+                            yield from _frames(sums)
+                            sums, size = {}, 0
+        yield from _frames({k: [_summed(v)] for k, v in sums.items()})
+
+    rows = _training(docs).select(F.col("lang").cast("string"), text_of(docs).alias("text"))
+    totals = rows.mapInPandas(count, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "code"))
+    profiles: dict[str, list[int]] = {}
+    for r in totals.withColumn("place", place).where(F.col("place") <= TOP).orderBy("lang", "place").collect():
+        profiles.setdefault(r["lang"], []).append(r["code"])
+    return profiles
+
+
+def _training(docs: DataFrame) -> DataFrame:
+    return docs.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
+
 
-    rows = docs.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))).select(F.col("lang").cast("string"), text_of(docs).alias("text"))
-    totals = rows.mapInPandas(count, "lang string, code int, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
-    ranked = totals.groupBy("lang").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "code"))), 1, TOP)["code"].alias("codes"))
-    return {r["lang"]: list(r["codes"]) for r in ranked.orderBy("lang").collect()}
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of equal codes added up."""
+    codes, back = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
+    sums = np.zeros(len(codes), np.int64)
+    np.add.at(sums, back, np.concatenate([n for _, n in parts]))
+    return codes, sums
+
+
+def _frames(sums: dict[str, list[tuple[np.ndarray, np.ndarray]]]) -> Iterator[pd.DataFrame]:
+    for lang, [(codes, counts)] in sums.items():
+        yield pd.DataFrame({"lang": lang, "code": codes, "n": counts})
+
+
+def learn_limits(docs: DataFrame) -> dict[str, float]:
+    """The largest `lang_distance` of a recognised text, by language, from all rows with a language that are not held out.
+
+    The rows are split in halves by a hash of the id and each half is measured against the profiles of the other, since a profile is nearer to the rows
+    it was learned from. Rows that are nearer to another language are not counted. Counts by thousandths of the distance reach the driver.
+    """
+    half = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(2))
+    counts: dict[str, Counter] = {}
+    for side in (0, 1):
+        own, known = _training(docs).where(half == side), learn_profiles(docs.where(half != side))
+        measured = predict(own.select(F.col("lang").cast("string"), "text"), known).where("lang = lang_pred")
+        for r in measured.groupBy("lang", F.ceil(F.col("lang_distance") * 1000).alias("step")).count().collect():
+            counts.setdefault(r["lang"], Counter())[r["step"]] += r["count"]
+    limits = {}
+    for lang, steps in counts.items():
+        order = sorted(steps)
+        inside = np.cumsum([steps[x] for x in order])
+        own_distance = order[int(np.searchsorted(inside, OWN_SHARE * inside[-1]))] / 1000
+        limits[lang] = own_distance + HEADROOM * (1 - own_distance)
+    return limits
 
 
 def predict(docs: DataFrame, profiles: dict[str, list[int]]) -> DataFrame:
@@ -92,19 +130,22 @@ def predict(docs: DataFrame, profiles: dict[str, list[int]]) -> DataFrame:
 
     def judged(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         table = _letter_table()
-        places = np.full((len(languages), _SPACE), TOP, np.int32)
+        known = np.unique(np.concatenate([np.array(profiles[lang], np.int64) for lang in languages] or [np.empty(0, np.int64)]))
+        places = np.full((len(languages), len(known) + 1), TOP, np.int32)  # the last column is that of codes in no profile
         for row, lang in enumerate(languages):
-            places[row, profiles[lang]] = np.arange(len(profiles[lang]))
+            places[row, np.searchsorted(known, profiles[lang])] = np.arange(len(profiles[lang]))
         for texts in batches:
             out = []
             for text in texts:
-                codes = _grams(text, table) if languages else np.empty(0, np.int32)
+                codes = _grams(text, table) if languages else np.empty(0, np.int64)
                 if not len(codes):
                     out.append((UNKNOWN, 0.0, 1.0))
                     continue
                 top = _ranked(*np.unique(codes, return_counts=True))
-                far = np.abs(places[:, top] - np.arange(len(top)))
-                far[places[:, top] == TOP] = TOP
+                at = np.minimum(np.searchsorted(known, top), len(known) - 1)
+                place = places[:, np.where(known[at] == top, at, len(known))]
+                far = np.abs(place - np.arange(len(top)))
+                far[place == TOP] = TOP
                 share = far.sum(axis=1) / (TOP * len(top))
                 best = int(share.argmin())
                 out.append((languages[best], float(1 / np.exp(-SHARPNESS * (share - share[best])).sum()), float(share[best])))
@@ -126,5 +167,7 @@ def accepted(docs: DataFrame) -> DataFrame:
     names = docs.columns
     plain = docs.withColumnsRenamed({c: f"in_{i}" for i, c in enumerate(names)}).withColumn("text", F.col(f"in_{names.index('text')}"))
     judged = predict(plain, learn_profiles(docs))
-    kept = judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("lang_distance") <= MAX_REJECT_DISTANCE))
+    limits = [F.lit(x) for pair in sorted(learn_limits(docs).items()) for x in pair]
+    limit = F.coalesce(F.create_map(*limits)[F.col("lang_pred")], F.lit(MAX_REJECT_DISTANCE)) if limits else F.lit(MAX_REJECT_DISTANCE)
+    kept = judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("lang_distance") <= limit))
     return kept.select(*(F.col(f"in_{i}").alias(c) for i, c in enumerate(names)))

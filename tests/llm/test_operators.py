@@ -230,6 +230,19 @@ def test_language_profiles(spark):
     assert langid.predict(docs, {}).where("lang_pred <> 'und'").isEmpty()
 
 
+def test_unlearned_languages_and_junk_go(spark):
+    chosen = random.Random(9)
+    common = {"en": "the of and to in is that it was for on are with as his they be at one have this from had by word but not what all were".split(),
+              "de": "der die und in den von zu das mit sich des auf ist im dem nicht ein eine als auch es an werden aus er hat dass sie nach wird".split()}
+    rows = [(i, " ".join(chosen.choices(common[lang], range(30, 0, -1), k=chosen.randint(20, 200))), lang) for i in range(200) for lang in (("en", "de")[i % 2],)]
+    strange = ["Все люди рождаются свободными и равными в своем достоинстве и правах", "人人生而自由,在尊严和权利上一律平等", "すべての人間は生まれながらにして自由であり",
+               "يولد جميع الناس أحرارا متساوين في الكرامة والحقوق", "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι", "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności",
+               " ".join("".join(chosen.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(100)), " ".join(f"{chosen.getrandbits(128):032x}" for _ in range(40))]
+    rows += [(1000 + i, text, (None, "en")[i % 2]) for i, text in enumerate(strange)]
+    kept = {r["doc_id"] for r in langid.accepted(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert kept == set(range(200))
+
+
 def test_masked_text(spark):
     docs = spark.createDataFrame([(1, "to a@b.c and 10.0.0.1, 10.0.0.2", 5, "x"), (2, None, 0, "y"), (3, "clean", 5, None)], "doc_id long, text string, n_chars long, pii_spans string")
     got = {r["doc_id"]: r for r in pii.mask_pii(docs).collect()}
