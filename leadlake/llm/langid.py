@@ -21,7 +21,6 @@ SHARPNESS = 25.0
 
 # A 1-, 2- or 3-gram is one number of three 21-bit code points: (a, b, c), (a, edge, b) or (none, edge, a). A word's edge is 0; a 3-gram's middle is a letter.
 _BITS, _NONE = 21, 0x1FFFFF
-_LETTERS_END = 0x20000
 # Different n-grams that a task counts before it hands them on.
 _FLUSH_GRAMS = 1 << 20
 
@@ -29,9 +28,7 @@ _FLUSH_GRAMS = 1 << 20
 def _letter_table() -> np.ndarray:
     """Each code point that is a letter, 0 for all others."""
     points = np.arange(0x110000, dtype=np.uint32)
-    letters = np.char.isalpha(points.view("U1"))
-    letters[_LETTERS_END:] = False
-    return np.where(letters, points, 0).astype(np.int64)
+    return np.where(np.char.isalpha(points.view("U1")), points, 0).astype(np.int64)
 
 
 def _grams(text: str, table: np.ndarray) -> np.ndarray:

@@ -230,6 +230,17 @@ def test_language_profiles(spark):
     assert langid.predict(docs, {}).where("lang_pred <> 'und'").isEmpty()
 
 
+def test_letters_of_every_plane_and_foreign_scripts(spark):
+    assert (langid._letter_table() > 0).tolist() == [chr(c).isalpha() for c in range(0x110000)]
+    alphabets = {"ru": "абвгде", "el": "αβγδεζ", "xb": "".join(chr(0x20000 + i) for i in range(6)), "xg": "".join(chr(0x30000 + i) for i in range(6))}
+    rows = []
+    for i in range(80):
+        lang, chosen = list(alphabets)[i % 4], random.Random(i)
+        rows.append((i, " ".join("".join(chosen.choices(alphabets[lang], k=4)) for _ in range(30)), lang))
+    got = {r["doc_id"]: r for r in langid.digest(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert all(got[i]["lang_pred"] == lang and got[i]["lang_distance"] < 0.9 for i, _, lang in rows)
+
+
 def test_unlearned_languages_and_junk_go(spark):
     chosen = random.Random(9)
     common = {"en": "the of and to in is that it was for on are with as his they be at one have this from had by word but not what all were".split(),
