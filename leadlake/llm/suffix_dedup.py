@@ -24,9 +24,11 @@ ANCHOR_BYTES = 32
 BLOCK_STARTS = 185
 CORE_BYTES = SPAN_BYTES - BLOCK_STARTS + 1
 _REACH = SPAN_BYTES - ANCHOR_BYTES + 1
-# Bytes hashed at once, bytes of one suffix array, bytes of a shard, and the most different blocks of one key that are sorted: keys beyond it
+# Bytes hashed at once (or one text, if longer), bytes of one suffix array, bytes of a shard, and the most different blocks of one key that are sorted: keys beyond it
 # are settled string by string, in Spark.
 CHUNK_BYTES = 1 << 21
+# Anchors are chosen in pieces of so many starts, since a place within a piece shares a 64-bit number with its hash and has _PLACE_BITS of it.
+PIECE_STARTS, _PLACE_BITS = 1 << 22, 26
 PART_BYTES = 1 << 20
 SHARD_BYTES = 4 << 20
 WIDE_KEY_BLOCKS = 4_096
@@ -69,13 +71,15 @@ def mixed(x: np.ndarray) -> np.ndarray:
 def _anchors(short: np.ndarray) -> np.ndarray:
     """For each start the leftmost position of the smallest of the _REACH short hashes from there on."""
     n = len(short)
+    if n - _REACH + 1 > PIECE_STARTS:
+        return np.concatenate([_anchors(short[a : a + PIECE_STARTS + _REACH - 1]) + a for a in range(0, n - _REACH + 1, PIECE_STARTS)])
     rows = -(-n // _REACH)
     low = np.full(rows * _REACH, np.uint64(0xFFFFFFFFFFFFFFFF))
-    low[:n] = (short & ~np.uint64((1 << 26) - 1)) | np.arange(n, dtype=np.uint64)
+    low[:n] = (short & ~np.uint64((1 << _PLACE_BITS) - 1)) | np.arange(n, dtype=np.uint64)
     table = low.reshape(rows, _REACH)
     ahead = np.minimum.accumulate(table, axis=1).ravel()
     behind = np.minimum.accumulate(table[:, ::-1], axis=1)[:, ::-1].ravel()
-    return (np.minimum(behind[: n - _REACH + 1], ahead[_REACH - 1 : n]) & np.uint64((1 << 26) - 1)).astype(np.int64)
+    return (np.minimum(behind[: n - _REACH + 1], ahead[_REACH - 1 : n]) & np.uint64((1 << _PLACE_BITS) - 1)).astype(np.int64)
 
 
 def _blocks_of(data: np.ndarray, ends: np.ndarray, first: _Hashes, second: _Hashes) -> tuple[np.ndarray, ...]:

@@ -241,6 +241,16 @@ def test_letters_of_every_plane_and_foreign_scripts(spark):
     assert all(got[i]["lang_pred"] == lang and got[i]["lang_distance"] < 0.9 for i, _, lang in rows)
 
 
+def test_anchors_far_into_a_text():
+    near = np.random.default_rng(4).integers(0, 1 << 64, 3000, np.uint64)
+    far = np.full((1 << 26) + 5000, np.uint64((1 << 64) - 1))
+    for at in ((1 << 22) - 1500, (1 << 26) - 1500, len(far) - 3000):
+        far[at : at + 3000] = near
+    anchors, alone = suffix_dedup._anchors(far), suffix_dedup._anchors(near)
+    for at in ((1 << 22) - 1500, (1 << 26) - 1500, len(far) - 3000):
+        assert (anchors[at : at + len(alone)] == alone + at).all()
+
+
 def test_unlearned_languages_and_junk_go(spark):
     chosen = random.Random(9)
     common = {"en": "the of and to in is that it was for on are with as his they be at one have this from had by word but not what all were".split(),
