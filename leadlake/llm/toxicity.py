@@ -22,6 +22,8 @@ LEXICON = ("idiot", "moron", "stupid", "loser", "pathetic", "scum", "worthless",
 # Words and beginnings of words become voters if seen in this many toxic sample rows and if toxic rows are this share of those that hold them.
 MIN_ROWS, MIN_SHARE, MOST_VOTERS = 6, 0.95, 400
 PREFIX_SIZES = (4, 5, 6, 7, 8)
+# Pattern voters: shouting, address. They are the last voters.
+PATTERNS = 2
 EM_ROUNDS, SMOOTHING = 30, 1.0
 RIDGE, NEWTON_ROUNDS = 1.0, 25
 
@@ -78,16 +80,18 @@ def find_voters(texts: list[str], toxic: np.ndarray) -> Voters:
     return Voters(list(dict.fromkeys([*LEXICON, *marks])))
 
 
-def believed(votes: np.ndarray, prior: float) -> np.ndarray:
+def believed(votes: np.ndarray, prior: float, patterns: int = 0) -> np.ndarray:
     """Posterior of toxicity by a generative model of the votes, fitted by expectation and maximisation without labels.
 
-    A voter that is silent abstains; one more voter speaks for harmless when all are silent. Each has a chance to speak on toxic and on other rows.
+    A voter that is silent abstains; one more voter speaks for harmless when all terms are silent. Each has a chance to speak on toxic and on other rows.
+    The last `patterns` voters are no terms: what they say is weighed against the terms' silence, and rows where they alone speak begin at the prior.
     Voters that still agree once the class is known are copies of one another in part; in a row a voter's evidence is divided by one plus its
     correlations, within the classes, with the others that speak there, so a family of them counts about once.
     """
     heard = votes.any(axis=0)
-    v = np.column_stack((votes[:, heard], ~votes.any(axis=1))).astype(float)
-    belief = np.where(v[:, -1] > 0, prior / 10, 0.9)
+    silent = ~votes[:, : votes.shape[1] - patterns].any(axis=1)
+    v = np.column_stack((votes[:, heard], silent)).astype(float)
+    belief = np.where(~silent, 0.9, np.where(votes.any(axis=1), prior, prior / 10))
     for _ in range(EM_ROUNDS):
         on_bad = (belief @ v + SMOOTHING * 0.1) / (belief.sum() + SMOOTHING)
         on_good = ((1 - belief) @ v + SMOOTHING * 0.01) / ((1 - belief).sum() + SMOOTHING)
@@ -134,7 +138,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
         return Model(voters, np.zeros(9))
     fired, x = map(np.array, zip(*map(voters.features, rows["text"])))
     prior = float(np.clip(toxic.mean(), 0.01, 0.99))
-    return Model(voters, fit_linear(x, believed(fired[:, :-2], prior)))
+    return Model(voters, fit_linear(x, believed(fired, prior, PATTERNS)))
 
 
 def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:

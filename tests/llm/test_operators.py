@@ -301,6 +301,22 @@ def test_a_family_of_voters_counts_about_once():
     assert belief[:60].min() > 0.5 > belief[60:].max()
 
 
+def test_pattern_voters_take_part_in_the_label_model(spark, monkeypatch):
+    seen, model = [], toxicity.believed
+    monkeypatch.setattr(toxicity, "believed", lambda votes, *rest: seen.append(votes) or model(votes, *rest))
+    docs, marks, _ = labelled(spark)
+    docs = docs.withColumn("text", F.when(F.col("doc_id") % 4 == 0, F.concat("text", F.lit(" STOP THAT NOISE RIGHT AWAY!!"))).otherwise(F.col("text")))
+    voters = toxicity.learn(docs, marks).voters
+    assert seen[0].shape[1] == len(voters.terms) + toxicity.PATTERNS and seen[0][:, -2].any()
+
+    votes = np.zeros((400, 4), np.int8)
+    votes[:80, 0] = votes[:80, 2] = 1  # a term and a pattern that go together
+    votes[80:90, 2] = 1  # the pattern alone
+    votes[::3, 3] = 1  # a pattern that says nothing
+    belief = model(votes, 0.25, 2)
+    assert belief[:80].min() > 0.5 > belief[90:].max() and belief[80:90].min() > belief[90:].max()
+
+
 def test_trigram_queries():
     assert secrets.trigram_queries(r"api_?key") == (frozenset({"api", "pik", "ike", "key"}), frozenset({"api", "pi_", "i_k", "_ke", "key"}))
     assert secrets.trigram_queries("[0-9a-f]+") == () and secrets.trigram_queries("ab|token") == ()
