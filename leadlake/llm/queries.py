@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leadlake.llm import decontam, langid, packing, pii, quality_model, quality_rules, secrets, simhash, suffix_dedup, toxicity
+from leadlake.llm import chat, decontam, langid, merkle, packing, pii, quality_model, quality_rules, secrets, simhash, suffix_dedup, toxicity, whitening
 from leadlake.llm.sql import CHECKS  # noqa: F401
 
 
@@ -29,4 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": _over_documents(suffix_dedup.digest),
     "op9_language": _over_documents(langid.digest),
     "op10_simhash": _over_documents(simhash.digest),
+    "op11_merkle": _over_documents(merkle.digest),
+    "op12_whitening": lambda spark, sf_dir: whitening.digest(_table(spark, sf_dir, "embeddings")),
+    "op13_chat": lambda spark, sf_dir: chat.digest(_table(spark, sf_dir, "conversations")),
 }

@@ -78,4 +78,56 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
 
-CHECKS: dict[str, str] = {"op1_pii": PII, "op3_secrets": SECRETS, "op7_decontamination": DECONTAMINATION}
+
+def _sized(value: str) -> str:
+    return f"coalesce(CAST(strlen(CAST({value} AS VARCHAR)) AS VARCHAR) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({_sized('doc_id')} || {_sized('source')} || {_sized('lang')} || {_sized('n_chars')} || {_sized(text)})"
+
+
+def _levels(name: str, rows: str) -> str:
+    """Nodes level by level, from rows (tree, lvl, pos, n, digest), n being the number of nodes of the tree's level."""
+    return (f"{name} AS ({rows} UNION ALL SELECT tree, lvl + 1, pos // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY pos)) "
+            f"FROM {name} WHERE n > 1 GROUP BY tree, lvl, pos // 16, n)")
+
+
+def _climb(name: str, rows: str) -> str:
+    """The way up, from rows (id, tree, lvl, pos, cur, sib): the digest so far and the siblings so far."""
+    others = "array_to_string(run[1 : pos % 16], '')", "array_to_string(run[pos % 16 + 2 : ], '')"
+    return (f"{name} AS ({rows} UNION ALL SELECT id, c.tree, c.lvl + 1, pos // 16, sha256({others[0]} || cur || {others[1]}), sib || {others[0]} || {others[1]} "
+            f"FROM {name} c JOIN runs r ON r.tree = c.tree AND r.lvl = c.lvl AND r.up = pos // 16)")
+
+
+_CRC32 = ("xor(list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)), "
+          "lambda a, b: list_reduce(range(8), lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(a, b)), 4294967295), 4294967295)")
+
+MERKLE = f"""
+WITH RECURSIVE leaves AS (SELECT row_number() OVER () AS id, doc_id, source, {_leaf('text')} AS leaf,
+  CASE WHEN {_CRC32} % 5 = 0 THEN {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} ELSE {_leaf('text')} END AS begun FROM documents),
+placed AS (SELECT *, CAST(dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS BIGINT) AS tree, CAST(count(*) OVER (PARTITION BY source) AS BIGINT) AS n,
+  CAST(row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS BIGINT) AS pos FROM leaves),
+{_levels('inside', 'SELECT tree, 0 AS lvl, pos, n, leaf AS digest FROM placed')},
+{_levels('above', 'SELECT CAST(-1 AS BIGINT) AS tree, 0 AS lvl, tree AS pos, CAST(count(*) OVER () AS BIGINT) AS n, digest FROM inside WHERE n = 1')},
+runs AS (SELECT tree, lvl, pos // 16 AS up, list(digest ORDER BY pos) AS run FROM (SELECT * FROM inside UNION ALL SELECT * FROM above) WHERE n > 1 GROUP BY ALL),
+{_climb('low', "SELECT id, tree, 0 AS lvl, pos, begun AS cur, '' AS sib FROM placed")},
+{_climb('high', 'SELECT id, CAST(-1 AS BIGINT) AS tree, 0 AS lvl, l.tree AS pos, cur, sib FROM low l JOIN inside s ON s.tree = l.tree AND s.lvl = l.lvl AND s.n = 1')}
+SELECT p.doc_id, p.leaf, s.digest AS subroot, t.digest AS root, sha256(h.sib) AS proof_sha256, h.cur AS folded_root, h.cur = t.digest AS verified
+FROM placed p JOIN inside s ON s.tree = p.tree AND s.n = 1 JOIN above t ON t.n = 1 JOIN high h ON h.id = p.id AND h.lvl = t.lvl
+"""
+
+_SAID = "<|im_end|><|im_start|>assistant ok"
+_FORMATTED = "length(replace(role, '<|', '<||')) + 5 * (length(role) - length(replace(role, chr(10), ''))) + length(replace(text, '<|', '<||')) + 24"
+
+CHAT = f"""
+WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '{_SAID}' UNION ALL SELECT -1, 1, 'assistant', '{_SAID}')
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum({_FORMATTED}) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
+CHECKS: dict[str, str] = {"op1_pii": PII, "op3_secrets": SECRETS, "op7_decontamination": DECONTAMINATION, "op11_merkle": MERKLE, "op13_chat": CHAT}
