@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,6 +15,8 @@ from leadlake.llm.common import checkpointed, shared_folder
 FANOUT = 16
 # The tree over the subroots; the sources' own trees are numbered from 0.
 TOP = -1
+# Runs of leaves that meet one copy of a node on their way up; nodes with more runs below them are stored in several copies.
+RUNS_A_COPY = 4096
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -59,37 +62,51 @@ def positions(rows: DataFrame, group: str, order: list[str], found: Callable[[Da
 
 
 def _sized(starts: DataFrame) -> DataFrame:
-    """The small table of ranges with each source's number in byte order (null first) and its count of rows."""
+    """The small table of ranges with each source's number in byte order (null first), its count of rows, and the number of runs under the node above it."""
     sources = checkpointed(starts.groupBy("source").agg(F.sum("n").alias("size")).withColumn("all", F.lit(0)))
-    numbered = checkpointed(positions(sources, "all", ["source"]).select(F.col("source").alias("_source"), F.col("at").alias("tree"), "size"))
+    numbered = positions(sources, "all", ["source"]).select(F.col("source").alias("_source"), F.col("at").alias("tree"), "size")
+    beside = F.sum(F.ceil(F.col("size") / FANOUT)).over(Window.partitionBy(F.floor(F.col("tree") / FANOUT)))
+    numbered = checkpointed(numbered.withColumn("beside", beside))
     return starts.join(numbered, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
 
 
 @dataclass
 class Manifest:
     """Stored trees. `runs`: the leaves of one parent to a row (`tree`, `at`, `leaves`, where the run's own node lies). `nodes`: the inner nodes
-    (`tree`, `level`, `at`, `digest`, `children` digests, `subroot`, and the parent's `up_tree`, `up_level`, `up_at` with the `slot` there)."""
+    (`tree`, `level`, `at`, `digest`, `children` digests, `subroot`, and the parent's `up_tree`, `up_level`, `up_at` with the `slot` there). A node is
+    stored in as many copies (`copy`) as RUNS_A_COPY asks for; its children know the number (`up_copies`)."""
 
     runs: DataFrame
     nodes: DataFrame
 
 
-def _linked(nodes: DataFrame, level: int, trees: int) -> DataFrame:
-    """Nodes (`tree`, `at`, `n` nodes on their level of the tree) with the key of their parent: in the tree, in the tree above, or none (root)."""
-    inside, below = F.col("n") > 1, (F.col("tree") != TOP) & F.lit(trees > 1)
+def _copies(runs: Column) -> Column:
+    return F.ceil(runs / RUNS_A_COPY)
+
+
+def _linked(nodes: DataFrame, level: int, trees: int, top: bool) -> DataFrame:
+    """Nodes (`tree`, `at`, `n` nodes on their level of the tree) with the key of their parent: in the tree, in the tree above, or none (root).
+
+    `runs` is the number of runs in a source's tree, or below a node of the tree above.
+    """
+    inside, below = F.col("n") > 1, F.lit(trees > 1 and not top)
     step = lambda own, above: F.when(inside, own).when(below, above)
     place = step(F.col("at"), F.col("tree"))
-    return nodes.withColumns({
-        "level": F.lit(level), "subroot": ~inside & (F.col("tree") != TOP), "up_tree": step(F.col("tree"), F.lit(TOP).cast("long")),
-        "up_level": step(F.lit(level + 1), F.lit(1)), "up_at": F.floor(place / FANOUT), "slot": (place % FANOUT).cast("int")})
+    under = F.col("runs") if top else F.least(F.lit(FANOUT ** (level - 1)), "runs")
+    above = F.sum("runs").over(Window.partitionBy(F.floor(F.col("at") / FANOUT))) if top else step(F.least(F.lit(FANOUT**level), "runs"), F.col("beside"))
+    linked = nodes.withColumns({
+        "level": F.lit(level), "subroot": ~inside & F.lit(not top), "up_tree": step(F.col("tree"), F.lit(TOP).cast("long")), "up_level": step(F.lit(level + 1), F.lit(1)),
+        "up_at": F.floor(place / FANOUT), "slot": (place % FANOUT).cast("int"), "up_copies": _copies(above), "copies": _copies(under)})
+    return linked.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1))).drop("copies")
 
 
-def _parents(nodes: DataFrame) -> DataFrame:
+def _parents(nodes: DataFrame, top: bool) -> DataFrame:
     """The level above nodes of levels with several nodes; at most FANOUT children meet in one row."""
     runs = nodes.where("n > 1").groupBy("tree", F.floor(F.col("at") / FANOUT).alias("at")).agg(
-        F.sort_array(F.collect_list(F.struct("at", "digest"))).alias("run"), F.ceil(F.first("n") / FANOUT).alias("n"))
+        F.sort_array(F.collect_list(F.struct("at", "digest"))).alias("run"), F.ceil(F.first("n") / FANOUT).alias("n"), (F.sum if top else F.first)("runs").alias("runs"),
+        F.first("beside").alias("beside"))
     children = F.col("run")["digest"]
-    return runs.select("tree", "at", "n", children.alias("children"), _hash(_joined(children)).alias("digest"))
+    return runs.select("tree", "at", "n", "runs", "beside", children.alias("children"), _hash(_joined(children)).alias("digest"))
 
 
 def build(docs: DataFrame) -> Manifest:
@@ -106,7 +123,7 @@ def build(docs: DataFrame) -> Manifest:
                                     F.when(due(docs["doc_id"]), leaf(lowered(text))).alias("tampered")))
     placed = positions(rows, "source", ["doc_id", "leaf"], _sized)
     member = F.struct("at", "doc_id", "leaf", "tampered")
-    runs = placed.groupBy("tree", F.floor(F.col("at") / FANOUT).alias("at")).agg(F.sort_array(F.collect_list(member)).alias("leaves"), F.first("size").alias("size"))
+    runs = placed.groupBy("tree", F.floor(F.col("at") / FANOUT).alias("at")).agg(F.sort_array(F.collect_list(member)).alias("leaves"), F.first("size").alias("size"), F.first("beside").alias("beside"))
     folder = f"{shared_folder(spark)}/manifest-{uuid.uuid4().hex}"
     runs.write.parquet(f"{folder}/runs")
     runs = spark.read.parquet(f"{folder}/runs")
@@ -114,47 +131,44 @@ def build(docs: DataFrame) -> Manifest:
 
     # A source of one row has no level 1: its leaf is its subroot.
     digests = F.col("leaves")["leaf"]
-    first = runs.select("tree", "at", F.ceil(F.col("size") / FANOUT).alias("n"), F.when(F.col("size") > 1, digests).alias("children"),
+    first = runs.select("tree", "at", F.ceil(F.col("size") / FANOUT).alias("n"), F.ceil(F.col("size") / FANOUT).alias("runs"), "beside", F.when(F.col("size") > 1, digests).alias("children"),
                         F.when(F.col("size") > 1, _hash(_joined(digests))).otherwise(digests[0]).alias("digest"))
     stored = 0
 
-    def store(level: DataFrame, number: int) -> DataFrame:
+    def store(level: DataFrame, number: int, top: bool) -> DataFrame:
         nonlocal stored
         stored += 1
-        _linked(level, number, trees).write.parquet(f"{folder}/nodes/part={stored}")
-        return spark.read.parquet(f"{folder}/nodes/part={stored}")
+        _linked(level, number, trees, top).write.parquet(f"{folder}/nodes/part={stored}")
+        return spark.read.parquet(f"{folder}/nodes/part={stored}").where("copy = 0")
 
-    def climbed(level: DataFrame, number: int, width: int) -> list[DataFrame]:
-        levels = [store(level, number)]
+    def climbed(level: DataFrame, width: int, top: bool) -> list[DataFrame]:
+        levels = [store(level, 1, top)]
         while width > 1:
-            number, width = number + 1, -(-width // FANOUT)
-            levels.append(store(_parents(levels[-1]), number))
+            width = -(-width // FANOUT)
+            levels.append(store(_parents(levels[-1], top), len(levels) + 1, top))
         return levels
 
-    levels = climbed(first, 1, -(-(largest or 0) // FANOUT))
+    levels = climbed(first, -(-(largest or 0) // FANOUT), top=False)
     if trees > 1:
-        subroots = [level.where("subroot").select(F.col("tree").alias("at"), "digest") for level in levels]
-        every = subroots[0]
-        for more in subroots[1:]:
-            every = every.unionByName(more)
-        above = every.select(F.lit(TOP).cast("long").alias("tree"), "at", F.lit(trees).cast("long").alias("n"), "digest")
-        climbed(_parents(above), 1, -(-trees // FANOUT))
+        subroots = [level.where("subroot").select(F.col("tree").alias("at"), "digest", "runs", "beside") for level in levels]
+        above = reduce(DataFrame.unionByName, subroots).select(F.lit(TOP).cast("long").alias("tree"), "at", F.lit(trees).cast("long").alias("n"), "digest", "runs", "beside")
+        climbed(_parents(above, top=True), -(-trees // FANOUT), top=True)
     return Manifest(runs, spark.read.parquet(f"{folder}/nodes"))
 
 
 _CLIMB = """
-WITH RECURSIVE climb (tree, at, leaves, folded, above, up_tree, up_level, up_at, slot, digest, subroot) AS (
+WITH RECURSIVE climb (tree, at, leaves, folded, above, up_tree, up_level, up_at, up_copies, slot, digest, subroot) AS (
   SELECT r.tree, r.at, r.leaves,
          transform(r.leaves, (l, i) -> CASE WHEN r.size = 1 THEN coalesce(l.tampered, l.leaf) ELSE
            sha2(concat(array_join(slice(r.leaves.leaf, 1, i), ''), coalesce(l.tampered, l.leaf), array_join(slice(r.leaves.leaf, i + 2, {fanout}), '')), 256) END),
-         CAST('' AS STRING), n.up_tree, n.up_level, n.up_at, n.slot, n.digest, CASE WHEN n.subroot THEN n.digest END
-  FROM {runs} r JOIN {nodes} n ON n.tree = r.tree AND n.level = 1 AND n.at = r.at
+         CAST('' AS STRING), n.up_tree, n.up_level, n.up_at, n.up_copies, n.slot, n.digest, CASE WHEN n.subroot THEN n.digest END
+  FROM {runs} r JOIN {nodes} n ON n.tree = r.tree AND n.level = 1 AND n.at = r.at AND n.copy = 0
   UNION ALL
   SELECT c.tree, c.at, c.leaves,
          transform(c.folded, f -> sha2(concat(array_join(slice(p.children, 1, c.slot), ''), f, array_join(slice(p.children, c.slot + 2, {fanout}), '')), 256)),
          concat(c.above, array_join(slice(p.children, 1, c.slot), ''), array_join(slice(p.children, c.slot + 2, {fanout}), '')),
-         p.up_tree, p.up_level, p.up_at, p.slot, p.digest, coalesce(c.subroot, CASE WHEN p.subroot THEN p.digest END)
-  FROM climb c JOIN {nodes} p ON p.tree = c.up_tree AND p.level = c.up_level AND p.at = c.up_at
+         p.up_tree, p.up_level, p.up_at, p.up_copies, p.slot, p.digest, coalesce(c.subroot, CASE WHEN p.subroot THEN p.digest END)
+  FROM climb c JOIN {nodes} p ON p.tree = c.up_tree AND p.level = c.up_level AND p.at = c.up_at AND p.copy = pmod(xxhash64(c.tree, c.at), c.up_copies)
 )
 SELECT * FROM climb WHERE up_tree IS NULL
 """
@@ -165,7 +179,7 @@ def climb(spark: SparkSession, manifest: Manifest) -> DataFrame:
     """Every leaf's way up, level by level, with the siblings met on it and the digest folded from the tampered leaf.
 
     The leaves of one parent share all siblings above it, so they ascend in one row: `folded` holds a digest a leaf, `above` the siblings once for all of
-    them. A step joins the parents of one level by key. The engine's limit on rows of a recursion is lifted while this runs; the depth is the height of
+    them. A step joins the parents of one level by key; a node high up, below which many runs meet, is there in copies, so no key grows hot. The engine's limit on rows of a recursion is lifted while this runs; the depth is the height of
     the trees (16 levels hold 10^19 rows). The result is a checkpoint.
     """
     mark = uuid.uuid4().hex

@@ -64,7 +64,9 @@ def manifest_rows():
 
 @pytest.mark.parametrize("rows", [manifest_rows(), [(1, "a", "en", 1, "One")], [(i, None, None, i, "Same") for i in range(16)], [(5, "a", "en", 1, "T")] * 40, [(3, "a", "x", 1, "T"), (4, "b", "x", 1, "T")]],
                          ids=["many", "one", "one run", "copies", "two sources"])
-def test_manifest_equals_plain_version(spark, rows):
+@pytest.mark.parametrize("runs_a_copy", [4096, 3])
+def test_manifest_equals_plain_version(spark, monkeypatch, rows, runs_a_copy):
+    monkeypatch.setattr(merkle, "RUNS_A_COPY", runs_a_copy)
     docs = spark.createDataFrame([(*r, "t", "a", 1, 2, "l", 3) for r in rows], ROWS).repartition(3)
     got = sorted((tuple(r) for r in merkle.digest(docs).collect()), key=str)
     assert got == plain_manifest(rows)
