@@ -24,8 +24,14 @@ def _hash(value: Column) -> Column:
     return F.sha2(value, 256)
 
 
+def _written(digests: Column) -> Column:
+    """Digests as they enter another digest, as text. They are stored as bytes, half as long."""
+    return F.lower(F.hex(digests))
+
+
 def _joined(digests: Column) -> Column:
-    return F.array_join(digests, "")
+    """An array of at most FANOUT digests as one run of bytes."""
+    return F.unhex(F.array_join(F.transform(digests, F.hex), ""))
 
 
 def leaf_hash(*values: Column) -> Column:
@@ -73,7 +79,7 @@ def _sized(starts: DataFrame) -> DataFrame:
 @dataclass
 class Manifest:
     """Stored trees. `runs`: the leaves of one parent to a row (`tree`, `at`, `leaves`, where the run's own node lies). `nodes`: the inner nodes
-    (`tree`, `level`, `at`, `digest`, `children` digests, `subroot`, and the parent's `up_tree`, `up_level`, `up_at` with the `slot` there). A node is
+    (`tree`, `level`, `at`, `digest`, `children` digests in one run of bytes (null where they are the leaves of a run), `subroot`, and the parent's `up_tree`, `up_level`, `up_at` with the `slot` there). A node is
     stored in as many copies (`copy`) as RUNS_A_COPY asks for; its children know the number (`up_copies`)."""
 
     runs: DataFrame
@@ -105,8 +111,8 @@ def _parents(nodes: DataFrame, top: bool) -> DataFrame:
     runs = nodes.where("n > 1").groupBy("tree", F.floor(F.col("at") / FANOUT).alias("at")).agg(
         F.sort_array(F.collect_list(F.struct("at", "digest"))).alias("run"), F.ceil(F.first("n") / FANOUT).alias("n"), (F.sum if top else F.first)("runs").alias("runs"),
         F.first("beside").alias("beside"))
-    children = F.col("run")["digest"]
-    return runs.select("tree", "at", "n", "runs", "beside", children.alias("children"), _hash(_joined(children)).alias("digest"))
+    children = _joined(F.col("run")["digest"])
+    return runs.select("tree", "at", "n", "runs", "beside", children.alias("children"), F.unhex(_hash(_written(children))).alias("digest"))
 
 
 def build(docs: DataFrame) -> Manifest:
@@ -118,7 +124,7 @@ def build(docs: DataFrame) -> Manifest:
     """
     spark = docs.sparkSession
     text = docs["text"].cast("string")
-    leaf = lambda t: leaf_hash(docs["doc_id"], docs["source"], docs["lang"], docs["n_chars"], t)
+    leaf = lambda t: F.unhex(leaf_hash(docs["doc_id"], docs["source"], docs["lang"], docs["n_chars"], t))
     rows = checkpointed(docs.select("doc_id", docs["source"].cast("string").alias("source"), leaf(text).alias("leaf"),
                                     F.when(due(docs["doc_id"]), leaf(lowered(text))).alias("tampered")))
     placed = positions(rows, "source", ["doc_id", "leaf"], _sized)
@@ -131,8 +137,8 @@ def build(docs: DataFrame) -> Manifest:
 
     # A source of one row has no level 1: its leaf is its subroot.
     digests = F.col("leaves")["leaf"]
-    first = runs.select("tree", "at", F.ceil(F.col("size") / FANOUT).alias("n"), F.ceil(F.col("size") / FANOUT).alias("runs"), "beside", F.when(F.col("size") > 1, digests).alias("children"),
-                        F.when(F.col("size") > 1, _hash(_joined(digests))).otherwise(digests[0]).alias("digest"))
+    first = runs.select("tree", "at", F.ceil(F.col("size") / FANOUT).alias("n"), F.ceil(F.col("size") / FANOUT).alias("runs"), "beside", F.lit(None).cast("binary").alias("children"),
+                        F.when(F.col("size") > 1, F.unhex(_hash(_written(_joined(digests))))).otherwise(digests[0]).alias("digest"))
     stored = 0
 
     def store(level: DataFrame, number: int, top: bool) -> DataFrame:
@@ -159,14 +165,15 @@ def build(docs: DataFrame) -> Manifest:
 _CLIMB = """
 WITH RECURSIVE climb (tree, at, leaves, folded, above, up_tree, up_level, up_at, up_copies, slot, digest, subroot) AS (
   SELECT r.tree, r.at, r.leaves,
-         transform(r.leaves, (l, i) -> CASE WHEN r.size = 1 THEN coalesce(l.tampered, l.leaf) ELSE
-           sha2(concat(array_join(slice(r.leaves.leaf, 1, i), ''), coalesce(l.tampered, l.leaf), array_join(slice(r.leaves.leaf, i + 2, {fanout}), '')), 256) END),
-         CAST('' AS STRING), n.up_tree, n.up_level, n.up_at, n.up_copies, n.slot, n.digest, CASE WHEN n.subroot THEN n.digest END
+         transform(r.leaves, (l, i) -> CASE WHEN r.size = 1 THEN coalesce(l.tampered, l.leaf) ELSE unhex(sha2(lower(concat(
+           array_join(transform(slice(r.leaves.leaf, 1, i), d -> hex(d)), ''), hex(coalesce(l.tampered, l.leaf)),
+           array_join(transform(slice(r.leaves.leaf, i + 2, {fanout}), d -> hex(d)), ''))), 256)) END),
+         CAST('' AS BINARY), n.up_tree, n.up_level, n.up_at, n.up_copies, n.slot, n.digest, CASE WHEN n.subroot THEN n.digest END
   FROM {runs} r JOIN {nodes} n ON n.tree = r.tree AND n.level = 1 AND n.at = r.at AND n.copy = 0
   UNION ALL
   SELECT c.tree, c.at, c.leaves,
-         transform(c.folded, f -> sha2(concat(array_join(slice(p.children, 1, c.slot), ''), f, array_join(slice(p.children, c.slot + 2, {fanout}), '')), 256)),
-         concat(c.above, array_join(slice(p.children, 1, c.slot), ''), array_join(slice(p.children, c.slot + 2, {fanout}), '')),
+         transform(c.folded, f -> unhex(sha2(lower(concat(hex(substring(p.children, 1, 32 * c.slot)), hex(f), hex(substring(p.children, 32 * c.slot + 33)))), 256))),
+         concat(c.above, substring(p.children, 1, 32 * c.slot), substring(p.children, 32 * c.slot + 33)),
          p.up_tree, p.up_level, p.up_at, p.up_copies, p.slot, p.digest, coalesce(c.subroot, CASE WHEN p.subroot THEN p.digest END)
   FROM climb c JOIN {nodes} p ON p.tree = c.up_tree AND p.level = c.up_level AND p.at = c.up_at AND p.copy = pmod(xxhash64(c.tree, c.at), c.up_copies)
 )
@@ -202,8 +209,9 @@ def proofs(climbed: DataFrame) -> DataFrame:
     rows = climbed.select(F.posexplode("leaves").alias("i", "l"), "leaves", "folded", "above", "digest", "subroot")
     digests, i = F.col("leaves")["leaf"], F.col("i")
     proof = F.concat(_joined(F.slice(digests, F.lit(1), i)), _joined(F.slice(digests, i + 2, F.lit(FANOUT))), F.col("above"))
-    folded = F.col("folded")[i]
-    return rows.select("l.doc_id", "l.leaf", "subroot", F.col("digest").alias("root"), proof.alias("proof"), folded.alias("folded_root"), (folded == F.col("digest")).alias("verified"))
+    folded, root = F.col("folded")[i], F.col("digest")
+    return rows.select("l.doc_id", _written(F.col("l.leaf")).alias("leaf"), _written(F.col("subroot")).alias("subroot"), _written(root).alias("root"), _written(proof).alias("proof"),
+                       _written(folded).alias("folded_root"), (folded == root).alias("verified"))
 
 
 def digest(docs: DataFrame) -> DataFrame:
