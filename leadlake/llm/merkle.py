@@ -78,12 +78,14 @@ def _sized(starts: DataFrame) -> DataFrame:
 
 @dataclass
 class Manifest:
-    """Stored trees. `runs`: the leaves of one parent to a row (`tree`, `at`, `leaves`, where the run's own node lies). `nodes`: the inner nodes
+    """Stored trees. `runs`: the leaves of one parent to a row (`tree`, `at`, `leaves`, where the run's own node lies). `first`: the nodes over runs, level 1
+    of the sources' trees. `upper`: all nodes above those, a sixteenth as many, so that steps beyond the first join a small table
     (`tree`, `level`, `at`, `digest`, `children` digests in one run of bytes (null where they are the leaves of a run), `subroot`, and the parent's `up_tree`, `up_level`, `up_at` with the `slot` there). A node is
     stored in as many copies (`copy`) as RUNS_A_COPY asks for; its children know the number (`up_copies`)."""
 
     runs: DataFrame
-    nodes: DataFrame
+    first: DataFrame
+    upper: DataFrame
 
 
 def _copies(runs: Column) -> Column:
@@ -143,9 +145,10 @@ def build(docs: DataFrame) -> Manifest:
 
     def store(level: DataFrame, number: int, top: bool) -> DataFrame:
         nonlocal stored
+        part = f"{folder}/upper/part={stored}" if stored else f"{folder}/first"
+        _linked(level, number, trees, top).write.parquet(part)
         stored += 1
-        _linked(level, number, trees, top).write.parquet(f"{folder}/nodes/part={stored}")
-        return spark.read.parquet(f"{folder}/nodes/part={stored}").where("copy = 0")
+        return spark.read.parquet(part).where("copy = 0")
 
     def climbed(level: DataFrame, width: int, top: bool) -> list[DataFrame]:
         levels = [store(level, 1, top)]
@@ -159,7 +162,8 @@ def build(docs: DataFrame) -> Manifest:
         subroots = [level.where("subroot").select(F.col("tree").alias("at"), "digest", "runs", "beside") for level in levels]
         above = reduce(DataFrame.unionByName, subroots).select(F.lit(TOP).cast("long").alias("tree"), "at", F.lit(trees).cast("long").alias("n"), "digest", "runs", "beside")
         climbed(_parents(above, top=True), -(-trees // FANOUT), top=True)
-    return Manifest(runs, spark.read.parquet(f"{folder}/nodes"))
+    lowest = spark.read.parquet(f"{folder}/first")
+    return Manifest(runs, lowest, spark.read.parquet(f"{folder}/upper") if stored > 1 else lowest.where("false"))
 
 
 _CLIMB = """
@@ -169,13 +173,13 @@ WITH RECURSIVE climb (tree, at, leaves, folded, above, up_tree, up_level, up_at,
            array_join(transform(slice(r.leaves.leaf, 1, i), d -> hex(d)), ''), hex(coalesce(l.tampered, l.leaf)),
            array_join(transform(slice(r.leaves.leaf, i + 2, {fanout}), d -> hex(d)), ''))), 256)) END),
          CAST('' AS BINARY), n.up_tree, n.up_level, n.up_at, n.up_copies, n.slot, n.digest, CASE WHEN n.subroot THEN n.digest END
-  FROM {runs} r JOIN {nodes} n ON n.tree = r.tree AND n.level = 1 AND n.at = r.at AND n.copy = 0
+  FROM {runs} r JOIN {first} n ON n.tree = r.tree AND n.at = r.at
   UNION ALL
   SELECT c.tree, c.at, c.leaves,
          transform(c.folded, f -> unhex(sha2(lower(concat(hex(substring(p.children, 1, 32 * c.slot)), hex(f), hex(substring(p.children, 32 * c.slot + 33)))), 256))),
          concat(c.above, substring(p.children, 1, 32 * c.slot), substring(p.children, 32 * c.slot + 33)),
          p.up_tree, p.up_level, p.up_at, p.up_copies, p.slot, p.digest, coalesce(c.subroot, CASE WHEN p.subroot THEN p.digest END)
-  FROM climb c JOIN {nodes} p ON p.tree = c.up_tree AND p.level = c.up_level AND p.at = c.up_at AND p.copy = pmod(xxhash64(c.tree, c.at), c.up_copies)
+  FROM climb c JOIN {upper} p ON p.tree = c.up_tree AND p.level = c.up_level AND p.at = c.up_at AND p.copy = pmod(xxhash64(c.tree, c.at), c.up_copies)
 )
 SELECT * FROM climb WHERE up_tree IS NULL
 """
@@ -190,9 +194,9 @@ def climb(spark: SparkSession, manifest: Manifest) -> DataFrame:
     the trees (16 levels hold 10^19 rows). The result is a checkpoint.
     """
     mark = uuid.uuid4().hex
-    names = {"runs": f"manifest_runs_{mark}", "nodes": f"manifest_nodes_{mark}"}
-    manifest.runs.createOrReplaceTempView(names["runs"])
-    manifest.nodes.createOrReplaceTempView(names["nodes"])
+    names = {name: f"manifest_{name}_{mark}" for name in ("runs", "first", "upper")}
+    for name, view in names.items():
+        getattr(manifest, name).createOrReplaceTempView(view)
     before = spark.conf.get(_LIMIT)
     spark.conf.set(_LIMIT, -1)
     try:

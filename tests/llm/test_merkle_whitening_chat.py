@@ -74,7 +74,8 @@ def test_manifest_equals_plain_version(spark, monkeypatch, rows, runs_a_copy):
 
 def test_stored_nodes_link_to_their_parents(spark):
     docs = spark.createDataFrame([(i, f"s{i % 3}", "en", 1, f"t{i}") for i in range(900)], "doc_id long, source string, lang string, n_chars long, text string")
-    nodes = {(r["tree"], r["level"], r["at"]): r for r in merkle.build(docs).nodes.collect()}
+    manifest = merkle.build(docs)
+    nodes = {(r["tree"], r["level"], r["at"]): r for table in (manifest.first, manifest.upper) for r in table.collect()}
     assert [sum(n["tree"] == t and n["level"] == level for n in nodes.values()) for t, level in ((0, 1), (0, 2), (0, 3), (-1, 1))] == [19, 2, 1, 1]
     for node in nodes.values():
         if node["up_tree"] is None:
