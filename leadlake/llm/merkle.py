@@ -79,7 +79,7 @@ def _sized(starts: DataFrame) -> DataFrame:
 @dataclass
 class Manifest:
     """Stored trees. `runs`: the leaves of one parent to a row (`tree`, `at`, `leaves`, where the run's own node lies). `first`: the nodes over runs, level 1
-    of the sources' trees. `upper`: all nodes above those, a sixteenth as many, so that steps beyond the first join a small table
+    of the sources' trees. `upper`: all nodes above those, a sixteenth as many
     (`tree`, `level`, `at`, `digest`, `children` digests in one run of bytes (null where they are the leaves of a run), `subroot`, and the parent's `up_tree`, `up_level`, `up_at` with the `slot` there). A node is
     stored in as many copies (`copy`) as RUNS_A_COPY asks for; its children know the number (`up_copies`)."""
 
@@ -175,7 +175,7 @@ WITH RECURSIVE climb (tree, at, leaves, folded, above, up_tree, up_level, up_at,
          CAST('' AS BINARY), n.up_tree, n.up_level, n.up_at, n.up_copies, n.slot, n.digest, CASE WHEN n.subroot THEN n.digest END
   FROM {runs} r JOIN {first} n ON n.tree = r.tree AND n.at = r.at
   UNION ALL
-  SELECT c.tree, c.at, c.leaves,
+  SELECT /*+ MERGE(p) */ c.tree, c.at, c.leaves,
          transform(c.folded, f -> unhex(sha2(lower(concat(hex(substring(p.children, 1, 32 * c.slot)), hex(f), hex(substring(p.children, 32 * c.slot + 33)))), 256))),
          concat(c.above, substring(p.children, 1, 32 * c.slot), substring(p.children, 32 * c.slot + 33)),
          p.up_tree, p.up_level, p.up_at, p.up_copies, p.slot, p.digest, coalesce(c.subroot, CASE WHEN p.subroot THEN p.digest END)
@@ -190,8 +190,9 @@ def climb(spark: SparkSession, manifest: Manifest) -> DataFrame:
     """Every leaf's way up, level by level, with the siblings met on it and the digest folded from the tampered leaf.
 
     The leaves of one parent share all siblings above it, so they ascend in one row: `folded` holds a digest a leaf, `above` the siblings once for all of
-    them. A step joins the parents of one level by key; a node high up, below which many runs meet, is there in copies, so no key grows hot. The engine's limit on rows of a recursion is lifted while this runs; the depth is the height of
-    the trees (16 levels hold 10^19 rows). The result is a checkpoint.
+    them. A step joins the parents of one level by key; a node high up, below which many runs meet, is there in copies, so no key grows hot. The
+    nodes grow with the rows, so they are merged and not broadcast, alike at every size. The engine's limit on rows of a recursion is lifted while this
+    runs; the depth is the height of the trees (16 levels hold 10^19 rows). The result is a checkpoint.
     """
     mark = uuid.uuid4().hex
     names = {name: f"manifest_{name}_{mark}" for name in ("runs", "first", "upper")}
