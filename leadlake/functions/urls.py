@@ -111,41 +111,64 @@ def resolve_url(base: Column, href: Column) -> Column:
     )
 
 
-def registrable_host(url: Column, suffixes: Sequence[str] = DEFAULT_SUFFIXES) -> Column:
-    """Longest listed public suffix plus one label. The list may have any length: tails of the host are looked up in a set.
+class SuffixRules:
+    """Public-suffix rules as sets of host tails by number of labels.
 
-    An unlisted suffix counts as one label; an address in digits stands for itself.
+    A rule is a suffix (`co.uk`), a wildcard (`*.ck`: every label before it belongs to the suffix) or an exception to one (`!www.ck`). An exception goes before all
+    others, then the rule of most labels; a host that no rule fits has a suffix of one label. Asking costs one lookup per number of labels, however many rules
+    there are.
     """
-    by_depth: dict[int, list[str]] = {}
-    for suffix in suffixes:
-        by_depth.setdefault(suffix.count(".") + 1, []).append(suffix)
-    name = host(url)
-    found = F.when(name.rlike("^[0-9.]*$"), name)
-    for depth in sorted(by_depth, reverse=True):
-        found = found.when(F.substring_index(name, ".", -depth).isin(*by_depth[depth]), F.substring_index(name, ".", -depth - 1))
-    return found.otherwise(F.substring_index(name, ".", -2))
+
+    def __init__(self, rules: Sequence[str]) -> None:
+        self.exact: dict[int, list[str]] = {}
+        self.under: dict[int, list[str]] = {}
+        self.except_: dict[int, list[str]] = {}
+        for rule in dict.fromkeys(r.strip().lower() for r in rules):
+            kind, tail = (self.except_, rule[1:]) if rule.startswith("!") else (self.under, rule[2:]) if rule.startswith("*.") else (self.exact, rule)
+            if tail:
+                kind.setdefault(tail.count(".") + 1, []).append(tail)
+
+    def registrable(self, name: Column) -> Column:
+        """The suffix of a host plus one label; an address in digits stands for itself, and so does a host that is a suffix."""
+        tail = lambda depth: F.substring_index(name, ".", -depth)
+        found = F.when(name.rlike("^[0-9.]*$"), name)
+        for depth in sorted(self.except_, reverse=True):
+            found = found.when(tail(depth).isin(*self.except_[depth]), tail(depth))
+        for depth in sorted({*self.exact, *(d + 1 for d in self.under)}, reverse=True):
+            if depth - 1 in self.under:
+                # The label in the wildcard's place must be there.
+                found = found.when(tail(depth - 1).isin(*self.under[depth - 1]) & (name != tail(depth - 1)), tail(depth + 1))
+            if depth in self.exact:
+                found = found.when(tail(depth).isin(*self.exact[depth]), tail(depth + 1))
+        return found.otherwise(tail(2))
+
+
+def registrable_host(url: Column, suffixes: Sequence[str] = DEFAULT_SUFFIXES) -> Column:
+    """Public suffix plus one label, by a list of rules of any length (see `SuffixRules`)."""
+    return SuffixRules(suffixes).registrable(host(url))
 
 
 def registrable_hosts(hosts: DataFrame, suffixes: DataFrame) -> DataFrame:
-    """(host, registrable_host) for distinct hosts against a full suffix table (column `suffix`).
+    """(host, registrable_host) for distinct hosts against a full table of rules (column `suffix`), wildcards and exceptions included.
 
     Works on distinct hosts only, so that a host holding a third of all links is one row here.
     """
     names = hosts.select("host").where(F.col("host").isNotNull()).distinct()
     labels = names.select("host", F.split("host", r"\.").alias("labels"))
-    tails = labels.select(
-        "host", "labels",
-        F.explode(F.sequence(F.lit(1), F.greatest(F.size("labels") - 1, F.lit(1)))).alias("depth"),
-    ).select(
-        "host", "labels", "depth",
-        F.when(F.size("labels") > 1, F.array_join(F.slice("labels", -F.col("depth"), F.col("depth")), ".")).alias("suffix"),
-    )
-    longest = (
-        tails.join(suffixes.select("suffix").distinct().withColumn("listed", F.lit(True)), "suffix", "left")
-        .groupBy("host", "labels")
-        .agg(F.max(F.when(F.col("listed"), F.col("depth"))).alias("depth"))
-    )
-    depth = F.least(F.coalesce("depth", F.lit(1)) + 1, F.size("labels"))
+    size = F.size("labels")
+    # Every tail of the host, as the plain rule, the wildcard and the exception that would fit it.
+    tails = labels.select("host", "labels", F.explode(F.sequence(F.lit(1), size)).alias("depth")).withColumn(
+        "tail", F.array_join(F.slice("labels", -F.col("depth"), F.col("depth")), "."))
+    asked = tails.select("host", "labels", F.explode(F.array(
+        F.struct(F.col("tail").alias("suffix"), F.col("depth").alias("labels_of_suffix"), F.lit(False).alias("excepted")),
+        F.struct(F.concat(F.lit("*."), "tail").alias("suffix"), (F.col("depth") + 1).alias("labels_of_suffix"), F.lit(False).alias("excepted")),
+        F.struct(F.concat(F.lit("!"), "tail").alias("suffix"), (F.col("depth") - 1).alias("labels_of_suffix"), F.lit(True).alias("excepted")))).alias("rule")).select("host", "labels", "rule.*")
+    # A host that is itself the parent of a wildcard has no label in the wildcard's place.
+    asked = asked.where(F.col("excepted") | (F.col("labels_of_suffix") <= size))
+    listed = suffixes.select(F.lower(F.trim("suffix")).alias("suffix")).distinct().withColumn("listed", F.lit(True))
+    best = F.max(F.when(F.col("listed"), F.struct("excepted", "labels_of_suffix")))
+    longest = asked.join(listed, "suffix", "left").groupBy("host", "labels").agg(best.alias("best"))
+    depth = F.least(F.coalesce("best.labels_of_suffix", F.lit(1)) + 1, size)
     digits = F.col("host").rlike(r"^[0-9.]+$")
     return longest.select(
         "host",

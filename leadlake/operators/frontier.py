@@ -38,7 +38,7 @@ def link_scores(homepages: DataFrame, sitemaps: DataFrame | None = None,
                                "root": registrable_host(F.col("final_url"), suffixes)})
 
     keep = ["site_id", "home_url", "root"]
-    links = anchor_links(rooted(homepages), keep)
+    links = anchor_links(rooted(homepages), keep, with_text=False)
     # Links that cannot score are dropped before their address is resolved. Escapes and control characters may hide a word.
     address = F.lower(F.concat_ws(" ", "href", "home_url"))
     links = links.where((F.col("words") != "") | mentions(address, C.PRICE_LINK_WORDS) | F.col("href").rlike("[%+\\x00-\\x1f]"))

@@ -32,6 +32,23 @@ def crawl_runs(captures: DataFrame) -> DataFrame:
     return counted.withColumn("status", run_status(F.col("pages_succeeded"), F.col("error_count")))
 
 
+def opened_runs(captures: DataFrame) -> DataFrame:
+    """One row per run as it starts: processing, without counts or an end."""
+    return captures.groupBy(*RUN_KEYS).agg(F.min("captured_at").alias("started_at")).withColumn("status", F.lit("processing"))
+
+
+def merge_runs(current: DataFrame, found: DataFrame) -> DataFrame:
+    """Runs by competitor and run id: state and counts are those of the batch, the first start stays."""
+    rules = {"started_at": KEEP, **dict.fromkeys(["status", "completed_at", "pages_attempted", "pages_succeeded", "error_count"], OVERWRITE)}
+    return merge(current, found, RUN_KEYS, rules)
+
+
+def abandoned_runs(stored: DataFrame, as_of: Column, hours: int = 24) -> DataFrame:
+    """Runs still processing `hours` after their start, as failed: their job never came to its end. They count as no crawl, so they are due again."""
+    late = (F.col("status") == "processing") & (F.col("started_at") < as_of.cast("timestamp") - F.make_interval(hours=F.lit(hours)))
+    return stored.where(late).withColumn("status", F.lit("failed"))
+
+
 def batch_totals(discovered: DataFrame, enriched: DataFrame, runs: DataFrame) -> DataFrame:
     """One row: competitors discovered, enriched, and websites crawled."""
     def tally(df: DataFrame, name: str) -> DataFrame:

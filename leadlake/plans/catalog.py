@@ -19,7 +19,7 @@ from leadlake.operators.score import with_score
 from leadlake.plans import check_sql as Q
 from leadlake.plans import lead_flow, price_flow
 from leadlake.plans.inputs import load, sql_text
-from leadlake.session import spread
+from leadlake.session import cut_lineage, spread
 from leadlake.sources import captures as captured
 from leadlake.sources import places
 
@@ -49,8 +49,7 @@ def text_of(*names: str):
 
 def spread_load(spark: SparkSession, d: str, name: str) -> DataFrame:
     """An input whose rows are costly to work on, over enough tasks also when its table is one small file."""
-    table, key = {"captures": ("pages", "page_id"), "documents": ("documents", "doc_id")}.get(name, ("part", "p_partkey"))
-    return spread(load(spark, d, name), f"{d}/{table}.parquet", key)
+    return spread(load(spark, d, name), {"captures": "page_id", "documents": "doc_id"}.get(name, "p_partkey"))
 
 
 def page_facts(spark: SparkSession, d: str) -> DataFrame:
@@ -262,7 +261,7 @@ _DONE = f"SELECT *, CASE WHEN scraped IS NOT NULL THEN scraped WHEN asked THEN f
 _OWN_PAGE = "(COALESCE(website_url, '') <> '' AND COALESCE(site_platform, '') NOT IN ('none', 'facebook', 'linktree'))"
 
 
-@query(f"""SELECT place_id, 'enrich_site' AS stage, CASE WHEN site_fetch_status = 'timeout' OR failure = 'tls' THEN 'warn' WHEN site_fetch_status = 'error' THEN 'error' ELSE 'info' END AS level,
+@query(f"""SELECT place_id, 'enrich_site' AS stage, CASE WHEN site_fetch_status = 'timeout' OR (site_fetch_status = 'error' AND failure = 'tls') THEN 'warn' WHEN site_fetch_status = 'error' THEN 'error' ELSE 'info' END AS level,
       'Site ' || site_fetch_status || ' for ' || name || ', platform ' || site_platform AS message FROM ({_DONE}) a WHERE site_fetch_status IS NOT NULL
     UNION ALL SELECT place_id, 'enrich_booking', CASE WHEN {_OWN_PAGE} AND failure IS NOT NULL THEN 'error' ELSE 'info' END,
       CASE WHEN NOT {_OWN_PAGE} THEN 'Booking check skipped for ' || name WHEN failure IS NOT NULL THEN 'Booking check failed for ' || name
@@ -340,6 +339,26 @@ def registrable_hosts(spark, d):
     return U.registrable_hosts(hosts, suffixes)
 
 
+_ZONE_RULES = ["test", "*.zone1.test", "!b3.zone1.test", "zone2.test", "*.b2.zone2.test"]
+
+
+_ZONE_HOST = """REGEXP_EXTRACT(host, CASE WHEN CONTAINS(host, '.b3.zone1.') OR (CONTAINS(host, '.zone2.') AND NOT CONTAINS(host, '.b2.')) THEN '([^.]+[.][^.]+[.][^.]+)$'
+    WHEN CONTAINS(host, '.zone1.') OR CONTAINS(host, '.b2.zone2.') THEN '(.*)' ELSE '([^.]+[.][^.]+)$' END, 1) AS registrable_host"""
+
+
+@query(f"SELECT DISTINCT host, {_ZONE_HOST} FROM <<zone_hosts>> z")
+def suffix_rules(spark, d):
+    hosts = load(spark, d, "zone_hosts")
+    rules = spark.createDataFrame([(rule,) for rule in _ZONE_RULES], "suffix string")
+    return U.registrable_hosts(hosts, rules)
+
+
+@query(f"SELECT page_id, {_ZONE_HOST} FROM <<zone_hosts>> z")
+def suffix_rules_of_urls(spark, d):
+    url = F.concat(F.lit("https://"), "host", F.lit("/menu?x=1"))
+    return load(spark, d, "zone_hosts").select("page_id", U.registrable_host(url, _ZONE_RULES).alias("registrable_host"))
+
+
 _ROBOTS = f"""SELECT DISTINCT {Q.host('url')} AS host FROM <<pages>> p WHERE page_id % 5 <> 0"""
 
 
@@ -565,21 +584,31 @@ def merge_competitor(spark, d):
     return merged.select("place_id", "name", "website", "rating", "review_count")
 
 
-def _price_discovery(spark, d):
+def _price_discovery(spark, d, seen=None):
     stored = load(spark, d, "stored_places").select(
         F.concat(F.lit("id_"), "place_id").alias("id"), "place_id", "name", F.col("website_url").alias("website"), "rating", "review_count")
     details = load(spark, d, "search_places").select("place_id", F.lit("OK").alias("status"), F.struct(
         F.lit(None).cast("string").alias("formatted_phone_number"), F.lit("https://new.example.com/").alias("website")).alias("result"))
     return price_flow.discover(
-        schemas.conform(stored, schemas.COMPETITORS), schemas.empty(spark, schemas.COMPETITOR_MARKETS), load(spark, d, "scrapes"),
+        schemas.conform(stored, schemas.COMPETITORS), schemas.empty(spark, schemas.COMPETITOR_MARKETS) if seen is None else seen, load(spark, d, "scrapes"),
         load(spark, d, "scrapes").select("metro_key", "metro"), _payloads(spark, d), details, as_of())
 
 
-@query("SELECT DISTINCT place_id, metro_key, metro FROM <<search_places>> s")
+# Half of the memberships, and some of markets that were not searched now, are stored from before under another spelling.
+_SEEN = "SELECT DISTINCT place_id, metro_key FROM <<search_places>> s WHERE SUBSTRING(MD5(place_id || metro_key), 1, 1) < '8'"
+_NOW_SEEN = "SELECT DISTINCT place_id, metro_key, metro FROM <<search_places>> n"
+
+
+@query(f"""SELECT place_id, metro_key, metro, '2024-02-05' AS last_seen FROM ({_NOW_SEEN}) a
+    UNION ALL SELECT place_id, metro_key || ' (closed)', 'Old spelling', '2023-01-01' FROM ({_SEEN}) b""")
 def merge_memberships(spark, d):
-    merged, joined, _ = _price_discovery(spark, d)
+    ids = _price_discovery(spark, d)[0].select(F.col("id").alias("competitor_id"), "place_id")
+    half = load(spark, d, "search_places").where(F.substring(F.md5(F.concat("place_id", "metro_key")), 1, 1) < "8").select("place_id", "metro_key").distinct()
+    stored = half.withColumn("metro_key", F.explode(F.array("metro_key", F.concat("metro_key", F.lit(" (closed)"))))).join(ids, "place_id").select(
+        "competitor_id", "metro_key", F.lit("Old spelling").alias("metro"), F.lit("2023-01-01").cast("timestamp").alias("last_seen_at"))
+    merged, joined, _ = _price_discovery(spark, d, schemas.conform(stored, schemas.COMPETITOR_MARKETS))
     names = merged.select(F.col("id").alias("competitor_id"), "place_id")
-    return joined.join(names, "competitor_id").select("place_id", "metro_key", "metro")
+    return joined.join(names, "competitor_id").select("place_id", "metro_key", "metro", F.date_format("last_seen_at", "yyyy-MM-dd").alias("last_seen"))
 
 
 @query("""SELECT 'cmp_' || CAST(l_suppkey AS STRING) AS competitor_id FROM <<lineitem>> l
@@ -807,11 +836,60 @@ def duplicates_collapsed(spark, d):
     competitor_id || '/run_1/' || SHA256(html) || '.html' AS archive_path FROM {_OK_PAGES} p
     WHERE page_ord IN (SELECT page_ord FROM ({_VALIDATED}) v)""")
 def evidence_pages(spark, d):
-    pages = price_flow.read_pages(spread_load(spark, d, "menu_pages")).withColumn("title", F.col("parts.title"))
-    return runs.evidence_pages(pages, _observations(spark, d)).select(
+    pages = cut_lineage(price_flow.page_rows(spread_load(spark, d, "menu_pages")))
+    found = price_flow.row_observations(price_flow.row_candidates(pages, load(spark, d, "menu_competitors")), load(spark, d, "aliases"), load(spark, d, "catalog"))
+    return runs.evidence_pages(pages.where("outcome = 'ok'"), found).select(
         "competitor_id", "page_ord", "final_url", "title", "content_sha256", "archive_path")
 
 
+# ---------------------------------------------------------------- the crawl as one run
+
+_DUE = f"""(SELECT c.id FROM <<menu_sites>> c WHERE COALESCE(c.website, '') <> '' AND c.id NOT IN (SELECT competitor_id FROM <<menu_runs>> r
+    WHERE status IN ('complete', 'partial') AND completed_at > {NOW} - INTERVAL 7 DAY))"""
+_DUE_PAGES = f"(SELECT *, {_OUTCOME} AS o FROM <<menu_pages>> m WHERE competitor_id IN {_DUE})"
+
+
+def _crawl_run(spark, d, force=False, **options) -> price_flow.CrawlRun:
+    tables = price_flow.PriceTables(_stored(spark, d), *(schemas.empty(spark, s) for s in (schemas.OFFERING_CANDIDATES, schemas.PRICE_EVENTS)))
+    return price_flow.crawl_run(tables, spread_load(spark, d, "menu_pages"), load(spark, d, "menu_sites"), load(spark, d, "aliases"), load(spark, d, "catalog"),
+                                load(spark, d, "menu_runs"), as_of(), force, **options)
+
+
+def _run_sql(pages: str) -> str:
+    return f"""SELECT competitor_id, run_id, CASE WHEN COUNT(*) FILTER (o = 'ok') = 0 THEN 'failed' WHEN COUNT(*) FILTER (o <> 'ok') = 0 THEN 'complete' ELSE 'partial' END AS status,
+    COUNT(*) AS pages_attempted, COUNT(*) FILTER (o = 'ok') AS pages_succeeded, COUNT(*) FILTER (o <> 'ok') AS error_count FROM {pages} p GROUP BY competitor_id, run_id"""
+
+
+@query(f"""{_run_sql(_DUE_PAGES)} UNION ALL SELECT competitor_id, run_id, status, pages_attempted, pages_succeeded, error_count FROM <<menu_runs>> r""")
+def price_run_rows(spark, d):
+    merged = runs.merge_runs(schemas.conform(load(spark, d, "menu_runs"), schemas.CRAWL_RUNS), _crawl_run(spark, d).runs)
+    return merged.select("competitor_id", "run_id", "status", "pages_attempted", "pages_succeeded", "error_count")
+
+
+@query(_run_sql(f"(SELECT *, {_OUTCOME} AS o FROM <<menu_pages>> m WHERE competitor_id IN (SELECT id FROM <<menu_sites>> c WHERE website IS NOT NULL))"))
+def price_run_forced(spark, d):
+    return _crawl_run(spark, d, force=True).runs.drop("started_at", "completed_at")
+
+
+@query(f"SELECT competitor_id, page_ord, url, 'RuntimeError' AS code, o AS message FROM {_DUE_PAGES} p WHERE o <> 'ok'")
+def run_rows(spark, d):
+    return _crawl_run(spark, d).errors.drop("run_id")
+
+
+@query(f"""SELECT competitor_id, page_ord, final_url, title, SHA256(html) AS content_sha256, competitor_id || '/run_1/' || SHA256(html) || '.html' AS archive_path
+    FROM {_DUE_PAGES} p WHERE o = 'ok' AND page_ord IN (SELECT page_ord FROM ({_VALIDATED}) v)""")
+def evidence_rows(spark, d):
+    return _crawl_run(spark, d).evidence.select("competitor_id", "page_ord", "final_url", "title", "content_sha256", "archive_path")
+
+
+@query(f"""SELECT 'pages_attempted' AS total, COUNT(*) AS n FROM {_DUE_PAGES} a UNION ALL SELECT 'pages_succeeded', COUNT(*) FILTER (o = 'ok') FROM {_DUE_PAGES} b
+    UNION ALL SELECT 'published', COUNT(*) FILTER (review_reason IS NULL) FROM ({_VALIDATED}) c WHERE competitor_id IN {_DUE}
+    UNION ALL SELECT 'pending', COUNT(*) FILTER (review_reason IS NOT NULL) FROM ({_VALIDATED}) e WHERE competitor_id IN {_DUE}""")
+def run_totals(spark, d):
+    totals = _crawl_run(spark, d).totals
+    return spark.createDataFrame([(name, n) for name, n in totals.items() if name != "items"], "total string, n long")
+
+
 # ---------------------------------------------------------------- history
 
 _ORDER = "ORDER BY observed_at, run_id, page_ord, cand_ord"
@@ -886,7 +964,7 @@ def change_events(spark, d):
 
 @query(f"""SELECT event_type || ':' || source_fingerprint AS source_fingerprint, competitor_id, event_type,
     MAX(SHA256(competitor_id || '|' || offering_key)) AS offering_id, MAX_BY(old_price, {_SEQ}) AS old_price, STRFTIME(MAX(observed_at), '%Y-%m-%d') AS occurred
-    FROM ({_EVENTS.replace('LAG(price_display) OVER w AS old_price', "LAG(price_display) OVER w AS old_price")}) e WHERE event_type IS NOT NULL
+    FROM ({_EVENTS}) e WHERE event_type IS NOT NULL
     GROUP BY source_fingerprint, competitor_id, event_type""")
 def merge_event(spark, d):
     log = history.change_events(_stored(spark, d), _published(spark, d))

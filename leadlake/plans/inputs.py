@@ -136,6 +136,17 @@ SELECT DISTINCT competitor_id AS id, business_name AS name,
        CASE WHEN p_partkey % 200 % 3 = 0 THEN 'Chicago, IL' WHEN p_partkey % 200 % 3 = 1 THEN 'Chicago' END AS market
 FROM <<menu>>
 """
+# Sites of competitors, some without; and their runs so far: fresh, stale, failed, and never ended.
+INPUTS["menu_sites"] = """
+SELECT id, name, market, CASE WHEN CAST(SUBSTRING(id, 5) AS INT) % 13 <> 4 THEN 'https://shop' || SUBSTRING(id, 5) || '.example.com/' END AS website FROM <<menu_competitors>>
+"""
+INPUTS["menu_runs"] = """
+SELECT id AS competitor_id, 'run_0' AS run_id, CASE CAST(SUBSTRING(id, 5) AS INT) % 5 WHEN 0 THEN 'complete' WHEN 1 THEN 'partial' WHEN 2 THEN 'failed' ELSE 'processing' END AS status,
+       TIMESTAMP '2024-01-20 00:00:00' AS started_at,
+       CASE WHEN CAST(SUBSTRING(id, 5) AS INT) % 5 < 3 THEN CASE WHEN CAST(SUBSTRING(id, 5) AS INT) % 2 = 0 THEN TIMESTAMP '2024-02-04 00:00:00' ELSE TIMESTAMP '2024-01-20 01:00:00' END END AS completed_at,
+       CAST(3 AS BIGINT) AS pages_attempted, CAST(2 AS BIGINT) AS pages_succeeded, CAST(1 AS BIGINT) AS error_count
+FROM <<menu_competitors>>
+"""
 INPUTS["aliases"] = """
 SELECT 'small ring' AS raw_name_key, 'svc_a' AS service_catalog_id
 UNION ALL SELECT p_name AS raw_name_key, 'svc_b' AS service_catalog_id FROM <<part>> WHERE p_partkey % 40 = 11 GROUP BY p_name
@@ -226,6 +237,10 @@ SELECT page_id AS site_id, url AS final_url,
          || REGEXP_EXTRACT(url, '^([a-z]+://[^/?#]+)', 1) || '/treatments/' || CAST(page_id % 5 AS STRING) || '?fbclid=1&b=2</loc></url></urlset>' AS xml
 FROM <<pages>>
 """
+# Hosts below a plain suffix, below a wildcard with an exception, and below neither.
+INPUTS["zone_hosts"] = """
+SELECT page_id, 'a' || CAST(page_id % 5 AS STRING) || '.b' || CAST(page_id % 7 AS STRING) || '.zone' || CAST(page_id % 4 AS STRING) || '.test' AS host FROM <<pages>>
+"""
 INPUTS["finder"] = """
 SELECT 'shop' || CAST(k AS STRING) || '.example.org' AS domain, CASE WHEN k % 3 <> 0 THEN 'found' || CAST(k AS STRING) || '@example.org' END AS email,
        CASE k % 3 WHEN 0 THEN 'not_found' WHEN 1 THEN 'guessed' ELSE 'verified' END AS status

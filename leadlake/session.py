@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import os
+import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-_SPLIT_BYTES = 128 * 1024 * 1024
-
 # Safe on a laptop and on a cluster; shuffle partition counts are left to the deployment and to AQE.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -45,22 +43,24 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
     return spark
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder that spark.checkpoint.dir names; without one this fails."""
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in spark.checkpoint.dir. Only a session on one machine gets a temporary one of its own."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not context.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir is not set")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="leadlake-checkpoint-"))
+    return context.getCheckpointDir()
 
 
-def spread(df: DataFrame, path: str, key: str) -> DataFrame:
-    """Give CPU-heavy per-row work enough tasks when the input is one small local file, which Spark reads in one task.
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint(eager=True)
+
 
-    Folders and large files have splits of their own and pass through unchanged, so this adds no shuffle at scale.
-    """
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give CPU-heavy per-row work enough tasks where the input has fewer partitions than there are cores; larger inputs are not shuffled."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    small = os.path.isfile(path) and os.path.getsize(path) < cores * _SPLIT_BYTES
-    return df.repartition(cores, key) if small else df
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df

@@ -44,12 +44,15 @@ def sitemap_links(sitemaps: DataFrame, keep: list[str], xml: str = "xml") -> Dat
     return sitemaps.select(*keep, F.explode(F.regexp_extract_all(F.col(xml), F.lit(C.SITEMAP_LOC), F.lit(1))).alias("href"))
 
 
-def anchor_links(pages: DataFrame, keep: list[str]) -> DataFrame:
+def anchor_links(pages: DataFrame, keep: list[str], with_text: bool = True) -> DataFrame:
     """One row per anchor with an href, in document order: its text, and the words of price links in its label. Needs `parts`.
 
-    The outer explode keeps Spark from inferring a filter on the array, which would parse every page a second time.
+    Texts are cut on the page row, so no link carries its page. The outer explode keeps Spark from inferring a filter on the array, which would parse
+    every page a second time.
     """
-    exploded = pages.select(*keep, F.col("parts.pieces").alias("_pieces"), F.posexplode_outer("parts.anchors").alias("ord", "anchor"))
-    return exploded.where("anchor IS NOT NULL").select(
-        *keep, F.col("ord").cast("long").alias("ord"), "anchor.href", span_text(F.col("_pieces"), F.col("anchor")).alias("text"),
-        F.array_join("anchor.label_words", " ").alias("words"))
+    def cut(anchor: Column) -> Column:
+        text = [span_text(F.col("parts.pieces"), anchor).alias("text")] if with_text else []
+        return F.struct(anchor["href"].alias("href"), *text, F.array_join(anchor["label_words"], " ").alias("words"))
+
+    exploded = pages.select(*keep, F.posexplode_outer(F.transform("parts.anchors", cut)).alias("ord", "anchor")).where("anchor IS NOT NULL")
+    return exploded.select(*keep, F.col("ord").cast("long").alias("ord"), "anchor.*")

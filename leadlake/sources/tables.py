@@ -43,9 +43,18 @@ def events(rows: DataFrame, stage: str, level: Column | str, message: Column, as
                        message.alias("message"), as_of.cast("timestamp").alias("created_at")).where("message IS NOT NULL")
 
 
-def append_events(log: DataFrame, path: str) -> None:
-    schemas.conform(log, schemas.EVENTS).write.mode("append").partitionBy("stage").parquet(path)
+def replace_slice(df: DataFrame, path: str, column: str) -> None:
+    """Write the slices (values of `column`) that `df` holds and leave all others as they are, without reading any.
+
+    A slice is replaced when the job commits, so a rerun leaves one set of rows and a job that fails leaves the old one. Slices without a row are not touched.
+    """
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
+
+
+def append_events(log: DataFrame, path: str, run_id: str) -> None:
+    """Add the log of one run; a rerun of it takes the place of its earlier entries."""
+    replace_slice(schemas.conform(log, schemas.EVENTS).withColumn("run_id", F.lit(run_id)), path, "run_id")
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:
-    return read_snapshot(spark, path, schemas.EVENTS)
+    return read_snapshot(spark, path, T.StructType([*schemas.EVENTS.fields, T.StructField("run_id", T.StringType())]))

@@ -66,8 +66,9 @@ def test_lead_flow(spark, tmp_path):
     assert (said["p1", "enrich_booking"], said["p6", "enrich_social"]) == ("info", "info") and ("p1", "enrich_social") not in said
     assert log.where("stage = 'enrich_contact' AND place_id IS NULL").first().message == "Completed stage for 7 businesses"
     assert log.where("stage = 'hooks' AND place_id IS NOT NULL").count() == 7
-    tables.append_events(log, str(tmp_path / "log"))
-    tables.append_events(log.limit(1), str(tmp_path / "log"))
+    tables.append_events(log, str(tmp_path / "log"), "run 1")
+    tables.append_events(log, str(tmp_path / "log"), "run 1")  # a rerun leaves one set
+    tables.append_events(log.limit(1), str(tmp_path / "log"), "run 2")
     assert tables.read_events(spark, str(tmp_path / "log")).count() == log.count() + 1
     tables.write_snapshot(first, str(tmp_path / "snapshot"))
     assert tables.businesses(spark, str(tmp_path / "snapshot")).count() == 7
