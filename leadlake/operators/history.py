@@ -9,6 +9,7 @@ from leadlake.constants import MATERIAL_COLUMNS
 from leadlake.operators.merge import KEEP, OVERWRITE, merge
 from leadlake.operators.ordered import with_previous
 from leadlake.schemas import OFFERING_COLUMNS
+from leadlake.sources.buckets import BucketTable
 
 OFFERING_KEYS = ["competitor_id", "offering_key"]
 CRAWL_ORDER = ["observed_at", "run_id", "page_ord", "cand_ord"]
@@ -60,6 +61,11 @@ def change_events(current: DataFrame, published: DataFrame, slice_by: Column | N
     )
 
 
+def merge_stored_offerings(table: BucketTable, published: DataFrame, version: int) -> int:
+    """`merge_offerings` onto a stored version of current facts, of which only the buckets of the batch's competitors are read and written."""
+    return table.merge(published, merge_offerings, version)
+
+
 def merge_events(current: DataFrame, found: DataFrame) -> DataFrame:
     """Events by type and fingerprint: a repeated change takes the place of the earlier one.
 

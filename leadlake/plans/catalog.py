@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,9 +20,10 @@ from leadlake.operators.score import with_score
 from leadlake.plans import check_sql as Q
 from leadlake.plans import lead_flow, price_flow
 from leadlake.plans.inputs import load, sql_text
-from leadlake.session import cut_lineage, spread
+from leadlake.session import cut_lineage, shared_folder, spread
 from leadlake.sources import captures as captured
 from leadlake.sources import places
+from leadlake.sources.buckets import BucketTable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -929,6 +931,24 @@ def merge_offering(spark, d):
                          F.date_format("last_seen_at", "yyyy-MM-dd").alias("last_seen"))
 
 
+_BATCH_OF = "CAST(SUBSTRING(competitor_id, 5) AS INT) % 25 = 3"
+
+
+@query(f"""SELECT COALESCE(n.competitor_id, o.competitor_id) AS competitor_id, COALESCE(n.offering_key, o.offering_key) AS offering_key,
+    CASE WHEN n.competitor_id IS NULL THEN o.amount_min_minor ELSE n.amount_min_minor END AS amount_min_minor,
+    COALESCE(n.source_fingerprint, o.source_fingerprint) AS source_fingerprint,
+    STRFTIME(COALESCE(o.first_published_at, n.first_at), '%Y-%m-%d') AS first_published
+    FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY competitor_id, offering_key ORDER BY observed_at DESC, run_id DESC, page_ord DESC, cand_ord DESC) AS rn,
+                 MIN(observed_at) OVER (PARTITION BY competitor_id, offering_key) AS first_at FROM <<obs>> ob WHERE publication_status = 'published' AND {_BATCH_OF} QUALIFY rn = 1) n
+    FULL JOIN <<stored_offerings>> o ON o.competitor_id = n.competitor_id AND o.offering_key = n.offering_key""")
+def merge_offering_buckets(spark, d):
+    table = BucketTable(spark, f"{shared_folder(spark)}/offerings-{uuid.uuid4().hex}", schemas.OFFERINGS, ("competitor_id",), 64)
+    first = table.write(_stored(spark, d))
+    batch = cut_lineage(_published(spark, d).where(_BATCH_OF))
+    return table.read(history.merge_stored_offerings(table, batch, first)).select(
+        "competitor_id", "offering_key", "amount_min_minor", "source_fingerprint", F.date_format("first_published_at", "yyyy-MM-dd").alias("first_published"))
+
+
 @query(f"""SELECT source_fingerprint, competitor_id, 'pending' AS review_status, MIN_BY(review_reason, {_SEQ}) AS review_reason,
     MIN_BY(offering_key, {_SEQ}) AS offering_key, MAX_BY(evidence_page_id, {_SEQ}) AS evidence_page_id,
     STRFTIME(MIN(observed_at), '%Y-%m-%d') AS first_seen, STRFTIME(MAX(observed_at), '%Y-%m-%d') AS last_seen
