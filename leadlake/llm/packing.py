@@ -19,12 +19,15 @@ from leadlake.llm.common import checkpointed, text_of
 
 LENGTH = 2048
 END_ID = 0
-# Rounds of pricing, how fast a size's weight falls as it is covered ahead of the others, how far below the best price a configuration may lie, and the
-# share of a size's pieces that one configuration covers in a round.
-ROUNDS = 60
-RATE = 3.0
-NEAR_BEST = 0.01
-SHARE = 0.25
+# Rounds of pricing in a solve, how fast a size's weight rises as it lags behind the others, how far below the best price a configuration may lie, the share
+# of what a size still lacks that one configuration covers in a round, and the share of all pieces below which the rest is no longer solved for.
+ROUNDS = 40
+RATE = 1.0
+NEAR_BEST = 0.005
+SHARE = 0.5
+REST = 0.01
+# Below this share of a size's pieces it counts as covered.
+COVERED = 0.01
 # Rows of one length that are numbered in one task.
 ROWS_A_BUCKET = 50_000
 _CACHE_WORDS = 400_000
@@ -137,53 +140,71 @@ def best_fit(counts: dict[int, int], limit: int = LENGTH) -> list[tuple[dict[int
     return [group for groups in open_.values() for group in groups]
 
 
-def configurations(counts: dict[int, int], limit: int = LENGTH) -> list[tuple[dict[int, int], int]]:
-    """Configurations {size: times} with how often each is used, so that every piece is in exactly one.
+def fractions(counts: dict[int, int], limit: int = LENGTH) -> dict[tuple[tuple[int, int], ...], float]:
+    """How much of each configuration ((size, times), ...) covers the histogram with few sequences: the program without whole numbers.
 
-    The program asks for the fewest configurations that cover the histogram. Each round weighs the sizes, less the further they are covered ahead of the
-    mean, prices all configurations by the knapsack over these weights, and adds a fraction of those near the best price. The fractions are then scaled
-    to the histogram and rounded down; the rest is packed by best fit, and so is everything where that takes no more sequences. The work is bounded by
-    ROUNDS and `limit`, not by the number of pieces.
+    Each round weighs the sizes by what they still lack against the mean, prices all configurations by the knapsack over these weights, and adds to
+    those near the best price, one for each size, a share of what their scarcest size lacks. No size is covered beyond its count.
     """
-    if not counts:
-        return []
     sizes = np.array(sorted(counts))
-    asked = np.zeros(limit + 1)
-    asked[sizes] = [counts[s] for s in sizes.tolist()]
-    covered, weight = np.zeros(limit + 1), np.ones(limit + 1)
+    asked = np.array([counts[s] for s in sizes.tolist()], float)
+    place, lack = {s: i for i, s in enumerate(sizes.tolist())}, asked.copy()
     used: dict[tuple[tuple[int, int], ...], float] = {}
     for _ in range(ROUNDS):
-        worth = sizes * weight[sizes]
-        best, last = _price(sizes, worth, limit)
-        for size, value in zip(sizes.tolist(), worth.tolist()):
-            if value + best[limit - size] < (1 - NEAR_BEST) * best[limit]:
-                continue
+        live = lack > COVERED * asked
+        if not live.any():
+            break
+        mean = (lack * sizes).sum() / (asked * sizes).sum()
+        weight = np.exp(RATE * np.clip(lack / asked / mean - 1, -2, 2))
+        open_, worth = sizes[live], (sizes * weight)[live]
+        best, last = _price(open_, worth, limit)
+        near = np.flatnonzero(worth + best[limit - open_] >= (1 - NEAR_BEST) * best[limit])
+        for size in open_[near][::-1].tolist():
             inside, room = Counter({size: 1}), limit - size
             while room > 0:
                 if last[room]:
                     inside[int(last[room])] += 1
                 room -= int(last[room]) or 1
-            if all(n <= asked[s] for s, n in inside.items()):
-                step = SHARE * min(asked[s] / n for s, n in inside.items())
+            if all(n <= asked[place[s]] for s, n in inside.items()):
+                step = SHARE * min(lack[place[s]] / n for s, n in inside.items())
                 key = tuple(sorted(inside.items()))
                 used[key] = used.get(key, 0.0) + step
                 for s, n in inside.items():
-                    covered[s] += step * n / asked[s]
-        mean = (covered * asked * np.arange(limit + 1)).sum() / (asked * np.arange(limit + 1)).sum()
-        if mean > 0:
-            weight = np.exp(-RATE * (np.minimum(covered / mean, 3.0) - 1))
-
-    left, chosen = dict(counts), []
-    scale = max((covered * asked * np.arange(limit + 1)).sum() / (asked * np.arange(limit + 1)).sum(), 1e-9)
-    for inside, amount in sorted(used.items(), key=lambda u: (-u[1], u[0])):
-        often = min(int(amount / scale), *(left[s] // n for s, n in inside))
-        if often:
-            chosen.append((dict(inside), often))
-            for s, n in inside:
-                left[s] -= n * often
-    chosen += best_fit({s: n for s, n in left.items() if n}, limit)
-    plain = best_fit(counts, limit)
-    return min(chosen, plain, key=lambda groups: sum(often for _, often in groups))
+                    lack[place[s]] -= step * n
+    return used
+
+
+def programmed(counts: dict[int, int], limit: int = LENGTH) -> tuple[list[tuple[dict[int, int], int]], dict[int, int]]:
+    """(configurations with how often each is used, what is left of the histogram): at most REST of all pieces, or pieces too few for any
+    near-best configuration, as in tables of some dozens.
+
+    The fractions are rounded, the largest first and each to one at least, as far as pieces are left; the program is then solved anew for the rest.
+    """
+    left, chosen, enough = dict(counts), [], REST * sum(counts.values())
+    while sum(left.values()) > enough:
+        before = len(chosen)
+        for inside, amount in sorted(fractions(left, limit).items(), key=lambda u: (-u[1], u[0])):
+            often = min(max(1, int(amount + 0.5)), *(left.get(s, 0) // n for s, n in inside))
+            if often:
+                chosen.append((dict(inside), often))
+                for s, n in inside:
+                    left[s] -= n * often
+        left = {s: n for s, n in left.items() if n}
+        if len(chosen) == before:
+            break
+    return chosen, left
+
+
+def configurations(counts: dict[int, int], limit: int = LENGTH) -> list[tuple[dict[int, int], int]]:
+    """Configurations {size: times} with how often each is used, so that every piece is in exactly one: those of the program, and best fit for its small rest.
+
+    Each solve takes at most ROUNDS rounds over at most `limit` sizes and leaves a part of its pieces to the next, so the work grows with the logarithm of
+    their number.
+    """
+    if not counts:
+        return []
+    chosen, left = programmed(counts, limit)
+    return chosen + best_fit(left, limit)
 
 
 def plan_sequences(counts: dict[int, int], limit: int = LENGTH) -> Plan:
@@ -204,7 +225,8 @@ def pack(pieces: DataFrame) -> DataFrame:
     """`pieces` (with `doc_id`, `piece`, `start`, `length`) and each one's `sequence_id` and `offset`, gapless from 0 in every sequence.
 
     Pieces of one length are alike to the plan, so they are only numbered: by buckets of a hash, as many as the commonest length needs, and by running
-    sums over the buckets' counts. The histogram (at most LENGTH rows) goes to the driver, the plan to the tasks; both are bounded by LENGTH and ROUNDS.
+    sums over the buckets' counts. The histogram (at most LENGTH rows) goes to the driver, the plan to the tasks; both are bounded by LENGTH, ROUNDS and the
+    number of solves.
     """
     spark = pieces.sparkSession
     pieces = checkpointed(pieces)
@@ -236,4 +258,6 @@ def pack(pieces: DataFrame) -> DataFrame:
 
 
 def digest(docs: DataFrame, ranks_path: str | None = None) -> DataFrame:
+    """All pieces of `docs` with their places. Null and empty texts are a piece of one id; texts of any length are cut, never shortened; repeated rows and null ids
+    have pieces of their own; equal lengths are dealt by a hash of the piece; extra columns are not read; an empty table gives no row."""
     return pack(token_pieces(docs, ranks_path))
