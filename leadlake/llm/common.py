@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from leadlake.session import shared_folder  # also for the operators that store files
+
 SPAN = "struct<start:int,end:int,hit:string>"
 _BLOCK = 256
 
@@ -17,6 +18,14 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body).getItem(0)
 
 
+def free(name: str, docs: DataFrame) -> str:
+    """The name, or one like it that no column of `docs` has."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def text_of(docs: DataFrame) -> Column:
     """The text column; null reads as the empty text."""
     return F.coalesce(docs["text"].cast("string"), F.lit(""))
@@ -27,14 +36,6 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; one of our own only where none is set, as in tests."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="leadlake-checkpoint-"))
-    return context.getCheckpointDir()
-
-
 def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder."""
     shared_folder(df.sparkSession)

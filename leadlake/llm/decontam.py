@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leadlake.llm.common import checkpointed, let, text_of
+from leadlake.llm.common import checkpointed, free, let, text_of
 
 WINDOW_WORDS = 10
 # Hashes of GRAM_WORDS words; of every SPAN neighbouring ones the smallest is kept. GRAM_WORDS + SPAN - 1 = WINDOW_WORDS, so any shared window
@@ -96,6 +96,7 @@ def digest(docs: DataFrame, items: DataFrame) -> DataFrame:
 def without_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of `docs` with no hit. Columns stay as they are."""
     bad = find_hits(docs, items).where("contaminated").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    hashed = docs.withColumns({"_row_id": F.col("doc_id"), "_row_hash": F.xxhash64(text_of(docs))})
-    kept = hashed.join(bad, hashed["_row_id"].eqNullSafe(bad["_id"]) & (hashed["_row_hash"] == bad["_hash"]), "left_anti")
+    row_hash = free("_row_hash", docs)
+    hashed = docs.withColumn(row_hash, F.xxhash64(text_of(docs)))
+    kept = hashed.join(bad, hashed["doc_id"].eqNullSafe(bad["_id"]) & (hashed[row_hash] == bad["_hash"]), "left_anti")
     return kept.select(*docs.columns)

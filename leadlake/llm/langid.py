@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from leadlake.llm.common import held_out, text_of
+from leadlake.llm.common import free, held_out, text_of
 
 TOP = 300
 UNKNOWN = "und"
@@ -150,7 +150,8 @@ def predict(docs: DataFrame, profiles: dict[str, list[int]]) -> DataFrame:
 
     guess = F.pandas_udf(judged, schema)
     names = [c for c in docs.columns if c not in ("lang_pred", "score", "lang_distance")]
-    return docs.select(*names, guess(text_of(docs)).alias("_guess")).select(*names, "_guess.lang_pred", "_guess.score", "_guess.lang_distance")
+    at = free("_guess", docs)
+    return docs.select(*names, guess(text_of(docs)).alias(at)).select(*names, f"{at}.lang_pred", f"{at}.score", f"{at}.lang_distance")
 
 
 def digest(docs: DataFrame) -> DataFrame:

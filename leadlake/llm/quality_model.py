@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leadlake.llm.common import held_out, let, text_of
+from leadlake.llm.common import free, held_out, let, text_of
 
 # Labelled rows the rules are fitted on, at most: the first by a hash of the id.
 SAMPLE_ROWS = 20_000
@@ -170,7 +170,8 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
 
 def score_quality(docs: DataFrame, model: Model) -> DataFrame:
     """Every row of `docs` with `score`, 0 to 1. Null, empty and wordless texts are scored by their statistics, which are 0. Repeated rows score alike."""
-    return docs.withColumn("_s", statistics(text_of(docs))).withColumn("score", model.column(F.col("_s"))).drop("_s")
+    at = free("_s", docs)
+    return docs.withColumn(at, statistics(text_of(docs))).withColumn("score", model.column(F.col(at))).drop(at)
 
 
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:

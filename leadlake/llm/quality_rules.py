@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leadlake.llm.common import let, text_of
+from leadlake.llm.common import free, let, text_of
 
 SPACE = r"[ \t-\r]+"
 SYMBOLS = "[#*$%&|<>]"
@@ -117,15 +117,16 @@ def judge(docs: DataFrame) -> DataFrame:
 
         return F.array_min(F.transform(_references(), against))
 
-    counted = docs.withColumn("_c", text_counts(text_of(docs)))
-    c = F.col("_c")
+    counts_at, nearest_at = free("_c", docs), free("_d", docs)
+    counted = docs.withColumn(counts_at, text_counts(text_of(docs)))
+    c = F.col(counts_at)
     failed = (c["n_words"] < MIN_WORDS) | (100 * c["n_repeat_words"] > 50 * c["n_words"])
     named = counted.withColumns({
         **{n: c[n].cast("long") for n in ("n_words", "word_chars", "n_dup_lines", "n_repeat_words")}, "n_symbols": c["other"]["symbol"].cast("long"),
-        "base_failed": failed, "_d": F.when(~failed, let(c, nearest))})
-    d = F.col("_d")
+        "base_failed": failed, nearest_at: F.when(~failed, let(c, nearest))})
+    d = F.col(nearest_at)
     kept = F.coalesce((d["class_distance"] <= MAX_CLASS_DISTANCE) & (d["word_distance"] <= MAX_WORD_DISTANCE), F.lit(False))
-    return named.withColumns({"kept": kept, "class_distance": d["class_distance"], "word_distance": d["word_distance"]}).drop("_c", "_d")
+    return named.withColumns({"kept": kept, "class_distance": d["class_distance"], "word_distance": d["word_distance"]}).drop(counts_at, nearest_at)
 
 
 def digest(docs: DataFrame) -> DataFrame:

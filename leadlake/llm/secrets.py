@@ -9,7 +9,7 @@ from re import _parser
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leadlake.llm.common import guarded_spans, labelled, let, text_of, written
+from leadlake.llm.common import free, guarded_spans, labelled, let, text_of, written
 
 _MOST_FORMS = 64
 
@@ -111,7 +111,7 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     Rules with a trigram query run only on the candidates of the index; the others scan every text. One row out for each row in, also for
     repeated ids; a null id stands for one id of its own; null or empty text has no spans. Extra columns are kept.
     """
-    names = docs.columns
+    names, more = docs.columns, free("_more", docs)
     trigrams = sorted({t for r in rules for q in trigram_queries(r.pattern) for t in q})
     found = candidates(postings(docs.select("doc_id", "text"), trigrams), rules).withColumnRenamed("doc_id", "_id")
     joined = docs.join(found, docs["doc_id"].eqNullSafe(found["_id"]), "left")
@@ -122,11 +122,11 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         keep = None
         if r.least and not r.find:
             keep = lambda h, r=r, p=pattern: F.char_length(F.regexp_extract(h, p, r.group)) >= r.least
-        guard = F.array_contains("_rules", r.kind) if trigram_queries(r.pattern) else F.lit(True)
+        guard = F.array_contains(found["_rules"], r.kind) if trigram_queries(r.pattern) else F.lit(True)
         spans[r.kind] = labelled(guarded_spans(text, pattern, guard, keep), r.kind, i, F.lit(1.0))
     of = lambda base: F.concat(*(v for r, v in zip(rules, spans.values(), strict=True) if r.base == base), F.array().cast("array<struct<start:int,rank:int,end:int,kind:string,score:double>>"))
-    out = joined.select(*(docs[c] for c in names if c not in ("base_spans", "secret_spans")), F.array_sort(of(True)).alias("base_spans"), of(False).alias("_more"))
-    return out.withColumn("secret_spans", F.when(F.size("_more") > 0, F.array_sort(F.concat("base_spans", "_more"))).otherwise(F.col("base_spans"))).drop("_more")
+    out = joined.select(*(docs[c] for c in names if c not in ("base_spans", "secret_spans")), F.array_sort(of(True)).alias("base_spans"), of(False).alias(more))
+    return out.withColumn("secret_spans", F.when(F.size(more) > 0, F.array_sort(F.concat("base_spans", more))).otherwise(F.col("base_spans"))).drop(more)
 
 
 def digest(docs: DataFrame) -> DataFrame:
