@@ -58,11 +58,25 @@ def frontier(homepages: DataFrame, sitemaps: DataFrame | None = None, suffixes:
     return ranked.select("site_id", "page_ord", "url", "score")
 
 
-def politeness_plan(urls: DataFrame, seconds: int = 1) -> DataFrame:
+def politeness_plan(urls: DataFrame, seconds: int = 1, pace: DataFrame | None = None, not_before: int = 0) -> DataFrame:
     """Earliest second at which each URL may be fetched, `seconds` apart per host.
 
-    Order within a host is by digest, which spreads evenly; hosts are numbered slice by slice.
+    Order within a host is by digest, which spreads evenly; hosts are numbered slice by slice. `pace` (host, next_second) is what
+    `next_pace` kept of earlier batches: a host goes on where it stood, but not before the second `not_before`. Slots are
+    multiples of `seconds`, counted from the same zero in every batch.
     """
     hosted = urls.select("url", netloc(F.col("url")).alias("host"), F.md5("url").alias("_digest"))
-    placed = with_position(hosted, ["host"], ["_digest", "url"], F.substring("_digest", 1, 2), "_position")
-    return placed.select("host", "url", (F.col("_position") * seconds).alias("offset_seconds"))
+    first = -(-not_before // seconds)
+    starts = None
+    if pace is not None:
+        kept = pace.groupBy("host").agg(F.max("next_second").alias("next_second"))
+        starts = kept.select("host", F.greatest(F.ceil(F.col("next_second") / seconds).cast("long") - first, F.lit(0)).alias("start"))
+    placed = with_position(hosted, ["host"], ["_digest", "url"], F.substring("_digest", 1, 2), "_position", starts)
+    return placed.select("host", "url", ((F.col("_position") + first) * seconds).alias("offset_seconds"))
+
+
+def next_pace(plan: DataFrame, seconds: int = 1, pace: DataFrame | None = None) -> DataFrame:
+    """State after a batch: (host, next_second), one row per host seen in it or before. Store it and pass it to the next batch."""
+    ends = plan.select("host", (F.col("offset_seconds") + seconds).alias("next_second"))
+    both = ends if pace is None else ends.unionByName(pace.select("host", "next_second"))
+    return both.groupBy("host").agg(F.max("next_second").alias("next_second"))

@@ -45,12 +45,20 @@ def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], valu
     )
 
 
-def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_by: Column, alias: str = "position") -> DataFrame:
-    """Add the zero-based position of each row within `keys` in `order`, counted slice by slice. `slice_by` must not decrease along `order`."""
+def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_by: Column, alias: str = "position",
+                  starts: DataFrame | None = None) -> DataFrame:
+    """Add the position of each row within `keys` in `order`, counted slice by slice. `slice_by` must not decrease along `order`.
+
+    Positions begin at zero, or at the key's `start` in `starts` (keys, start; one row per key).
+    """
     sliced = df.withColumn("_slice", slice_by)
     sizes = sliced.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     bases = sizes.select(*keys, "_slice", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_base"))
+    if starts is not None:
+        # Starts meet the one row per slice, never the rows themselves.
+        bases = bases.join(starts.select(*keys, F.col("start").alias("_from")), list(keys), "left").select(
+            *keys, "_slice", (F.col("_base") + F.coalesce("_from", F.lit(0))).alias("_base"))
     # The base rides along as one extra leading row per slice, so the rows themselves are shuffled once.
     rows = sliced.withColumns({"_is_row": F.lit(1), "_base": F.lit(None).cast("long")})
     within = Window.partitionBy(*keys, "_slice").orderBy("_is_row", *order)

@@ -13,7 +13,7 @@ from leadlake import schemas
 from leadlake.functions import text as T
 from leadlake.functions import urls as U
 from leadlake.functions.prices import minor_units, parse_rows
-from leadlake.operators import contact, frontier, history, hooks, markets, offers, publish, queue, robots, runs, signals, site
+from leadlake.operators import contact, frontier, history, hooks, markets, offers, publish, queue, robots, runs, signals, signatures, site
 from leadlake.operators.merge import update_columns
 from leadlake.operators.ordered import keep_first
 from leadlake.operators.score import with_score
@@ -168,6 +168,14 @@ def booking_signatures(spark, d):
         "page_id", signals.booking_signature_from(F.col("text"), pairs).alias("platform"))
 
 
+@query("""SELECT p_partkey, ARG_MIN(platform, (COALESCE(priority, 0), signature, platform)) AS platform,
+           ARG_MIN(signature, (COALESCE(priority, 0), signature, platform)) AS signature FROM (
+           SELECT m.p_partkey, s.platform, s.signature, s.priority FROM <<menu_pages>> m LEFT JOIN <<signatures>> s
+           ON CONTAINS(LOWER(m.html), s.signature)) x GROUP BY p_partkey""")
+def signature_table(spark, d):
+    return signatures.first_signatures(load(spark, d, "menu_pages"), ["p_partkey"], F.lower("html"), load(spark, d, "signatures"))
+
+
 @query(f"SELECT page_id, page_instagram, page_facebook FROM {Q.page_facts('<<captures>>')} f")
 def social_links(spark, d):
     return signals.page_signals(page_facts(spark, d), ["page_id"]).select("page_id", "page_instagram", "page_facebook")
@@ -325,6 +333,16 @@ def politeness_plan(spark, d):
     return frontier.politeness_plan(load(spark, d, "pages").select(U.canonical_url(F.col("url")).alias("url")))
 
 
+@query(f"""SELECT batch, host, url, CAST(ROW_NUMBER() OVER (PARTITION BY host ORDER BY batch, MD5(url), url) - 1 AS BIGINT) * 2 AS offset_seconds
+    FROM (SELECT batch, {Q.canonical('url')} || tail AS url, {Q.host('url')} AS host FROM (
+          SELECT 1 AS batch, url, '' AS tail FROM <<pages>> a UNION ALL SELECT 2, url, '/prices' FROM <<pages>> b) p) u""")
+def politeness_batches(spark, d):
+    first, second = (load(spark, d, "pages").select(F.concat(U.canonical_url(F.col("url")), F.lit(tail)).alias("url")) for tail in ("", "/prices"))
+    plan = frontier.politeness_plan(first, 2)
+    later = frontier.politeness_plan(second, 2, frontier.next_pace(plan, 2))
+    return plan.select(F.lit(1).alias("batch"), "*").unionByName(later.select(F.lit(2).alias("batch"), "*"))
+
+
 @query(f"""SELECT site_id, UNNEST(REGEXP_EXTRACT_ALL(xml, {Q.quoted(C.SITEMAP_LOC)}, 1)) AS href FROM <<sitemaps>> m""")
 def sitemap_links(spark, d):
     return captured.sitemap_links(load(spark, d, "sitemaps"), ["site_id"])

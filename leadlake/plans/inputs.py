@@ -122,6 +122,13 @@ SELECT p_partkey, competitor_id, run_id, page_ord, business_name, final_url AS u
 FROM <<menu>>
 """
 
+# One signature per part, as its menu page may show it; cut ones are beginnings of others, so that several match one page.
+INPUTS["signatures"] = """
+SELECT 'platform_' || CAST(p_partkey AS STRING) AS platform, LOWER(p_name || ' - $' || LEFT(price, LENGTH(price) - p_partkey % 4)) AS signature,
+       CAST(p_partkey % 7 AS BIGINT) AS priority
+FROM (SELECT p_partkey, p_name, CAST(CAST(p_retailprice AS DECIMAL(10, 2)) AS STRING) AS price FROM <<part>>) p
+"""
+
 # Pages of very little or of enough text, some of them application shells.
 INPUTS["shells"] = """
 SELECT p_partkey, row_text, final_url,

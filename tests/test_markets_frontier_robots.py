@@ -92,6 +92,23 @@ def test_politeness_plan_with_a_hot_host(spark):
     assert all(o == 0 for h, o in sliced.values() if not h.startswith("hot"))
 
 
+def test_pace_goes_on_across_batches(spark):
+    def offsets(urls, seconds, pace=None, not_before=0):
+        plan = frontier.politeness_plan(spark.createDataFrame([(u,) for u in urls], "url string"), seconds, pace, not_before)
+        return plan, {r.url: r.offset_seconds for r in plan.collect()}
+
+    hot = [f"https://hot.example.com/{i}" for i in range(50)]
+    plan, first = offsets([*hot, "https://a.example.com/"], 2)
+    pace = frontier.next_pace(plan, 2)
+    assert {r.host: r.next_second for r in pace.collect()} == {"hot.example.com": 100, "a.example.com": 2}
+    plan, second = offsets([f"{u}/x" for u in hot] + ["https://b.example.com/"], 2, pace)
+    assert sorted([*first.values(), *second.values()]) == sorted([*range(0, 200, 2), 0, 0])
+    kept = {r.host: r.next_second for r in frontier.next_pace(plan, 2, pace).collect()}
+    assert kept == {"hot.example.com": 200, "a.example.com": 2, "b.example.com": 2}
+    _, third = offsets(["https://hot.example.com/y", "https://a.example.com/y", "https://c.example.com/"], 3, pace, 31)
+    assert third == {"https://hot.example.com/y": 102, "https://a.example.com/y": 33, "https://c.example.com/": 33}
+
+
 def test_robots(spark):
     urls = spark.createDataFrame([(f"https://a.example.com/private/{i}",) for i in range(30)] + [("https://a.example.com/open",), ("https://b.example.com/x",),
                                   ("https://c.example.com/x",), ("https://d.example.com/x",)], "url string")
