@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leadlake.session import shared_folder  # also for the operators that store files
@@ -36,6 +36,25 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, most_bytes: int) -> DataFrame:
+    """(text, label): at most `rows` labelled rows that are not held out, the first by a hash of the id, with texts of at most `most_bytes` together.
+
+    Rows without a label are left out; rows repeated in either table count once. A text that alone takes more than a hundredth of `most_bytes` is not
+    learned from, so no text can use up the bound. Texts are fetched last, for the rows chosen by small ones.
+    """
+    known = labels.where(F.col(label).isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", F.col(label).cast("int").alias(label)).distinct()
+    first = known.orderBy(F.xxhash64("doc_id"), "doc_id", label).limit(rows)
+    near = docs.select("doc_id", text_of(docs).alias("text")).join(F.broadcast(first), "doc_id").withColumns(
+        {"_hash": F.xxhash64("text"), "_size": F.octet_length("text").cast("long")})
+    keys = ["doc_id", label, "_hash"]
+    order = [F.xxhash64("doc_id"), *map(F.col, keys)]
+    small = near.where(F.col("_size") <= most_bytes // 100).select(*keys, "_size").distinct().orderBy(*order).limit(rows)
+    # The running size has no partition, but at most `rows` small rows.
+    so_far = F.sum("_size").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    chosen = small.withColumn("_sum", so_far).where(F.col("_sum") <= most_bytes).select(*keys)
+    return near.join(F.broadcast(chosen), keys).groupBy(*keys).agg(F.first("text").alias("text")).orderBy(*order).select("text", label)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder."""
     shared_folder(df.sparkSession)

@@ -40,15 +40,22 @@ def _anchor(words: Column) -> Column:
     return F.array_max(F.transform(words, lambda w: F.struct(F.char_length(w).alias("size"), w.alias("word"))))["word"]
 
 
-def item_tables(items: DataFrame) -> tuple[DataFrame, DataFrame, bool]:
-    """({run, n, item_id}, {mark, n}, whether short items exist): the windows to find, and the marks a document must hold to be a candidate."""
+def item_tables(items: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, bool]:
+    """({run, n, owners}, {owners, item}, {mark, n}, whether short items exist): the windows to find, the items that share a set of owners, and the
+    marks a document must hold to be a candidate.
+
+    Neighbouring windows mostly have the same owners. A hit carries the digest of its set alone, so a window of many items is not multiplied by them.
+    """
     cut = checkpointed(items.select("item_id", words_of(text_of(items)).alias("words")).where(F.size("words") > 0))
     n = F.least(F.lit(WINDOW_WORDS), F.size("words"))
-    runs = cut.select("item_id", F.explode(windows(F.col("words"), n)).alias("w")).select("w.run", "w.n", "item_id").distinct()
+    runs = cut.select("item_id", F.explode(windows(F.col("words"), n)).alias("w")).groupBy("w.run", "w.n").agg(
+        F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
+    runs = checkpointed(runs.withColumn("owners", F.sha2(F.to_json("items"), 256)))
+    owners = runs.groupBy("owners").agg(F.first("items").alias("items")).select("owners", F.explode("items").alias("item"))
     long_marks = cut.select(F.explode(fingerprints(F.col("words"))).alias("mark"), F.lit(WINDOW_WORDS).alias("n"))
     short = cut.where(F.size("words") < WINDOW_WORDS)
     short_marks = short.select(F.xxhash64(_anchor(F.col("words"))).alias("mark"), F.size("words").alias("n"))
-    return runs, long_marks.unionByName(short_marks).distinct(), not short.isEmpty()
+    return runs.select("run", "n", "owners"), owners, long_marks.unionByName(short_marks).distinct(), not short.isEmpty()
 
 
 def find_hits(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -57,7 +64,7 @@ def find_hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     Null, empty and wordless texts have no words and no hits. Rows are told apart by id and text, so repeated rows keep a result each. Items without
     words match nothing; items without an id make hits but are not counted or listed; repeated items count once by id. Without items nothing hits.
     """
-    runs, marks, shorts = item_tables(items)
+    runs, owners, marks, shorts = item_tables(items)
     base = docs.select("doc_id", text_of(docs).alias("text")).withColumn("text_hash", F.xxhash64("text"))
 
     def scanned(words: Column) -> Column:
@@ -80,7 +87,11 @@ def find_hits(docs: DataFrame, items: DataFrame) -> DataFrame:
         grow = lambda a, p: F.struct((a["n"] + F.greatest(F.lit(0), p["at"] + p["n"] - F.greatest(a["end"], p["at"]))).alias("n"), F.greatest(a["end"], p["at"] + p["n"]).alias("end"))
         return F.aggregate(places, start, grow, lambda a: a["n"]).cast("long")
 
-    hits = found.groupBy("_id", "_hash").agg(covered(F.sort_array(F.collect_set(F.struct("at", "n")))).alias("n_hit"), F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
+    placed = checkpointed(found.groupBy("_id", "_hash").agg(covered(F.sort_array(F.collect_set(F.struct("at", "n")))).alias("n_hit"), F.collect_set("owners").alias("sets")))
+    listed = placed.select("_id", "_hash", F.explode("sets").alias("owners")).join(owners, "owners").groupBy("_id", "_hash").agg(F.sort_array(F.collect_set("item")).alias("items"))
+    listed = listed.withColumnsRenamed({"_id": "_of_id", "_hash": "_of_hash"})
+    own = placed["_id"].eqNullSafe(listed["_of_id"]) & (placed["_hash"] == listed["_of_hash"])
+    hits = placed.join(listed, own, "left").select("_id", "_hash", "n_hit", "items")
     joined = scan.join(hits, same(scan, hits), "left")
     none = F.array().cast("array<string>")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))

@@ -8,10 +8,12 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leadlake.llm.common import free, held_out, let, text_of
+from leadlake.llm.common import free, held_out, labelled_sample, let, text_of
 
 # Labelled rows the rules are fitted on, at most: the first by a hash of the id.
 SAMPLE_ROWS = 20_000
+# Bytes of their texts, at most; see `labelled_sample`.
+SAMPLE_BYTES = 128 * 1024 * 1024
 TREES, DEPTH, MIN_LEAF, ROWS_A_TREE, CUTS = 60, 3, 10, 0.5, 24
 PENALTY, STEPS = 0.002, 800
 SEED = 7
@@ -152,10 +154,8 @@ class Model:
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Model:
-    """Rules and weights from at most SAMPLE_ROWS labelled rows that are not held out. Without such rows there are no rules and every score is 0.5."""
-    known = labels.where(F.col("quality").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", F.col("quality").cast("int"))
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(SAMPLE_ROWS)
-    sample = docs.select("doc_id", text_of(docs).alias("text")).join(F.broadcast(chosen), "doc_id")  # at most SAMPLE_ROWS small rows
+    """Rules and weights from at most SAMPLE_ROWS labelled rows that are not held out, with SAMPLE_BYTES of text. Without such rows there are no rules and every score is 0.5."""
+    sample = labelled_sample(docs, labels, "quality", SAMPLE_ROWS, SAMPLE_BYTES)
     rows = sample.select("quality", statistics(F.col("text")).alias("s")).select("quality", "s.*").toPandas()
     if not len(rows):
         return Model(0.0, [])

@@ -12,10 +12,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leadlake.llm.common import held_out, text_of
+from leadlake.llm.common import held_out, labelled_sample, text_of
 
 # Labelled rows that voters and models are fitted on, at most: the first by a hash of the id.
 SAMPLE_ROWS = 12_000
+# Bytes of their texts, at most; see `labelled_sample`.
+SAMPLE_BYTES = 128 * 1024 * 1024
 # Words that speak for toxicity before any label is seen.
 LEXICON = ("idiot", "moron", "stupid", "loser", "pathetic", "scum", "worthless", "trash", "clown", "disgusting", "idiota", "estúpido", "imbécil", "dumm", "dummkopf",
            "trottel", "crétin", "imbécile", "débile", "hate", "kill", "shut up", "filth", "vermin")
@@ -125,13 +127,11 @@ class Model:
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Model:
-    """Voters and weights from at most SAMPLE_ROWS labelled rows that are not held out; rows without a label are not learned from.
+    """Voters and weights from a sample of labelled rows that are not held out, at most SAMPLE_ROWS rows and SAMPLE_BYTES of text.
 
     Without labelled rows the lexicon alone votes and every score is that of the prior weights, 0.5 at most.
     """
-    known = labels.where(F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", F.col("toxic").cast("int"))
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(SAMPLE_ROWS)
-    rows = docs.select("doc_id", text_of(docs).alias("text")).join(F.broadcast(chosen), "doc_id").select("text", "toxic").toPandas()  # at most SAMPLE_ROWS small rows
+    rows = labelled_sample(docs, labels, "toxic", SAMPLE_ROWS, SAMPLE_BYTES).toPandas()  # bounded in rows and bytes
     toxic = rows["toxic"].to_numpy(int)
     voters = find_voters(list(rows["text"]), toxic)
     if not len(rows):
