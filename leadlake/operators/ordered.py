@@ -3,7 +3,8 @@
 First, last and top-k per key need no care: `row_number() <= k` is cut per task before the shuffle (WindowGroupLimit).
 Previous-value and running-number operators must see every row of a key. The rows of each key are therefore split into slices
 that follow the order, each slice is one window group, and the slices are tied together by one small row per slice. That is one
-plan for every key and size: rows are shuffled once, slice ends twice, and no key has to be counted first.
+plan for every key and size: rows are shuffled once, slice ends twice. Slice ends of previous values are as wide as the rows, and
+where keys are short nearly every row is one; so there only keys in crowded buckets are sliced, and buckets are counted first.
 """
 
 from __future__ import annotations
@@ -22,27 +23,44 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column], limi
     return ranked.withColumnRenamed("_rank", rank_as) if rank_as else ranked.drop("_rank")
 
 
+KEY_BUCKETS = 4_096
+HOT_ROWS = 100_000
+
+
+def _bucket(keys: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(KEY_BUCKETS))
+
+
+def _hot_buckets(df: DataFrame, keys: Sequence[str], hot_rows: int) -> list[int]:
+    """Buckets that may hold a key of very many rows: over `hot_rows` rows in them, and four times the mean of all buckets.
+
+    Buckets are counted, not keys, so the count is cut per task to one row per bucket, and at most KEY_BUCKETS numbers come back.
+    """
+    sizes = df.groupBy(_bucket(keys).alias("_bucket")).agg(F.count(F.lit(1)).alias("_rows"))
+    limit = F.greatest(F.lit(hot_rows), F.sum("_rows").over(Window.partitionBy(F.lit(1))) * 4 / KEY_BUCKETS)
+    return [row[0] for row in sizes.withColumn("_limit", limit).where("_rows > _limit").select("_bucket").collect()]
+
+
 def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str], slice_by: Column,
-                  alias: str = "previous") -> DataFrame:
+                  alias: str = "previous", hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add a struct of `values` from the row before in `order` within `keys`; NULL struct for the first row.
 
-    `slice_by` must not decrease along `order`. `order` must be unique within `keys`.
+    `slice_by` must not decrease along `order`. `order` must be unique within `keys`. Runs one job that counts rows: only keys in
+    hot buckets (see `_hot_buckets`) are sliced, and which ones are changes no result. Pass a stored frame if `df` is costly.
     """
-    sliced = df.withColumn("_slice", slice_by)
-    value = F.struct(*values)
-    # Last value of each slice, handed to the next slice that has rows.
-    ends = sliced.groupBy(*keys, "_slice").agg(F.max_by(value, F.struct(*order)).alias("_carry"))
-    by_slice = Window.partitionBy(*keys).orderBy("_slice")
-    following = F.lead(F.struct("_slice")).over(by_slice)
-    carried = ends.withColumn("_next", following).where(F.col("_next").isNotNull())
-    rows = sliced.select("*", value.alias("_carry"), F.lit(1).alias("_is_row"))
-    carried = carried.select(*keys, F.col("_next._slice").alias("_slice"), "_carry", F.lit(0).alias("_is_row"))
+    hot = _hot_buckets(df, keys, hot_rows)
+    is_hot = _bucket(keys).isin(hot) if hot else F.lit(False)
+    rows = df.withColumns({"_slice": F.when(is_hot, slice_by), "_is_row": F.lit(1)})
+    if hot:
+        # Last value of each slice, handed to the next slice that has rows, as a row before its first one.
+        ends = df.where(is_hot).withColumn("_slice", slice_by).groupBy(*keys, "_slice").agg(
+            F.max_by(F.struct(*values), F.struct(*order)).alias("_carry"))
+        following = F.lead(F.struct("_slice")).over(Window.partitionBy(*keys).orderBy("_slice"))
+        carried = ends.withColumn("_next", following).where(F.col("_next").isNotNull()).select(
+            *keys, F.col("_next._slice").alias("_slice"), "_carry.*", F.lit(0).alias("_is_row"))
+        rows = rows.unionByName(carried, allowMissingColumns=True)
     within = Window.partitionBy(*keys, "_slice").orderBy("_is_row", *order)
-    return (
-        rows.unionByName(carried, allowMissingColumns=True)
-        .withColumn(alias, F.lag("_carry").over(within))
-        .where(F.col("_is_row") == 1).drop("_slice", "_carry", "_is_row")
-    )
+    return rows.withColumn(alias, F.lag(F.struct(*values)).over(within)).where(F.col("_is_row") == 1).drop("_slice", "_is_row")
 
 
 def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_by: Column, alias: str = "position",

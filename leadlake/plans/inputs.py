@@ -254,6 +254,10 @@ SELECT 'shop' || CAST(k AS STRING) || '.example.org' AS domain, CASE WHEN k % 3
 FROM (SELECT DISTINCT c_custkey % 90 AS k FROM <<customer>>) c
 """
 
+# Tables whose rows are dealt by the key on which an input joins them, so that the grouping by more keys before it needs no shuffle of its own.
+DEALT = {"obs": {"lineitem": "l_orderkey"}}
+
+
 def sql_text(text: str, names=lambda name: name) -> str:
     """Expand inputs to subqueries and base tables to names; plain SQL for another engine."""
     def expand(match: re.Match) -> str:
@@ -269,6 +273,7 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     spark_text = INPUTS[name]
     needed = {n: load(spark, sf_dir, n) for n in dict.fromkeys(re.findall(r"<<(\w+)>>", spark_text))}
+    needed |= {n: needed[n].repartition(key) for n, key in DEALT.get(name, {}).items()}
     # Braces are the placeholder syntax of spark.sql, so literal ones are doubled.
     spark_text = spark_text.replace("{", "{{").replace("}", "}}")
     spark_text = re.sub(r"<<(\w+)>>", r"{\1}", spark_text)
