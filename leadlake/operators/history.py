@@ -71,5 +71,8 @@ def merge_events(current: DataFrame, found: DataFrame) -> DataFrame:
 
     `change_events` itself is the full log, in which both stay.
     """
-    rules = dict.fromkeys(["competitor_id", "offering_id", "event_type", "occurred_at", "detail"], OVERWRITE)
-    return merge(current, found, ["source_fingerprint"], rules, ["occurred_at", "run_id", "page_ord", "cand_ord"])
+    rules = dict.fromkeys(["competitor_id", "event_type", "occurred_at", "detail"], OVERWRITE)
+    order = ["occurred_at", "run_id", "page_ord", "cand_ord"]
+    # Ids are long and do not compress: they are made again from their columns instead of being shuffled.
+    ids = {"offering_id": F.sha2(F.concat_ws("|", "competitor_id", "detail.offering_key"), 256)}
+    return merge(current, found, ["source_fingerprint"], rules, order, derived=ids)

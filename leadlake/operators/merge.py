@@ -43,7 +43,8 @@ def reduce_batch(updates: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 
 def merge(current: DataFrame, updates: DataFrame, keys: Sequence[str], rules: Mapping[str, str],
-          order: Sequence[str] | None = None, defaults: Mapping[str, Column] | None = None) -> DataFrame:
+          order: Sequence[str] | None = None, defaults: Mapping[str, Column] | None = None,
+          derived: Mapping[str, Column] | None = None) -> DataFrame:
     """Upsert `updates` into `current`.
 
     `rules` names the columns the batch may set; every other stored column is kept. Give `order` unless the batch already
@@ -52,6 +53,8 @@ def merge(current: DataFrame, updates: DataFrame, keys: Sequence[str], rules: Ma
     defaults = dict(defaults or {})
     known = updates.where(~F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False)))
     batch = reduce_batch(known, keys, order, rules) if order else known.select(*keys, *rules)
+    if derived:
+        batch, rules = batch.withColumns(dict(derived)), {**rules, **dict.fromkeys(derived, OVERWRITE)}
     old = current.alias("old").withColumn("_stored", F.lit(True))
     new = batch.alias("new").withColumn("_sent", F.lit(True))
     joined = old.join(new, [F.col(f"old.{k}") == F.col(f"new.{k}") for k in keys], "full_outer")

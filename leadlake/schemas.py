@@ -89,7 +89,9 @@ DETAILS_PAYLOAD = _struct("place_id string, status string",
 
 
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
+    """A table without rows, in a form in which Spark knows it, so that a merge into it needs no join and its result stays dealt by key."""
+    columns = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in schema.fields)
+    return spark.sql(f"SELECT {columns} FROM VALUES (0) LIMIT 0")
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -30,6 +30,16 @@ def test_previous_value_is_exact_whichever_keys_are_sliced(spark):
         assert ("_slice" in plan_of(got) and plan_of(got).count("Exchange hashpartitioning") > 1) == (hot_rows < 600)
 
 
+def test_a_first_batch_of_events_needs_no_join_and_shuffles_no_id(spark):
+    log = history.change_events(schemas.empty(spark, schemas.OFFERINGS), frame(spark, observations(60, seed=2)))
+    merged = history.merge_events(schemas.empty(spark, schemas.PRICE_EVENTS), log)
+    plan = plan_of(merged)
+    assert "Join" not in plan and "offering_id" not in plan[plan.index("Exchange"):]
+    last = {r.source_fingerprint: r for r in sorted(log.collect(), key=lambda r: (r.occurred_at, r.run_id, r.page_ord, r.cand_ord))}
+    assert {r.source_fingerprint: (r.offering_id, r.event_type, r.detail) for r in merged.collect()} == {
+        k: (r.offering_id, r.event_type, r.detail) for k, r in last.items()}
+
+
 def test_observations_shuffle_lines_once(spark):
     plan = plan_of(load(spark, "/root/testdata/sf0.001", "obs").hint("merge"))
     assert sum("l_orderkey" in line for line in plan.splitlines() if "Exchange" in line) == 1
