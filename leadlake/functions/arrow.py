@@ -18,6 +18,12 @@ def arrow_function(return_type: T.DataType) -> Callable:
     return lambda function: F.arrow_udf(function, return_type).asNondeterministic()
 
 
+CHUNK_ROWS = 64
+
+
 def map_values(kind: pa.DataType, convert: Callable, *columns: pa.Array) -> pa.Array:
-    """Apply a small helper value by value, one value in memory at a time."""
-    return pa.array([convert(*[value.as_py() for value in row]) for row in zip(*columns)], kind)
+    """Apply a small helper value by value. Results are Arrow data after every CHUNK_ROWS, so few are held as Python objects, which take many times the room."""
+    chunks = [pa.array([], kind)]
+    for at in range(0, len(columns[0]), CHUNK_ROWS):
+        chunks.append(pa.array([convert(*[value.as_py() for value in row]) for row in zip(*[c.slice(at, CHUNK_ROWS) for c in columns])], kind))
+    return pa.concat_arrays(chunks)
