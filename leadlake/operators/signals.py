@@ -81,6 +81,12 @@ def with_booking(pages: DataFrame, ignore_social_hosts: bool = False) -> DataFra
     }).drop("_page_hit", "_link", "_control")
 
 
+def may_link_socially(html: Column) -> Column:
+    """False for pages that can hold no link to a social host: its name is not in them, nor a reference that may hide a letter or dot of it."""
+    named = contains_any(F.lower(html), ["instagram.com", "facebook.co"])
+    return named | F.contains(html, F.lit("&#")) | F.contains(html, F.lit("&period"))
+
+
 def with_social_links(pages: DataFrame) -> DataFrame:
     """Add page_instagram and page_facebook: the first link of each kind; share buttons do not count. Needs `parts`."""
     numbered = F.transform("parts.anchors", lambda a, i: F.struct(a.href.alias("href"), F.lower(a.href).alias("lower"), i.alias("ord")))

@@ -178,7 +178,9 @@ def signature_table(spark, d):
 
 @query(f"SELECT page_id, page_instagram, page_facebook FROM {Q.page_facts('<<captures>>')} f")
 def social_links(spark, d):
-    return signals.page_signals(page_facts(spark, d), ["page_id"]).select("page_id", "page_instagram", "page_facebook")
+    # Only pages that may hold such a link are parsed; the others have a row without links.
+    pages = spread_load(spark, d, "captures").withColumn("_read", F.when(signals.may_link_socially(F.col("html")), F.col("html")))
+    return signals.with_social_links(captured.with_page_parts(pages, "_read")).select("page_id", "page_instagram", "page_facebook")
 
 
 @query(f"""SELECT page_id, CASE WHEN CONTAINS(page_instagram, 'instagram.com/') THEN
