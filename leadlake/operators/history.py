@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,11 +22,17 @@ def offering_id() -> Column:
     return F.sha2(F.concat_ws("|", *OFFERING_KEYS), 256)
 
 
-def merge_offerings(current: DataFrame, published: DataFrame) -> DataFrame:
-    """One current fact per (competitor, offering): the last observation wins, the first publication time stays."""
+def merge_offerings(current: DataFrame, published: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """One current fact per (competitor, offering): the last observation wins, the first publication time stays.
+
+    `columns` names the facts that the caller reads, if not all: the merge handles rows as wholes, which hides from Spark what is read of them.
+    """
+    facts = [c for c in OFFERING_COLUMNS if c in OFFERING_KEYS or columns is None or c in columns]
     batch = published.withColumns({"first_published_at": F.col("observed_at"), "updated_at": F.col("observed_at")})
-    rules = {c: OVERWRITE for c in OFFERING_COLUMNS if c not in OFFERING_KEYS}
+    rules = {c: OVERWRITE for c in facts if c not in OFFERING_KEYS}
     rules |= {"first_published_at": KEEP, "updated_at": OVERWRITE}
+    if columns is not None:
+        current = current.select("id", *facts, "first_published_at", "updated_at")
     return merge(current, batch, OFFERING_KEYS, rules, CRAWL_ORDER).withColumn("id", F.coalesce("id", offering_id()))
 
 

@@ -945,7 +945,8 @@ def _stored(spark, d):
                  MIN(observed_at) OVER (PARTITION BY competitor_id, offering_key) AS first_at FROM <<obs>> ob WHERE publication_status = 'published' QUALIFY rn = 1) n
     FULL JOIN <<stored_offerings>> o ON o.competitor_id = n.competitor_id AND o.offering_key = n.offering_key""")
 def merge_offering(spark, d):
-    merged = history.merge_offerings(_stored(spark, d), _published(spark, d))
+    read = ["amount_min_minor", "offering_type", "source_fingerprint", "last_seen_at"]
+    merged = history.merge_offerings(_stored(spark, d), _published(spark, d), read)
     return merged.select("competitor_id", "offering_key", "amount_min_minor", "offering_type", "source_fingerprint",
                          F.date_format("first_published_at", "yyyy-MM-dd").alias("first_published"),
                          F.date_format("last_seen_at", "yyyy-MM-dd").alias("last_seen"))

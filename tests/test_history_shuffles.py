@@ -43,3 +43,11 @@ def test_a_first_batch_of_events_needs_no_join_and_shuffles_no_id(spark):
 def test_observations_shuffle_lines_once(spark):
     plan = plan_of(load(spark, "/root/testdata/sf0.001", "obs").hint("merge"))
     assert sum("l_orderkey" in line for line in plan.splitlines() if "Exchange" in line) == 1
+
+
+def test_a_merge_of_few_facts_carries_no_others(spark):
+    stored, published = schemas.empty(spark, schemas.OFFERINGS), frame(spark, observations(60, seed=4))
+    read = ["competitor_id", "offering_key", "amount_min_minor", "first_published_at", "last_seen_at"]
+    some = history.merge_offerings(stored, published, read).select(read)
+    assert "evidence_text" not in plan_of(some)[plan_of(some).index("Exchange"):].split("Scan")[0]
+    assert sorted(some.collect(), key=str) == sorted(history.merge_offerings(stored, published).select(read).collect(), key=str)
