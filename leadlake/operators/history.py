@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from leadlake.constants import MATERIAL_COLUMNS
 from leadlake.operators.merge import KEEP, OVERWRITE, merge
 from leadlake.operators.ordered import with_previous
-from leadlake.schemas import OFFERING_COLUMNS
+from leadlake.schemas import EVENT_DETAIL, OFFERING_COLUMNS
 from leadlake.sources.buckets import BucketTable
 
 OFFERING_KEYS = ["competitor_id", "offering_key"]
 CRAWL_ORDER = ["observed_at", "run_id", "page_ord", "cand_ord"]
+EVENT_ORDER = ["occurred_at", "run_id", "page_ord", "cand_ord"]
 
 
 def offering_id() -> Column:
@@ -74,13 +75,31 @@ def merge_stored_offerings(table: BucketTable, published: DataFrame, version: in
     return table.merge(published, merge_offerings, version)
 
 
-def merge_events(current: DataFrame, found: DataFrame) -> DataFrame:
+def _with_details(events: DataFrame, details: Sequence[str] | None) -> DataFrame:
+    """Events with only those fields of `detail`, and the one of which ids are made. Rows are merged as wholes, which hides from Spark what is read of them."""
+    if details is None:
+        return events
+    kept = [name for name in EVENT_DETAIL.fieldNames() if name in details or name == "offering_key"]
+    fields = F.struct(*[F.col(f"detail.{name}").alias(name) for name in kept])
+    return events.withColumn("detail", F.when(F.col("detail").isNotNull(), fields))
+
+
+def last_events(found: DataFrame, details: Sequence[str] | None = None) -> DataFrame:
+    """The events of a log that a merge keeps: the last per type and fingerprint, dealt by it.
+
+    For a log that several merges read: they need no shuffle after this one. `details` as in `merge_events`.
+    """
+    facts = F.struct(*EVENT_ORDER, "competitor_id", "event_type", "detail")
+    last = _with_details(found, details).where(F.col("source_fingerprint").isNotNull()).groupBy("source_fingerprint").agg(F.max(facts).alias("_last"))
+    return last.select("source_fingerprint", "_last.*")
+
+
+def merge_events(current: DataFrame, found: DataFrame, details: Sequence[str] | None = None) -> DataFrame:
     """Events by type and fingerprint: a repeated change takes the place of the earlier one.
 
-    `change_events` itself is the full log, in which both stay.
+    `change_events` itself is the full log, in which both stay. `details` names the fields of `detail` that the caller reads, if not all.
     """
     rules = dict.fromkeys(["competitor_id", "event_type", "occurred_at", "detail"], OVERWRITE)
-    order = ["occurred_at", "run_id", "page_ord", "cand_ord"]
     # Ids are long and do not compress: they are made again from their columns instead of being shuffled.
     ids = {"offering_id": F.sha2(F.concat_ws("|", "competitor_id", "detail.offering_key"), 256)}
-    return merge(current, found, ["source_fingerprint"], rules, order, derived=ids)
+    return merge(_with_details(current, details), _with_details(found, details), ["source_fingerprint"], rules, EVENT_ORDER, derived=ids)

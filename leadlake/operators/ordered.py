@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from leadlake.session import collect_once
+
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column], limit: int = 1,
                rank_as: str | None = None) -> DataFrame:
@@ -38,7 +40,7 @@ def _hot_buckets(df: DataFrame, keys: Sequence[str], hot_rows: int) -> list[int]
     """
     sizes = df.groupBy(_bucket(keys).alias("_bucket")).agg(F.count(F.lit(1)).alias("_rows"))
     limit = F.greatest(F.lit(hot_rows), F.sum("_rows").over(Window.partitionBy(F.lit(1))) * 4 / KEY_BUCKETS)
-    return [row[0] for row in sizes.withColumn("_limit", limit).where("_rows > _limit").select("_bucket").collect()]
+    return [row[0] for row in collect_once(sizes.withColumn("_limit", limit).where("_rows > _limit").select("_bucket"))]
 
 
 def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str], slice_by: Column,
@@ -49,18 +51,22 @@ def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], valu
     hot buckets (see `_hot_buckets`) are sliced, and which ones are changes no result. Pass a stored frame if `df` is costly.
     """
     hot = _hot_buckets(df, keys, hot_rows)
-    is_hot = _bucket(keys).isin(hot) if hot else F.lit(False)
-    rows = df.withColumns({"_slice": F.when(is_hot, slice_by), "_is_row": F.lit(1)})
+    rows, groups, sequence = df, list(keys), list(order)
     if hot:
+        is_hot = _bucket(keys).isin(hot)
         # Last value of each slice, handed to the next slice that has rows, as a row before its first one.
         ends = df.where(is_hot).withColumn("_slice", slice_by).groupBy(*keys, "_slice").agg(
             F.max_by(F.struct(*values), F.struct(*order)).alias("_carry"))
         following = F.lead(F.struct("_slice")).over(Window.partitionBy(*keys).orderBy("_slice"))
         carried = ends.withColumn("_next", following).where(F.col("_next").isNotNull()).select(
             *keys, F.col("_next._slice").alias("_slice"), "_carry.*", F.lit(0).alias("_is_row"))
-        rows = rows.unionByName(carried, allowMissingColumns=True)
-    within = Window.partitionBy(*keys, "_slice").orderBy("_is_row", *order)
-    return rows.withColumn(alias, F.lag(F.struct(*values)).over(within)).where(F.col("_is_row") == 1).drop("_slice", "_is_row")
+        rows = df.withColumns({"_slice": F.when(is_hot, slice_by), "_is_row": F.lit(1)}).unionByName(carried, allowMissingColumns=True)
+        groups, sequence = [*groups, "_slice"], ["_is_row", *sequence]
+    within = Window.partitionBy(*groups).orderBy(*sequence)
+    # Values are looked up one by one: a struct of them would be shuffled beside them.
+    before = F.struct(*[F.lag(value).over(within).alias(value) for value in values])
+    rows = rows.withColumn(alias, F.when(F.lag(F.lit(1)).over(within).isNotNull(), before))
+    return rows.where(F.col("_is_row") == 1).drop("_slice", "_is_row") if hot else rows
 
 
 def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_by: Column, alias: str = "position",

@@ -20,7 +20,7 @@ from leadlake.operators.score import with_score
 from leadlake.plans import check_sql as Q
 from leadlake.plans import lead_flow, price_flow
 from leadlake.plans.inputs import load, sql_text
-from leadlake.session import cut_lineage, shared_folder, spread
+from leadlake.session import cut_lineage, shared_folder, spread, where_here
 from leadlake.sources import captures as captured
 from leadlake.sources import places
 from leadlake.sources.buckets import BucketTable
@@ -922,9 +922,13 @@ def _published(spark, d):
     return load(spark, d, "obs").where("publication_status = 'published'")
 
 
+def _in_first_half():
+    return F.substring(F.md5("source_fingerprint"), 1, 1) < "8"
+
+
 def _first_half(rows):
     """Half of the keys, as a table that was stored by an earlier batch."""
-    return rows.where(F.substring(F.md5("source_fingerprint"), 1, 1) < "8")
+    return rows.where(_in_first_half())
 
 
 def _earliest(rows):
@@ -1009,8 +1013,9 @@ def change_events(spark, d):
     GROUP BY source_fingerprint, competitor_id, event_type""")
 def merge_event(spark, d):
     log = history.change_events(_stored(spark, d), _published(spark, d))
-    before = history.merge_events(schemas.empty(spark, schemas.PRICE_EVENTS), _first_half(log))
-    merged = history.merge_events(before, log)
+    last = history.last_events(log, ["old_price"])  # both merges read it
+    before = history.merge_events(schemas.empty(spark, schemas.PRICE_EVENTS), where_here(last, _in_first_half()), ["old_price"])
+    merged = history.merge_events(before, last, ["old_price"])
     return merged.select("source_fingerprint", "competitor_id", "event_type", "offering_id", F.col("detail.old_price").alias("old_price"),
                          F.date_format("occurred_at", "yyyy-MM-dd").alias("occurred"))
 
